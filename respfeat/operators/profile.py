@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from respfeat.functions import timefx as tx
 from respfeat.functions.stats import QUARTILES
-from respfeat.operators.selection import weighted_quantiles
+from respfeat.operators import selection as sel
 
 
 def seen_by(df: DataFrame, entity: str, ts: str, days: int) -> DataFrame:
@@ -47,19 +47,20 @@ def hour_profile(
         .where(F.col("_v").isNotNull())
     )
     keys = [entity, hour_name]
-    w = F.col("_weight")
-    sums = rows.groupBy(*keys).agg(
-        F.sum(w).alias("_n"),
-        F.sum(w * F.col("_v")).alias("_s"),
-        F.sum(w * F.col("_v") * F.col("_v")).alias("_ss"),
+    folded = sel.fold(rows, keys, "_v", "_weight")
+    w, v = F.col("_w"), F.col("_v")
+    means = folded.groupBy(*keys).agg(F.sum(w).alias("_n"), (F.sum(w * v) / F.sum(w)).alias("_mean"))
+    # Deviations from the mean, since a difference of large sums of squares loses digits.
+    spread = (
+        folded.join(means, keys)
+        .groupBy(*keys, "_n", "_mean")
+        .agg(F.sum(w * (v - F.col("_mean")) * (v - F.col("_mean"))).alias("_m2"))
     )
     freedom = F.col("_n") - 1 if stddev == "sample" else F.col("_n")
-    m2 = F.greatest(F.col("_ss") - F.col("_s") * F.col("_s") / F.col("_n"), F.lit(0.0))
-    quartiles = weighted_quantiles(rows, keys, "_v", "_weight", QUARTILES)
-    return sums.join(quartiles, keys).select(
+    return spread.join(sel.weighted_quantiles(folded, keys, QUARTILES), keys).select(
         *keys,
-        (F.col("_s") / F.col("_n")).alias(f"{prefix}_pre"),
-        F.when(freedom > 0, F.sqrt(m2 / freedom)).alias(f"{prefix}_stddev"),
+        F.col("_mean").alias(f"{prefix}_pre"),
+        F.when(freedom > 0, F.sqrt(F.col("_m2") / freedom)).alias(f"{prefix}_stddev"),
         F.col("q2").alias(f"{prefix}_per75"),
         F.col("q1").alias(f"{prefix}_per50"),
         F.col("q0").alias(f"{prefix}_per25"),

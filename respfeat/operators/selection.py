@@ -11,12 +11,13 @@ that part is a single value or small enough to gather.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from respfeat.functions import timefx as tx
-from respfeat.operators.windows import CELL, SEC, cells_per_day, hour_of, window_sums
+from respfeat.operators.windows import CELL, SEC, cells_per_day, window_sums
 from respfeat.session import checkpoint_root
 
 FANOUT = 32
@@ -72,50 +73,70 @@ def select_ranks(
     todo = queries.select(*keys, F.lit("").alias("_node"), CELL, SEC, "_q", "_rank")
     answers = []
     while True:
-        size = hist.groupBy(*node_keys).agg(
-            F.count("*").alias("_n"),
-            F.percentile_approx("_v", [i / FANOUT for i in range(1, FANOUT)]).alias("_cuts"),
-        )
-        size = settle(size)
-        small = size.where(F.col("_n") <= group_rows).select(*node_keys)
-        large = size.where(F.col("_n") > group_rows).select(
-            *node_keys, F.array_distinct("_cuts").alias("_cuts")
-        )
+        large = _large_nodes(hist, node_keys, group_rows)
+        if large is None:
+            answers.append(_gather(hist, todo, node_keys, days, align).select(*keys, SEC, "_q", "_value"))
+            break
+        nodes = large.select(*node_keys)
         answers.append(
             _gather(
-                hist.join(small, node_keys, "left_semi"),
-                todo.join(small, node_keys, "left_semi"),
+                hist.join(nodes, node_keys, "left_anti"),
+                todo.join(nodes, node_keys, "left_anti"),
                 node_keys,
                 days,
                 align,
             ).select(*keys, SEC, "_q", "_value")
         )
-        if large.isEmpty():
-            break
-        hist, todo, found = _narrow(hist, todo, counted_broadcast(large), keys, days, align)
+        hist, todo, found = _narrow(hist, todo, large, keys, days, align)
         answers.append(found)
         if todo.isEmpty():
             break
-    out = answers[0]
-    for part in answers[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, answers)
+
+
+def _large_nodes(rows: DataFrame, node_keys: list[str], group_rows: int) -> DataFrame | None:
+    """Cut points of the nodes with more rows than the bound; None if there are none."""
+    size = settle(
+        rows.groupBy(*node_keys).agg(F.count("*").alias("_n")).where(F.col("_n") > group_rows).drop("_n")
+    )
+    if size.isEmpty():
+        return None
+    cuts = F.percentile_approx("_v", [i / FANOUT for i in range(1, FANOUT)])
+    return counted_broadcast(
+        settle(
+            rows.join(counted_broadcast(size), node_keys)
+            .groupBy(*node_keys)
+            .agg(F.array_distinct(cuts).alias("_cuts"))
+        )
+    )
+
+
+def _part() -> Column:
+    """Number of the part between, or at, the cut points that a value falls into.
+    Values equal to a cut get a part of their own, so a frequent value ends the search."""
+    below = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
+    return (2 * below + F.array_contains("_cuts", F.col("_v")).cast("int")).alias("_part")
+
+
+def _child() -> Column:
+    return F.concat_ws(".", "_node", "_part").alias("_node")
+
+
+def _into_part(asked: DataFrame, per_query: list[str]) -> DataFrame:
+    """Of the parts of each query, with their row counts ``_w``, the one that holds
+    its rank, and the rank within that part."""
+    running = Window.partitionBy(*per_query).orderBy("_part")
+    return (
+        asked.withColumn("_upto", F.sum("_w").over(running))
+        .where((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_w") < F.col("_rank")))
+        .withColumn("_rank", F.col("_rank") - F.col("_upto") + F.col("_w"))
+    )
 
 
 def _narrow(hist, todo, large, keys, days, align):
     """One step down: cut the large nodes by value, find the part each query is in."""
     node_keys = [*keys, "_node"]
-    below = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
-    # Values equal to a cut get a part of their own, so a frequent value ends the search.
-    parts = settle(
-        hist.join(large, node_keys).select(
-            *node_keys,
-            (2 * below + F.array_contains("_cuts", F.col("_v")).cast("int")).alias("_part"),
-            CELL,
-            SEC,
-            "_v",
-        )
-    )
+    parts = settle(hist.join(large, node_keys).select(*node_keys, _part(), CELL, SEC, "_v"))
     part_keys = [*node_keys, "_part"]
     kids = parts.groupBy(*part_keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     asked = todo.join(kids, node_keys)
@@ -127,20 +148,13 @@ def _narrow(hist, todo, large, keys, days, align):
         days,
         align,
     )
-    running = Window.partitionBy(*node_keys, SEC, "_q").orderBy("_part")
-    at = settle(
-        asked.join(counts, [*part_keys, CELL, SEC])
-        .withColumn("_upto", F.sum("_w").over(running))
-        .where((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_w") < F.col("_rank")))
-        .withColumn("_rank", F.col("_rank") - F.col("_upto") + F.col("_w"))
-    )
+    at = settle(_into_part(asked.join(counts, [*part_keys, CELL, SEC]), [*node_keys, SEC, "_q"]))
     found = at.where("_lo = _hi").select(*keys, SEC, "_q", F.col("_lo").alias("_value"))
-    child = F.concat_ws(".", "_node", "_part").alias("_node")
     left = at.where("_lo < _hi")
     hist = parts.join(left.select(*part_keys).distinct(), part_keys, "left_semi").select(
-        *keys, child, CELL, SEC, "_v"
+        *keys, _child(), CELL, SEC, "_v"
     )
-    return hist, left.select(*keys, child, CELL, SEC, "_q", "_rank"), found
+    return hist, left.select(*keys, _child(), CELL, SEC, "_q", "_rank"), found
 
 
 def _gather(hist, todo, keys, days, align):
@@ -161,65 +175,75 @@ def _gather(hist, todo, keys, days, align):
     )
 
 
+def fold(df: DataFrame, keys: Sequence[str], value: str, weight: str) -> DataFrame:
+    """Equal values of a group in one row ``_v`` with their weight ``_w``, settled."""
+    return settle(
+        df.where(F.col(value).isNotNull() & (F.col(weight) > 0))
+        .groupBy(*keys, F.col(value).alias("_v"))
+        .agg(F.sum(weight).cast("bigint").alias("_w"))
+    )
+
+
 def weighted_quantiles(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    weight: str,
-    probs: Sequence[float],
-    fanout: int = 1024,
+    folded: DataFrame, keys: Sequence[str], probs: Sequence[float], group_rows: int = 1_000_000
 ) -> DataFrame:
     """Per group the smallest values whose weights add up to each share of the total.
 
-    Equal values are folded map-side. Then the group is cut by value into
-    ``fanout`` ranges; sums of whole ranges tell which range holds the rank, and
-    only those ranges, at most one per share, are sorted. No task sees a whole group.
-    Returns the keys and one column ``q<i>`` per share.
+    ``folded`` comes from :func:`fold`. Groups of up to ``group_rows`` distinct values
+    are sorted; a larger one is cut by value, and only the parts that hold a rank
+    are followed. Returns the keys and one column ``q<i>`` per share.
     """
     keys = list(keys)
-    folded = settle(
-        df.where(F.col(value).isNotNull() & (F.col(weight) > 0))
-        .groupBy(*keys, F.col(value).alias("_v"))
-        .agg(F.sum(weight).cast("bigint").alias("_w"))
-    )
-    cuts = settle(
-        folded.groupBy(*keys).agg(
-            F.array_distinct(
-                F.percentile_approx("_v", [i / fanout for i in range(1, fanout)])
-            ).alias("_cuts"),
-            F.sum("_w").alias("_total"),
-        )
-    )
-    cut_rows = folded.join(counted_broadcast(cuts), keys).select(
-        *keys, "_v", "_w", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))).alias("_part")
-    )
-    sums = (
-        cut_rows.groupBy(*keys, "_part")
-        .agg(F.sum("_w").alias("_w"))
-        .withColumn("_upto", F.sum("_w").over(Window.partitionBy(*keys).orderBy("_part")))
-        .withColumn("_before", F.col("_upto") - F.col("_w"))
-    )
+    node_keys = [*keys, "_node"]
     wanted = F.explode(
         F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
     )
-    asked = cuts.select(*keys, "_total", wanted.alias("_q")).withColumn(
-        "_rank", rank_of(F.col("_q.p"), F.col("_total"))
-    )
-    hit = (
-        sums.join(asked, keys)
-        .where((F.col("_before") < F.col("_rank")) & (F.col("_rank") <= F.col("_upto")))
-        .groupBy(*keys, "_part", "_before")
-        .agg(F.collect_list(F.struct(F.col("_q.i").alias("i"), F.col("_rank").alias("r"))).alias("_asked"))
+    rows = folded.select(*keys, F.lit("").alias("_node"), "_v", "_w")
+    todo = (
+        rows.groupBy(*node_keys)
+        .agg(F.sum("_w").alias("_total"))
+        .select(*node_keys, "_total", wanted.alias("_p"))
+        .select(*node_keys, F.col("_p.i").alias("_q"), rank_of(F.col("_p.p"), F.col("_total")).alias("_rank"))
     )
-    inside = Window.partitionBy(*keys, "_part").orderBy("_v")
-    values = (
-        cut_rows.join(hit, [*keys, "_part"])
-        .withColumn("_reach", F.col("_before") + F.sum("_w").over(inside))
-        .withColumn("_one", F.explode("_asked"))
-        .where(
-            (F.col("_reach") >= F.col("_one.r")) & (F.col("_reach") - F.col("_w") < F.col("_one.r"))
+    answers = []
+    while True:
+        large = _large_nodes(rows, node_keys, group_rows)
+        if large is None:
+            answers.append(_sorted_pick(rows, todo, node_keys).select(*keys, "_q", "_value"))
+            break
+        nodes = large.select(*node_keys)
+        answers.append(
+            _sorted_pick(
+                rows.join(nodes, node_keys, "left_anti"), todo.join(nodes, node_keys, "left_anti"), node_keys
+            ).select(*keys, "_q", "_value")
+        )
+        parts = settle(rows.join(large, node_keys).select(*node_keys, _part(), "_v", "_w"))
+        kids = parts.groupBy(*node_keys, "_part").agg(
+            F.sum("_w").alias("_w"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
         )
+        at = settle(_into_part(todo.join(kids, node_keys), [*node_keys, "_q"]))
+        answers.append(at.where("_lo = _hi").select(*keys, "_q", F.col("_lo").alias("_value")))
+        left = at.where("_lo < _hi")
+        part_keys = [*node_keys, "_part"]
+        rows = parts.join(left.select(*part_keys).distinct(), part_keys, "left_semi").select(
+            *keys, _child(), "_v", "_w"
+        )
+        todo = left.select(*keys, _child(), "_q", "_rank")
+        if todo.isEmpty():
+            break
+    return (
+        reduce(DataFrame.unionByName, answers)
+        .groupBy(*keys)
+        .agg(*[F.max(F.when(F.col("_q") == i, F.col("_value"))).alias(f"q{i}") for i in range(len(probs))])
     )
-    return values.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_one.i") == i, F.col("_v"))).alias(f"q{i}") for i in range(len(probs))]
+
+
+def _sorted_pick(rows, todo, node_keys):
+    """Answer the queries of groups that one task can sort."""
+    upto = F.sum("_w").over(Window.partitionBy(*node_keys).orderBy("_v"))
+    return (
+        rows.withColumn("_upto", upto)
+        .join(todo, node_keys)
+        .where((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_w") < F.col("_rank")))
+        .withColumnRenamed("_v", "_value")
     )
