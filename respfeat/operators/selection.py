@@ -20,7 +20,9 @@ from respfeat.functions import timefx as tx
 from respfeat.operators.windows import CELL, SEC, cells_per_day, window_sums
 from respfeat.session import checkpoint_root
 
-FANOUT = 32
+FANOUT = 16
+GATHER_ROWS = 256
+SORTED_ROWS = 1_000_000
 SMALL_TABLE_ROWS = 200_000
 
 
@@ -59,21 +61,22 @@ def select_ranks(
     value: str,
     days: int,
     align: str,
-    group_rows: int,
+    gather_rows: int | None = None,
 ) -> DataFrame:
-    """The ``_rank``-th smallest ``value`` in the trailing window of each query.
+    """Order statistics of the trailing window of each anchor.
 
     ``history``: keys, ``_cell``, ``_sec``, ``value`` (not NULL).
-    ``queries``: keys, ``_cell``, ``_sec``, ``_q`` (label), ``_rank`` (1-based, not
-    above the window's count). Returns keys, ``_sec``, ``_q`` and ``_value``.
+    ``queries``: one row per anchor with keys, ``_cell``, ``_sec`` and ``_asks``, an
+    array of structs ``q`` (label) and ``r`` (1-based rank, not above the window's
+    count). Returns keys, ``_sec``, ``_q`` and ``_value``.
     """
     keys = list(keys)
     node_keys = [*keys, "_node"]
     hist = history.select(*keys, F.lit("").alias("_node"), CELL, SEC, F.col(value).alias("_v"))
-    todo = queries.select(*keys, F.lit("").alias("_node"), CELL, SEC, "_q", "_rank")
+    todo = queries.select(*keys, F.lit("").alias("_node"), CELL, SEC, "_asks")
     answers = []
     while True:
-        large = _large_nodes(hist, node_keys, group_rows)
+        large = _large_nodes(hist, node_keys, gather_rows or GATHER_ROWS)
         if large is None:
             answers.append(_gather(hist, todo, node_keys, days, align).select(*keys, SEC, "_q", "_value"))
             break
@@ -96,11 +99,10 @@ def select_ranks(
 
 def _large_nodes(rows: DataFrame, node_keys: list[str], group_rows: int) -> DataFrame | None:
     """Cut points of the nodes with more rows than the bound; None if there are none."""
-    size = settle(
-        rows.groupBy(*node_keys).agg(F.count("*").alias("_n")).where(F.col("_n") > group_rows).drop("_n")
-    )
+    size = rows.groupBy(*node_keys).agg(F.count("*").alias("_n")).where(F.col("_n") > group_rows).drop("_n")
     if size.isEmpty():
         return None
+    size = settle(size)
     cuts = F.percentile_approx("_v", [i / FANOUT for i in range(1, FANOUT)])
     return counted_broadcast(
         settle(
@@ -122,56 +124,69 @@ def _child() -> Column:
     return F.concat_ws(".", "_node", "_part").alias("_node")
 
 
-def _into_part(asked: DataFrame, per_query: list[str]) -> DataFrame:
-    """Of the parts of each query, with their row counts ``_w``, the one that holds
-    its rank, and the rank within that part."""
-    running = Window.partitionBy(*per_query).orderBy("_part")
-    return (
-        asked.withColumn("_upto", F.sum("_w").over(running))
-        .where((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_w") < F.col("_rank")))
-        .withColumn("_rank", F.col("_rank") - F.col("_upto") + F.col("_w"))
-    )
-
-
 def _narrow(hist, todo, large, keys, days, align):
-    """One step down: cut the large nodes by value, find the part each query is in."""
+    """One step down: cut the large nodes by value, find the part each rank is in."""
     node_keys = [*keys, "_node"]
-    parts = settle(hist.join(large, node_keys).select(*node_keys, _part(), CELL, SEC, "_v"))
     part_keys = [*node_keys, "_part"]
-    kids = parts.groupBy(*part_keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    asked = todo.join(kids, node_keys)
-    counts = window_sums(
-        parts.withColumn("_w", F.lit(1).cast("bigint")),
-        asked.select(*part_keys, CELL, SEC).distinct(),
-        part_keys,
-        ["_w"],
-        days,
-        align,
+    parts = settle(hist.join(large, node_keys).select(*node_keys, _part(), CELL, SEC, "_v"))
+    kids = settle(parts.groupBy(*part_keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi")))
+    kids = counted_broadcast(kids)
+    one, none = (F.lit(x).cast("bigint").alias("_w") for x in (1, 0))
+    counted = parts.select(*part_keys, CELL, SEC, one, F.lit(False).alias("_anchor")).unionByName(
+        todo.join(kids, node_keys).select(*part_keys, CELL, SEC, none, F.lit(True).alias("_anchor"))
+    )
+    counts = window_sums(counted, part_keys, ["_w"], days, align).where("_w > 0")
+    upto = F.sum("_w").over(Window.partitionBy(*node_keys, SEC).orderBy("_part"))
+    before = F.col("_upto") - F.col("_w")
+
+    def held(ask: Column) -> Column:
+        return (ask["r"] > before) & (ask["r"] <= F.col("_upto"))
+
+    at = settle(
+        counts.withColumn("_upto", upto)
+        .join(todo.select(*node_keys, SEC, "_asks"), [*node_keys, SEC])
+        .withColumn("_asks", F.filter("_asks", held))
+        .where(F.size("_asks") > 0)
+        .withColumn(
+            "_asks",
+            F.transform("_asks", lambda a: F.struct(a["q"].alias("q"), (a["r"] - before).alias("r"))),
+        )
+        .join(kids, part_keys)
+    )
+    found = (
+        at.where("_lo = _hi")
+        .select(*keys, SEC, F.explode("_asks").alias("_ask"), F.col("_lo").alias("_value"))
+        .select(*keys, SEC, F.col("_ask.q").alias("_q"), "_value")
     )
-    at = settle(_into_part(asked.join(counts, [*part_keys, CELL, SEC]), [*node_keys, SEC, "_q"]))
-    found = at.where("_lo = _hi").select(*keys, SEC, "_q", F.col("_lo").alias("_value"))
     left = at.where("_lo < _hi")
     hist = parts.join(left.select(*part_keys).distinct(), part_keys, "left_semi").select(
         *keys, _child(), CELL, SEC, "_v"
     )
-    return hist, left.select(*keys, _child(), CELL, SEC, "_q", "_rank"), found
+    return hist, left.select(*keys, _child(), CELL, SEC, "_asks"), found
 
 
 def _gather(hist, todo, keys, days, align):
     """Answer the queries of groups that fit into an array."""
     span = days * cells_per_day(align)
     item = F.struct(F.col("_v").alias("v"), F.col(SEC).alias("s"))
-    no_item = F.lit(None).cast("struct<v:double,s:bigint>")
     rows = hist.select(
-        *keys, CELL, SEC, item.alias("_item"), F.lit(None).cast("string").alias("_q"),
-        F.lit(None).cast("bigint").alias("_rank"), F.lit(False).alias("_anchor"),
+        *keys, CELL, SEC, item.alias("_item"),
+        F.lit(None).cast(todo.schema["_asks"].dataType).alias("_asks"), F.lit(False).alias("_anchor"),
     ).unionByName(
-        todo.select(*keys, CELL, SEC, no_item.alias("_item"), "_q", "_rank", F.lit(True).alias("_anchor"))
+        todo.select(
+            *keys, CELL, SEC, F.lit(None).cast("struct<v:double,s:bigint>").alias("_item"), "_asks",
+            F.lit(True).alias("_anchor"),
+        )
     )
-    start = F.col(SEC) - days * tx.DAY if align == "hour" else F.col(SEC) - days
-    seen = F.sort_array(F.filter("_seen", lambda x: x["s"] >= start))
-    return window_array(rows, keys, span).withColumn(
-        "_value", F.element_at(seen, F.col("_rank").cast("int"))["v"]
+    start = F.col(SEC) - (days * tx.DAY if align == "hour" else days)
+    return (
+        window_array(rows, keys, span)
+        .withColumn("_seen", F.sort_array(F.filter("_seen", lambda x: x["s"] >= start)))
+        .withColumn("_ask", F.explode("_asks"))
+        .select(
+            *keys, SEC, F.col("_ask.q").alias("_q"),
+            F.element_at("_seen", F.col("_ask.r").cast("int"))["v"].alias("_value"),
+        )
     )
 
 
@@ -185,11 +200,11 @@ def fold(df: DataFrame, keys: Sequence[str], value: str, weight: str) -> DataFra
 
 
 def weighted_quantiles(
-    folded: DataFrame, keys: Sequence[str], probs: Sequence[float], group_rows: int = 1_000_000
+    folded: DataFrame, keys: Sequence[str], probs: Sequence[float], sorted_rows: int | None = None
 ) -> DataFrame:
     """Per group the smallest values whose weights add up to each share of the total.
 
-    ``folded`` comes from :func:`fold`. Groups of up to ``group_rows`` distinct values
+    ``folded`` comes from :func:`fold`. Groups of up to ``sorted_rows`` distinct values
     are sorted; a larger one is cut by value, and only the parts that hold a rank
     are followed. Returns the keys and one column ``q<i>`` per share.
     """
@@ -207,7 +222,7 @@ def weighted_quantiles(
     )
     answers = []
     while True:
-        large = _large_nodes(rows, node_keys, group_rows)
+        large = _large_nodes(rows, node_keys, sorted_rows or SORTED_ROWS)
         if large is None:
             answers.append(_sorted_pick(rows, todo, node_keys).select(*keys, "_q", "_value"))
             break
@@ -221,7 +236,13 @@ def weighted_quantiles(
         kids = parts.groupBy(*node_keys, "_part").agg(
             F.sum("_w").alias("_w"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
         )
-        at = settle(_into_part(todo.join(kids, node_keys), [*node_keys, "_q"]))
+        running = Window.partitionBy(*node_keys, "_q").orderBy("_part")
+        at = settle(
+            todo.join(kids, node_keys)
+            .withColumn("_upto", F.sum("_w").over(running))
+            .where((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_w") < F.col("_rank")))
+            .withColumn("_rank", F.col("_rank") - F.col("_upto") + F.col("_w"))
+        )
         answers.append(at.where("_lo = _hi").select(*keys, "_q", F.col("_lo").alias("_value")))
         left = at.where("_lo < _hi")
         part_keys = [*node_keys, "_part"]

@@ -79,7 +79,7 @@ def trailing_features(
         "_e", (F.col("_slice") + F.col("_copy")).alias("_slice"), "_ts", CELL, SEC, "_v",
         (F.col("_copy") == 0).alias("_own"),
     )
-    large = sel.settle(
+    large = (
         sliced.groupBy("_e", "_slice")
         .agg(F.count("*").alias("_n"), F.avg("_v").alias("_centre"))
         .where(F.col("_n") > group_rows)
@@ -88,12 +88,12 @@ def trailing_features(
     if large.isEmpty():
         figures = _by_arrays(sliced, blocks, align, span, duplicate_anchors)
     else:
-        large = sel.counted_broadcast(large)
+        large = sel.counted_broadcast(sel.settle(large))
         slice_keys = ["_e", "_slice"]
         figures = _by_arrays(
             sliced.join(large, slice_keys, "left_anti"), blocks, align, span, duplicate_anchors
         ).unionByName(
-            _by_sums(sliced.join(large, slice_keys), blocks, align, duplicate_anchors, group_rows)
+            _by_sums(sliced.join(large, slice_keys), blocks, align, duplicate_anchors)
         )
     return _named(figures, entity, ts, blocks, stddev)
 
@@ -107,17 +107,10 @@ def trailing_counts(
         df.where(F.col(entity).isNotNull() & F.col(ts).isNotNull())
         .select(entity, ts)
         .withColumns(time_columns(ts, align))
-        .withColumn("n_pairs", F.lit(1).cast("bigint"))
-    )
-    anchors = rows.select(entity, CELL, SEC).distinct()
-    counts = window_sums(rows, anchors, [entity], ["n_pairs"], days, align, same_hour)
-    return (
-        rows.select(entity, ts, CELL, SEC)
-        .distinct()
-        .join(counts, [entity, CELL, SEC])
-        .where(F.col("n_pairs") > 0)
-        .select(entity, ts, "n_pairs")
+        .withColumns({"n_pairs": F.lit(1).cast("bigint"), "_anchor": F.lit(True)})
     )
+    counts = window_sums(rows, [entity], ["n_pairs"], days, align, same_hour, carry=ts)
+    return counts.where(F.col("n_pairs") > 0).select(entity, F.explode(ts).alias(ts), "n_pairs")
 
 
 def all_pairs_count(df: DataFrame, entity: str) -> DataFrame:
@@ -208,13 +201,13 @@ def _spread(figures: DataFrame, blocks: Sequence[Block]) -> DataFrame:
 # -- large slices ------------------------------------------------------------
 
 
-def _by_sums(sliced, blocks, align, duplicate_anchors, group_rows):
+def _by_sums(sliced, blocks, align, duplicate_anchors):
     """``sliced`` carries ``_centre``, the slice's mean: squares are summed as
     deviations from it, so that they keep their precision."""
     keys = ["_e", "_slice"]
     dev = F.col("_v") - F.col("_centre")
     measured = sliced.select(
-        *keys, CELL, SEC, "_v",
+        *keys, CELL, SEC, "_v", F.col("_own").alias("_anchor"),
         F.lit(1).cast("bigint").alias("_n"),
         F.col("_v").isNotNull().cast("bigint").alias("_nv"),
         F.coalesce(dev, F.lit(0.0)).alias("_d"),
@@ -227,13 +220,10 @@ def _by_sums(sliced, blocks, align, duplicate_anchors, group_rows):
         .groupBy("_e", "_slice", "_ts", CELL, SEC)
         .agg(F.count("*").alias("_times"), F.first("_centre").alias("_centre"))
     )
-    seconds = anchors.select(*keys, CELL, SEC).distinct()
     out = anchors if duplicate_anchors else anchors.withColumn("_times", F.lit(1).cast("bigint"))
     for i, b in enumerate(blocks):
         sums = sel.settle(
-            window_sums(
-                measured, seconds, keys, ["_n", "_nv", "_d", "_dd", "_ln", "_pos"], b.days, align, b.same_hour
-            )
+            window_sums(measured, keys, ["_n", "_nv", "_d", "_dd", "_ln", "_pos"], b.days, align, b.same_hour)
         )
         figures = out.select(*keys, SEC, "_centre").distinct().join(sums, [*keys, SEC])
         nv = F.col("_nv")
@@ -250,34 +240,33 @@ def _by_sums(sliced, blocks, align, duplicate_anchors, group_rows):
         if "geomean" not in b.stats:
             figures = figures.drop(f"_ln{i}")
         elif b.same_hour and b.geomean_over == "window":
-            whole = window_sums(measured, seconds, keys, ["_n"], b.days, align)
+            whole = window_sums(measured, keys, ["_n"], b.days, align)
             figures = figures.join(whole.select(*keys, SEC, F.col("_n").alias(f"_nwin{i}")), [*keys, SEC])
         else:
             figures = figures.withColumn(f"_nwin{i}", F.col(f"_n{i}"))
-        figures = figures.join(_searched(measured, sums, b, i, align, group_rows), [*keys, SEC], "left")
+        figures = figures.join(_searched(measured, sums, b, i, align), [*keys, SEC], "left")
         out = out.join(figures, [*keys, SEC])
     some = reduce(lambda a, c: a | c, [F.col(f"_n{i}") > 0 for i in range(len(blocks))])
     return out.where(some).drop("_slice", "_centre", CELL, SEC)
 
 
-def _searched(measured, sums, block, i, align, group_rows):
+def _searched(measured, sums, block, i, align):
     """The quartiles of one block for large slices."""
     keys = ["_e", "_slice"]
     history = measured.where(F.col("_v").isNotNull())
-    wanted = F.explode(
-        F.array(*[F.struct(F.lit(str(j)).alias("q"), F.lit(p).alias("p")) for j, p in enumerate(QUARTILES)])
-    )
-    queries = (
-        sums.where(F.col("_nv") > 0)
-        .select(*keys, CELL, SEC, "_nv", wanted.alias("_w"))
-        .withColumns({"_q": F.col("_w.q"), "_rank": sel.rank_of(F.col("_w.p"), F.col("_nv"))})
+    asks = F.array(
+        *[
+            F.struct(F.lit(str(j)).alias("q"), sel.rank_of(p, F.col("_nv")).alias("r"))
+            for j, p in enumerate(QUARTILES)
+        ]
     )
+    queries = sums.where(F.col("_nv") > 0).select(*keys, CELL, SEC, asks.alias("_asks"))
     search_keys = keys
     if block.same_hour:
         search_keys = [*keys, "_hour"]
         history = history.withColumn("_hour", hour_of(CELL))
         queries = queries.withColumn("_hour", hour_of(CELL))
-    found = sel.select_ranks(history, queries, search_keys, "_v", block.days, align, group_rows)
+    found = sel.select_ranks(history, queries, search_keys, "_v", block.days, align)
     return found.groupBy(*keys, SEC).agg(
         *[
             F.max(F.when(F.col("_q") == str(j), F.col("_value"))).alias(f"_q{i}_{j}")

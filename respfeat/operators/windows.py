@@ -45,60 +45,78 @@ def hour_of(cell: Column | str) -> Column:
 
 
 def window_sums(
-    history: DataFrame,
-    anchors: DataFrame,
+    rows: DataFrame,
     keys: Sequence[str],
     measures: Sequence[str],
     days: int,
     align: str = "hour",
     same_hour: bool = False,
+    carry: str | None = None,
 ) -> DataFrame:
     """For each anchor the sum of each measure over its trailing window.
 
-    ``history`` has the keys, ``_cell``, ``_sec`` and numeric measures; ``anchors``
-    has distinct keys, ``_cell`` and ``_sec``. Anchors that see no history get 0.
+    ``rows`` has the keys, ``_cell``, ``_sec``, numeric measures and the flag
+    ``_anchor``; rows that are anchors only have measures of 0. Returns the keys,
+    ``_cell``, ``_sec`` and the sums, one row per distinct anchor second, 0 where no
+    history is seen. ``carry`` names a column whose distinct values among the
+    anchors of a second (timestamps: at most a million) come along as an array.
     """
     keys, measures = list(keys), list(measures)
     span = days * cells_per_day(align)
-    zeros = [F.lit(0).cast(history.schema[m].dataType).alias(m) for m in measures]
-
-    per_second = history.groupBy(*keys, CELL, SEC).agg(*[F.sum(m).alias(m) for m in measures])
-    cells = (
-        per_second.select(*keys, CELL, *measures)
-        .unionByName(anchors.select(*keys, CELL, *zeros))
-        .groupBy(*keys, CELL)
-        .agg(*[F.sum(m).alias(m) for m in measures])
-    )
+    along = [F.collect_set(F.when(F.col("_anchor"), F.col(carry))).alias(carry)] if carry else []
+    carried = [carry] if carry else []
+    sums = [F.sum(m).alias(m) for m in measures]
+
+    per_second = rows.groupBy(*keys, CELL, SEC).agg(F.bool_or("_anchor").alias("_anchor"), *along, *sums)
     hour_key = [hour_of(CELL)] if same_hour and align == "hour" else []
-    first_whole = -span if align == "day" else 1 - span
-    frame = Window.partitionBy(*keys, *hour_key).orderBy(CELL).rangeBetween(first_whole, -1)
-    whole = cells.select(
-        *keys, CELL, *[F.coalesce(F.sum(m).over(frame), F.lit(0)).alias(f"_whole_{m}") for m in measures]
-    )
-    out = anchors.join(whole, [*keys, CELL])
     if align == "day":
-        return out.select(*anchors.columns, *[F.col(f"_whole_{m}").alias(m) for m in measures])
-
-    opening = anchors.select(
+        frame = Window.partitionBy(*keys).orderBy(CELL).rangeBetween(-span, -1)
+        return per_second.withColumns({m: _or_zero(F.sum(m).over(frame)) for m in measures}).where(
+            "_anchor"
+        ).select(*keys, CELL, SEC, *carried, *measures)
+
+    frame = Window.partitionBy(*keys, *hour_key).orderBy(CELL).rangeBetween(1 - span, -1)
+    whole = (
+        per_second.groupBy(*keys, CELL)
+        .agg(F.bool_or("_anchor").alias("_anchor"), *sums)
+        .withColumns({f"_whole_{m}": _or_zero(F.sum(m).over(frame)) for m in measures})
+        .where("_anchor")
+        .select(*keys, CELL, *[f"_whole_{m}" for m in measures])
+    )
+    # Each anchor asks in the hour where its window opens; descending order makes
+    # the sum from its second on a running one.
+    zeros = [F.lit(0).cast(per_second.schema[m].dataType).alias(m) for m in measures]
+    questions = per_second.where("_anchor").select(
         *keys,
         (F.col(CELL) - span).alias(CELL),
         (F.col(SEC) - days * tx.DAY).alias(SEC),
+        F.col(SEC).alias("_asked_by"),
+        *carried,
         *zeros,
-        F.col(SEC).alias("_anchor_sec"),
     )
-    # Descending order makes the suffix a running sum.
+    nobody = [F.lit(None).cast(questions.schema[c].dataType).alias(c) for c in ("_asked_by", *carried)]
     suffix = (
         Window.partitionBy(*keys, CELL)
         .orderBy(F.col(SEC).desc())
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
     edge = (
-        per_second.withColumn("_anchor_sec", F.lit(None).cast("bigint"))
-        .unionByName(opening)
-        .select(*keys, "_anchor_sec", *[F.sum(m).over(suffix).alias(f"_edge_{m}") for m in measures])
-        .where(F.col("_anchor_sec").isNotNull())
-        .withColumnRenamed("_anchor_sec", SEC)
+        per_second.select(*keys, CELL, SEC, *nobody, *measures)
+        .unionByName(questions)
+        .withColumns({f"_edge_{m}": F.sum(m).over(suffix) for m in measures})
+        .where(F.col("_asked_by").isNotNull())
+        .select(
+            *keys,
+            (F.col(CELL) + span).alias(CELL),
+            F.col("_asked_by").alias(SEC),
+            *carried,
+            *[f"_edge_{m}" for m in measures],
+        )
     )
-    return out.join(edge, [*keys, SEC]).select(
-        *anchors.columns, *[(F.col(f"_whole_{m}") + F.col(f"_edge_{m}")).alias(m) for m in measures]
+    return edge.join(whole, [*keys, CELL]).select(
+        *keys, CELL, SEC, *carried, *[(F.col(f"_whole_{m}") + F.col(f"_edge_{m}")).alias(m) for m in measures]
     )
+
+
+def _or_zero(x: Column) -> Column:
+    return F.coalesce(x, F.lit(0))
