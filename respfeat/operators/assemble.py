@@ -20,6 +20,21 @@ def assemble(base: DataFrame, links: Sequence[Link]) -> DataFrame:
     return reduce(lambda left, link: left.join(link[0], list(link[1]), link[2]), links, base)
 
 
+def join_sparse(left: DataFrame, block: DataFrame, keys: Sequence[str], spread: int = 256) -> DataFrame:
+    """Left join on keys that are NULL in many rows.
+
+    Such rows match nothing, but would all be sent to one task. They get a further
+    key by the hash of the row, which spreads them; all other rows have 0 there.
+    """
+    gap = reduce(lambda a, c: a | c, [F.col(k).isNull() for k in keys])
+    salt = F.when(gap, F.pmod(F.xxhash64(*left.columns), F.lit(spread))).otherwise(0)
+    return (
+        left.withColumn("_salt", salt.cast("bigint"))
+        .join(block.withColumn("_salt", F.lit(0).cast("bigint")), [*keys, "_salt"], "left")
+        .drop("_salt")
+    )
+
+
 def require(df: DataFrame, prefixes: Sequence[str]) -> DataFrame:
     """Rows that have each of the blocks: what inner joins to the separate blocks
     leave, when all blocks came in one left join."""

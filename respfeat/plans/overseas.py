@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from respfeat.functions.stats import EIGHT_STATS, SEVEN_STATS
 from respfeat.operators import orders as op
-from respfeat.operators.assemble import assemble, require
+from respfeat.operators.assemble import assemble, join_sparse, require
 from respfeat.operators.trailing import GROUP_ROWS, trailing_features
 from respfeat.plans.outcall import LONG, SHORT, blocks
 from respfeat.session import scratch_path
@@ -52,7 +52,7 @@ def overseas_features(
     supplier = trailing_features(
         base, "supplierid", "orderdate", "duration2", blocks("supp_ord", LONG, SEVEN_STATS), group_rows=group_rows
     )
-    return assemble(wide, [(supplier, ("supplierid", "orderdate"), "left")])
+    return join_sparse(wide, supplier, ("supplierid", "orderdate"))
 
 
 def overseas_table(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from respfeat.functions.stats import EIGHT_STATS, FIVE_STATS, SEVEN_STATS
 from respfeat.functions.timefx import wall_clock
-from respfeat.operators.assemble import assemble, blank_unless, merge_on, require
+from respfeat.operators.assemble import assemble, blank_unless, join_sparse, merge_on, require
 from respfeat.operators.profile import hour_profile
 from respfeat.operators.trailing import Block, all_pairs_count, trailing_counts, trailing_features
 from respfeat.plans import outcall, overseas
@@ -394,7 +394,7 @@ def asm_hotel_supplier(spark, sf_dir):
     hotel = trailing_features(h, "hotel", "orderdate", "duration", _HOTEL_SEVEN)
     supplier = trailing_features(h, "supplierid", "orderdate", "duration", _SUPPLIER)
     wide = require(assemble(h, [(hotel, ("hotel", "orderdate"), "left")]), _LONG)
-    return rounded(assemble(wide, [(supplier, ("supplierid", "orderdate"), "left")]))
+    return rounded(join_sparse(wide, supplier, ("supplierid", "orderdate")))
 
 
 @query(
