@@ -125,34 +125,41 @@ def all_pairs_count(df: DataFrame, entity: str) -> DataFrame:
 def _by_arrays(sliced, blocks, align, span, duplicate_anchors):
     keys = ["_e", "_slice"]
     earlier = Window.partitionBy(*keys).orderBy(CELL, "_ts")
-    item = F.struct(F.col("_v").alias("v"), F.col(SEC).alias("s"), hour_of(CELL).alias("h"))
+    frame = Window.partitionBy(*keys).orderBy(CELL).rangeBetween(-span, -1)
+    where = [F.col(SEC).alias("s"), hour_of(CELL).alias("h")]
+    known = F.col("_v").isNotNull()
+    # NULL values only count as rows; apart from the others they cost nothing, and
+    # arrays without NULLs are sorted as primitives.
+    item = F.when(known, F.struct(F.coalesce("_v", F.lit(0.0)).alias("v"), *where))
     first = ~F.col("_ts").eqNullSafe(F.lag("_ts").over(earlier))
-    rows = sliced.withColumns({"_item": item, "_anchor": F.col("_own") & first})
-    if duplicate_anchors:
-        rows = rows.withColumn("_times", F.count("*").over(Window.partitionBy(*keys, "_ts")))
-    else:
-        rows = rows.withColumn("_times", F.lit(1).cast("bigint"))
-    start = {b.days: F.col(SEC) - (b.days * tx.DAY if align == "hour" else b.days) for b in blocks}
+    times = F.count("*").over(Window.partitionBy(*keys, "_ts")) if duplicate_anchors else F.lit(1).cast("bigint")
+    seen = (
+        sliced.withColumns({"_anchor": F.col("_own") & first, "_times": times})
+        .withColumns({"_item": item, "_blank": F.when(~known, F.struct(*where))})
+        .withColumns({c: F.collect_list(i).over(frame) for c, i in (("_seen", "_item"), ("_blanks", "_blank"))})
+        .where("_anchor")
+    )
     here = hour_of(CELL)
 
+    def inside(b: Block, same_hour: bool):
+        start = F.col(SEC) - (b.days * tx.DAY if align == "hour" else b.days)
+        return lambda x: (x["s"] >= start) & (x["h"] == here) if same_hour else x["s"] >= start
+
     def in_some_block(x: Column) -> Column:
-        inside = [x["s"] >= start[b.days] if not b.same_hour else (x["s"] >= start[b.days]) & (x["h"] == here)
-                  for b in blocks]
-        return reduce(lambda a, c: a | c, inside)
-
-    # Tested on the unsorted array, where it mostly stops at the first item.
-    seen = sel.window_array(rows, keys, span).where(F.exists("_seen", in_some_block))
-    seen = seen.withColumn("_seen", F.sort_array("_seen"))
-    for d in start:
-        seen = seen.withColumn(f"_seen{d}", _since(F.col("_seen"), start[d]))
+        return reduce(lambda a, c: a | c, [inside(b, b.same_hour)(x) for b in blocks])
+
+    # On arrays in time order this mostly stops at the first item.
+    seen = seen.where(F.exists("_seen", in_some_block) | F.exists("_blanks", in_some_block))
+    arrays = {}
     for i, b in enumerate(blocks):
-        kept = F.col(f"_seen{b.days}")
-        if b.same_hour:
-            kept = F.filter(kept, lambda x: x["h"] == here)
-        seen = seen.withColumn(f"_kept{i}", kept).withColumn(
-            f"_vals{i}",
-            F.transform(F.filter(f"_kept{i}", lambda x: x["v"].isNotNull()), lambda x: x["v"]),
-        )
+        kept = F.filter("_seen", inside(b, b.same_hour))
+        arrays[f"_vals{i}"] = F.sort_array(F.transform(kept, lambda x: x["v"]))
+        arrays[f"_nn{i}"] = F.size(F.filter("_blanks", inside(b, b.same_hour)))
+        if b.geomean_over == "window":
+            arrays[f"_nwin{i}"] = (
+                F.size(F.filter("_seen", inside(b, False))) + F.size(F.filter("_blanks", inside(b, False)))
+            ).cast("bigint")
+    seen = seen.select("_e", "_ts", "_times", *[c.alias(n) for n, c in arrays.items()])
     out = ["_e", "_ts", "_times"]
     for i, b in enumerate(blocks):
         out += _array_figures(i, b)
@@ -162,7 +169,8 @@ def _by_arrays(sliced, blocks, align, span, duplicate_anchors):
 def _array_figures(i: int, b: Block) -> list[Column]:
     vals = F.col(f"_vals{i}")
     size = F.size(vals).cast("bigint")
-    figures = [F.size(f"_kept{i}").cast("bigint").alias(f"_n{i}"), size.alias(f"_nv{i}")]
+    rows = size + F.col(f"_nn{i}")
+    figures = [rows.alias(f"_n{i}"), size.alias(f"_nv{i}")]
     total = F.aggregate(vals, F.lit(0.0), lambda a, x: a + x)
     figures.append(F.when(size > 0, total / size).alias(f"_mean{i}"))
     if "stddev" in b.stats:
@@ -170,20 +178,14 @@ def _array_figures(i: int, b: Block) -> list[Column]:
         figures.append(vals.alias(f"_vals{i}"))
     if "geomean" in b.stats:
         logs = F.aggregate(vals, F.lit(0.0), lambda a, x: a + F.when(x > 0, F.ln(x)).otherwise(0.0))
-        figures += [
-            # Sorted, so the last value tells whether any is positive.
-            F.when(F.try_element_at(vals, F.lit(-1)) > 0, logs).alias(f"_ln{i}"),
-            F.size(f"_seen{b.days}").cast("bigint").alias(f"_nwin{i}"),
-        ]
+        # Sorted, so the last value tells whether any is positive.
+        figures.append(F.when(F.try_element_at(vals, F.lit(-1)) > 0, logs).alias(f"_ln{i}"))
+        figures.append((F.col(f"_nwin{i}") if b.geomean_over == "window" else rows).alias(f"_nwin{i}"))
     for j, p in enumerate(QUARTILES):
         figures.append(F.try_element_at(vals, sel.rank_of(p, size).cast("int")).alias(f"_q{i}_{j}"))
     return figures
 
 
-def _since(items: Column, start: Column) -> Column:
-    return F.filter(items, lambda x: x["s"] >= start)
-
-
 def _squares(values: Column, mean: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean))
 
