@@ -95,7 +95,7 @@ def hotels(spark, sf_dir):
 def supplier_hotels(spark, sf_dir):
     return _copies(
         table(spark, sf_dir, "customer")
-        .where("c_custkey % 7 <> 0")
+        .where("c_mktsegment <> 'MACHINERY'")
         .select(F.col("c_custkey").alias("hotelid"), F.expr("c_custkey div 5").alias("supplierid"))
     )
 
@@ -148,7 +148,7 @@ def history(spark, sf_dir):
     """Order history for the window queries: label ``duration``, dispatch at ``ts``
     and the order up to ten hours before."""
     e = table(spark, sf_dir, "events")
-    s = table(spark, sf_dir, "customer").where("c_custkey % 7 <> 0").select(
+    s = table(spark, sf_dir, "customer").where("c_mktsegment <> 'MACHINERY'").select(
         F.col("c_custkey").alias("user_id"), F.expr("c_custkey div 5").alias("supplierid")
     )
     return e.join(s, "user_id", "left").select(
@@ -196,7 +196,7 @@ ROLE_SQL = {
         from customer, {_DAYS_SQL}""",
     "supplier_hotels": f"""
         select c_custkey as hotelid, c_custkey // 5 as supplierid, d
-        from customer, {_DAYS_SQL} where c_custkey % 7 <> 0""",
+        from customer, {_DAYS_SQL} where c_mktsegment <> 'MACHINERY'""",
     "cities": """
         select n_nationkey as cityid, n_name as cityname, n_regionkey as country, r_name as countryname
         from nation join region on n_regionkey = r_regionkey""",
@@ -216,7 +216,7 @@ ROLE_SQL = {
         select event_id as orderid, user_id as hotel, supplierid, ts as processtime,
                ts - to_minutes(event_id % 600) as orderdate, value as duration
         from events left join
-             (select c_custkey, c_custkey // 5 as supplierid from customer where c_custkey % 7 <> 0) s
+             (select c_custkey, c_custkey // 5 as supplierid from customer where c_mktsegment <> 'MACHINERY') s
              on user_id = c_custkey""",
 }
 
