@@ -26,12 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from respfeat.llm.common import body, table, written
+from respfeat.llm.common import body, bounded, table, written
 
 #: A bucket, or what one task folds at a time, holds about this many bytes of distinct content.
 TABLE_BYTES = 32 << 20
 
-_LIGHT = "row long, rec long, h long, size long, content binary, n long, top long, top_row long"
+_LIGHT = "row long, rec long, h long, size long, content binary, sha string, n long, top long, top_row long"
 
 
 class ContentTable:
@@ -76,8 +76,8 @@ def _better(a: tuple, b: tuple) -> bool:
 
 def _fold(table_bytes: int):
     def rows(rest, columns: list):
-        names = ["id", "row", "rec", "h", "size", "content", "n", "top", "top_row"]
-        kinds = {"content": pa.binary()}
+        names = ["id", "row", "rec", "h", "size", "content", "sha", "n", "top", "top_row"]
+        kinds = {"content": pa.binary(), "sha": pa.string()}
         arrays = [pa.array(c, kinds.get(x, pa.int64())) if not isinstance(c, pa.Array) else c for x, c in zip(names, columns)]
         return pa.record_batch([arrays[0], rest, *arrays[1:]], names=[names[0], "rest", *names[1:]])
 
@@ -91,7 +91,7 @@ def _fold(table_bytes: int):
             k = hi - lo
             yield rows(pa.nulls(k, rest_type), [
                 pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), range(first + lo, first + hi), t.hashes[lo:hi],
-                list(map(len, t.contents[lo:hi])), t.contents[lo:hi], n[lo:hi],
+                list(map(len, t.contents[lo:hi])), t.contents[lo:hi], [hashlib.sha256(c).hexdigest() for c in t.contents[lo:hi]], n[lo:hi],
                 [x[0] for x in top[lo:hi]], [x[1] for x in top[lo:hi]],
             ])
             lo, size = hi, 0
@@ -118,7 +118,7 @@ def _fold(table_bytes: int):
                     t, n, top = ContentTable(), [], []
             k = len(ids)
             null = pa.nulls(k, pa.int64())
-            yield rows(b["rest"], [b["id"], range(row - k, row), own, null, null, pa.nulls(k, pa.binary()), null, null, null])
+            yield rows(b["rest"], [b["id"], range(row - k, row), own, null, null, pa.nulls(k, pa.binary()), pa.nulls(k, pa.string()), null, null, null])
         yield from records(t, n, top, first, rest_type)
 
     return fold
@@ -192,13 +192,12 @@ def _classes(df: DataFrame, id_col: str, text_col: str, rest: list[str], table_b
     schema = T.StructType([rows.schema["id"], rows.schema["rest"], *T.StructType.fromDDL(_LIGHT).fields])
     folded = written(rows.mapInArrow(_fold(table_bytes), schema), "grace")
     members = folded.where(F.col("row").isNotNull()).select("id", "rest", "row", "rec")
-    records = folded.where(F.col("row").isNull()).select("rec", "h", "size", "content", "n", "top", "top_row")
-    often = records.groupBy("h").agg(F.count("*").alias("times"))
-    counted = records.join(often, "h")
-    alone = counted.where(F.col("times") == 1).select(
-        "rec", "n", "top", "top_row", F.sha2("content", 256).alias("sha")
-    )
-    dealt, buckets = _dealt(counted.where(F.col("times") > 1).drop("times"), table_bytes)
+    records = folded.where(F.col("row").isNull()).select("rec", "h", "size", "content", "sha", "n", "top", "top_row")
+    # Hashes of several records, by light columns. Contents of the others never move again.
+    shared = written(records.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h"), "shared")
+    listed = bounded(shared)
+    alone = records.join(listed, "h", "left_anti").select("rec", "n", "top", "top_row", "sha")
+    dealt, buckets = _dealt(records.join(listed, "h", "left_semi"), table_bytes)
     together = (
         dealt.repartition(max(1, buckets), "bucket").sortWithinPartitions("bucket")
         .mapInArrow(_resolve, "rec long, n long, top long, top_row long, sha string")
