@@ -41,3 +41,48 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+#: Keys that are sent to every executor, at most; 16 to 40 bytes each. Beyond that they are shuffled.
+BROADCAST_KEYS = 500_000
+
+
+def bounded(df: DataFrame, rows: int = BROADCAST_KEYS) -> DataFrame:
+    """A written table, marked for broadcast if it is counted to be small enough.
+    The result of a join is the same either way."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
+def without(df: DataFrame, doc_id: str, text: str, keys: DataFrame) -> DataFrame:
+    """The rows whose key (``row_key``) is not among ``keys`` (a written table: key)."""
+    at = "key"
+    while at in df.columns:
+        at += "_"
+    listed = bounded(keys.select(F.col("key").alias(at)).distinct())
+    return df.withColumn(at, row_key(doc_id, text)).join(listed, at, "left_anti").select(*[f"`{c}`" for c in df.columns])
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, root) for the nodes of undirected edges (a, b), root the smallest node of the
+    component. Alternates large-star and small-star steps (Kiveris et al. 2014); each round
+    is written, so that none is computed twice."""
+    stars = written(edges.where("a != b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("m")).distinct(), "stars")
+    before = None
+    while True:
+        both = stars.unionByName(stars.select(F.col("m").alias("v"), F.col("v").alias("m")))
+        least = both.groupBy("v").agg(F.min("m").alias("low")).select("v", F.least("v", "low").alias("low"))
+        # Large star: larger neighbours of v go under its least neighbour.
+        large = (
+            both.join(least, "v").where("m > v").select(F.col("m").alias("v"), F.col("low").alias("m")).where("v != m").distinct()
+        )
+        # Small star: v and its smaller neighbours go under the least of them.
+        low = large.groupBy("v").agg(F.min("m").alias("low"))
+        small = large.join(low, "v").select(F.explode(F.array("v", "m")).alias("v"), F.col("low").alias("m"))
+        stars = written(small.where("v != m").distinct(), "stars")
+        state = stars.agg(F.count("*"), F.sum(F.xxhash64("v", "m").cast("decimal(38,0)"))).first()
+        if state == before:
+            break
+        before = state
+    return stars.select(F.col("v").alias("node"), F.col("m").alias("root")).unionByName(
+        stars.select(F.col("m").alias("node"), F.col("m").alias("root")).distinct()
+    )
