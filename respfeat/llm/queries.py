@@ -1,11 +1,12 @@
 """The text operators as named queries over whole tables, with SQL where it can express them."""
 
-from respfeat.llm import decontaminate, exact_dedup, near_dedup, quality, sentencepiece_codec, url_filters
+from respfeat.llm import decontaminate, exact_dedup, near_dedup, quality, sentencepiece_codec, substring_dedup, url_filters
 
 QUERIES = {
     "op1_url_filters": url_filters.query,
     "op2_near_dedup": near_dedup.query,
     "op3_exact_dedup": exact_dedup.query,
+    "op4_substring_dedup": substring_dedup.query,
     "op5_decontaminate": decontaminate.query,
     "op9_sentencepiece": sentencepiece_codec.query,
     "op10_quality": quality.query,
