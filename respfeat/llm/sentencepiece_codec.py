@@ -4,7 +4,8 @@ The search walks over the characters with the nodes from which some piece may st
 reach ahead; that window is bounded by the longest piece. As soon as all surviving
 backpointer paths go through one boundary, what lies before is committed. In front of a
 space mark that follows another character there is only one survivor, so words commit one
-by one, and a task keeps the ids of words it has met (a cache of bounded size).
+by one. Words that a task has not met lately are searched side by side in numpy, by the same
+recurrence; the ids of others come from a cache of bounded size.
 
 Scores are the model's own for a unigram model. A BPE model's scores are merge ranks, not
 probabilities; they are read as Zipf probabilities, log p = -log(rank + 2), so the result is
@@ -33,9 +34,16 @@ from respfeat.llm.common import body, table
 #: Place of the public vocabulary; a parameter of every function here.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
+_SPACE_CODE, _FACTOR = np.uint64(ord(SPACE)), np.uint64(0x9E3779B97F4A7C15)
+#: Texts that are cut into stretches at a time.
+_CHUNK = 1 << 20
 #: Words that a worker remembers before it starts anew.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 300_000
 _SEGMENT = re.compile(r" *[^ ]+| +")
+#: The same, cut between a letter and a full stop or comma as well.
+_LETTER = "a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_FINER = re.compile(rf" *[{_LETTER}]+(?=[.,])| *[^ ]+| +")
+_STOP = re.compile(rf"[{_LETTER}][.,]")
 
 
 class Codec:
@@ -61,97 +69,211 @@ class Codec:
         self.prefixes = {p[:k] for p in self.pieces for k in range(1, len(p))}
         self.span = max(map(len, self.pieces))
         self.apart = not any(SPACE in p.lstrip(SPACE) or "\n" in p for p in self.pieces)
+        #: Stretches whose ends are boundaries of every path, as no piece goes across.
+        self.stretch = _SEGMENT if any(map(_STOP.search, self.pieces)) else _FINER
         self.newline = array("i", self.viterbi("\n")).tobytes()
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        # For the search over many stretches at once: pieces and their beginnings by hash.
+        named = {p: self.pieces.get(p) for p in [*self.pieces, *self.prefixes]}
+        keys = np.array([_hash(p) for p in named], np.uint64)
+        order = np.argsort(keys)
+        self.keys = keys[order]
+        self.key_ids = np.array([x[0] if x else -1 for x in named.values()], np.int32)[order]
+        self.key_scores = np.array([x[1] if x else -np.inf for x in named.values()])[order]
+        self.key_ahead = np.array([p in self.prefixes for p in named])[order]
 
     def viterbi(self, chars: str) -> list[int]:
         """Ids of the best path over ``chars``, in which spaces are marks already."""
         out: list[int] = []
-        score, back = {0: 0.0}, {}
-        live, done = [0], 0
-        for j in range(1, len(chars) + 1):
-            best, ahead = None, []
-            for i in live:
+        get, prefixes, end = self.pieces.get, self.prefixes, len(chars)
+        # Nodes from the last committed one on: best score, best predecessor, its piece.
+        base, score, back, by = 0, [0.0], [0], [-1]
+        far = 0  # how far an edge from a node before this one reaches
+        for i in range(end):
+            here = score[i - base]
+            if far <= i:
+                if i > base:
+                    self._commit(chars, base, back, by, i, out)
+                    base, score, back, by = i, [here], [i], [-1]
+            elif i - base > 4 * self.span:
+                at = self._meeting(base, back, len(score), i)
+                if at > base:
+                    self._commit(chars, base, back, by, at, out)
+                    cut = at - base
+                    base, score, back, by = at, score[cut:], back[cut:], by[cut:]
+            j = i + 1
+            part = chars[i:j]
+            found = get(part)
+            if found is None:
+                found = (-1, len(part.encode()) * self.byte_score)
+            while True:
+                if found is not None:
+                    total, k = here + found[1], j - base
+                    if k >= len(score):
+                        score += [-math.inf] * (k + 1 - len(score))
+                        back += [-1] * (k + 1 - len(back))
+                        by += [-1] * (k + 1 - len(by))
+                    if total > score[k]:
+                        score[k], back[k], by[k] = total, i, found[0]
+                    if j > far:
+                        far = j
+                if j == end or part not in prefixes:
+                    break
+                j += 1
                 part = chars[i:j]
-                found = self.pieces.get(part)
-                if found and (best is None or score[i] + found[1] > best[0]):
-                    best = (score[i] + found[1], i, found[0])
-                if part in self.prefixes:
-                    ahead.append(i)
-            if best is None:
-                size = len(chars[j - 1].encode())
-                best = (score[j - 1] + size * self.byte_score, j - 1, None)
-            score[j], back[j] = best[0], best[1:]
-            live = [*ahead, j]
-            if len(live) == 1 or j - done > 4 * self.span:
-                at = self._meeting(live, back, done)
-                if at > done:
-                    self._commit(chars, back, done, at, out)
-                    for k in range(done, at):
-                        score.pop(k, None)
-                        back.pop(k + 1, None)
-                    done = at
-        if done < len(chars):
-            self._commit(chars, back, done, len(chars), out)
+                found = get(part)
+        if base < end:
+            self._commit(chars, base, back, by, end, out)
         return out
 
     @staticmethod
-    def _meeting(live: list[int], back: dict, done: int) -> int:
-        """The last boundary that the paths to all live nodes share."""
+    def _meeting(base: int, back: list[int], known: int, now: int) -> int:
+        """The last boundary on all paths to this node and the reached ones ahead."""
         common = None
-        for node in live:
+        for node in range(now, base + known):
+            if node > now and back[node - base] < 0:
+                continue
             path = {node}
-            while node > done:
-                node = back[node][0]
+            while node > base:
+                node = back[node - base]
                 path.add(node)
             common = path if common is None else common & path
-        return max(common)
+        return max(x for x in common if x <= now)
 
-    def _commit(self, chars: str, back: dict, lo: int, hi: int, out: list[int]) -> None:
+    def _commit(self, chars: str, base: int, back: list[int], by: list[int], hi: int, out: list[int]) -> None:
         steps = []
-        while hi > lo:
-            i, piece = back[hi]
-            steps.append([piece] if piece is not None else [self.bytes_id[b] for b in chars[i:hi].encode()])
+        while hi > base:
+            i, piece = back[hi - base], by[hi - base]
+            steps.append([piece] if piece >= 0 else [self.bytes_id[b] for b in chars[i:hi].encode()])
             hi = i
         for s in reversed(steps):
             out += s
 
-    def _segment(self, key: str) -> bytes:
+    def _stretch(self, key: str) -> bytes:
         """Ids of a stretch whose ends are boundaries of every path."""
-        got = self.cache.get(key)
-        if got is None:
-            if len(self.cache) >= CACHE_WORDS:
-                self.cache.clear()
-            ids: list[int] = []
-            for k, part in enumerate(key.split(SPACE)):
-                if k:
-                    ids += [self.bytes_id[b] for b in SPACE.encode()]
-                if part:
-                    ids += self.viterbi(part.replace(" ", SPACE))
-            got = array("i", ids).tobytes()
-            if len(key) < 100:
-                self.cache[key] = got
-        return got
+        ids: list[int] = []
+        for k, part in enumerate(key.split(SPACE)):
+            if k:
+                ids += [self.bytes_id[b] for b in SPACE.encode()]
+            if part:
+                ids += self.viterbi(part.replace(" ", SPACE))
+        return array("i", ids).tobytes()
 
-    def encode(self, text: str) -> bytes:
-        """Ids as 32-bit integers. A space goes in front, as the model was made with."""
-        if not text:
-            return b""
+    def _side_by_side(self, keys: list[str]) -> list[bytes]:
+        """The same search over many short stretches, one character of each at a time."""
+        n = len(keys)
+        length = np.array([len(k) for k in keys])
+        order = np.argsort(-length, kind="stable")
+        length, top = length[order], int(length.max())
+        codes = np.full((top + 1, n), _SPACE_CODE, np.uint64)
+        flat = np.frombuffer("".join([keys[k] for k in order]).encode("utf-32-le"), np.uint32)
+        at = np.arange(len(flat)) - np.repeat(np.cumsum(length) - length, length)
+        codes[at, np.repeat(np.arange(n), length)] = np.where(flat == 32, _SPACE_CODE, flat)
+        score = np.full((top + 1, n), -np.inf)
+        score[0] = 0
+        back, by = np.zeros((top + 1, n), np.int32), np.full((top + 1, n), -1, np.int32)
+        for i in range(top):
+            w = np.arange(int(np.searchsorted(-length, -i, side="left")))  # those longer than i
+            here, h, k = score[i, w], np.zeros(len(w), np.uint64), 0
+            while len(w) and k < self.span:
+                c = codes[i + k, w]
+                h = (h + c + np.uint64(1)) * _FACTOR
+                h ^= h >> np.uint64(32)
+                slot = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
+                known = self.keys[slot] == h
+                found = np.where(known, self.key_scores[slot], -np.inf)
+                ids = np.where(known, self.key_ids[slot], -1)
+                if k == 0:
+                    size = 1 + (c >= 0x80).astype(int) + (c >= 0x800) + (c >= 0x10000)
+                    found = np.where(np.isfinite(found), found, size * self.byte_score)
+                total, k = here + found, k + 1
+                better = total > score[i + k, w]
+                on = w[better]
+                score[i + k, on], back[i + k, on], by[i + k, on] = total[better], i, ids[better]
+                more = known & self.key_ahead[slot] & (length[w] > i + k)
+                w, h, here = w[more], h[more], here[more]
+        out, at, w = [[] for _ in keys], length.copy(), np.arange(n)
+        while len(w):
+            for x, piece, j, i in zip(w.tolist(), by[at[w], w].tolist(), at[w].tolist(), back[at[w], w].tolist()):
+                if piece >= 0:
+                    out[x].append(piece)
+                else:
+                    out[x] += [self.bytes_id[b] for b in reversed(keys[order[x]][i:j].encode())]
+            at[w] = back[at[w], w]
+            w = w[at[w] > 0]
+        found = [b""] * n
+        for k, ids in zip(order.tolist(), out):
+            found[k] = array("i", reversed(ids)).tobytes()
+        return found
+
+    def _remember(self, stretches: set[str]) -> None:
+        """Puts the ids of all stretches into the cache."""
+        cache, older, new = self.cache, self.older, []
+        for x in stretches:
+            if x not in cache:
+                if x in older:
+                    cache[x] = older[x]
+                else:
+                    new.append(x)
+        short = [x for x in new if len(x) <= 40 and SPACE not in x]
+        for lo in range(0, len(short), 20_000):
+            part = short[lo : lo + 20_000]
+            cache.update(zip(part, self._side_by_side(part)))
+        for x in new:
+            if x not in cache:
+                cache[x] = self._stretch(x)
+
+    def _turn_over(self) -> None:
+        """Forgets the stretches that have not been met for long."""
+        if len(self.cache) > CACHE_WORDS:
+            self.older, self.cache = {k: v for k, v in self.cache.items() if len(k) <= 40}, {}
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as 32-bit integers. A space goes in front, as the model was made with."""
         if not self.apart:
-            return self._segment(" " + text)
-        segment, lines = self._segment, (" " + text).split("\n")
-        return self.newline.join(b"".join(map(segment, _SEGMENT.findall(line))) for line in lines)
+            return [self._stretch(" " + t) if t else b"" for t in texts]
+        cut = self.stretch.findall
+        split = [[cut(line) for line in (" " + t).split("\n")] if t else [] for t in texts]
+        self._turn_over()
+        self._remember({x for lines in split for line in lines for x in line})
+        of = self.cache.__getitem__
+        return [self.newline.join([b"".join(map(of, line)) for line in lines]) for lines in split]
+
+    def encode(self, text: str) -> bytes:
+        return self.encode_all([text])[0]
 
     def decode(self, ids: list[int]) -> bytes:
         """The text as UTF-8."""
         return b"".join(map(self.text.__getitem__, ids))[1:]
 
 
+def _hash(piece: str) -> int:
+    h = 0
+    for c in piece:
+        h = (h + ord(c) + 1) * int(_FACTOR) % 2**64
+        h ^= h >> 32
+    return h
+
+
 @lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
     return Codec(path)
 
 
+def _chunks(texts):
+    """Lists of whole texts, of about ``_CHUNK`` bytes each."""
+    part, size = [], 0
+    for t in texts:
+        part.append(t.as_py())
+        size += len(part[-1])
+        if size >= _CHUNK:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL) -> DataFrame:
     """doc_id, n_ids, ids, round_trip: whether decoding the ids gives the text back."""
 
@@ -159,11 +281,11 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", model:
         c = codec(model)
         for b in batches:
             ids, offsets, ok = [], [0], []
-            for text in b["text"]:
-                raw = text.as_py()
-                ids.append(c.encode(raw.decode()))
-                offsets.append(offsets[-1] + len(ids[-1]) // 4)
-                ok.append(c.decode(array("i", ids[-1])) == raw)
+            for raws in _chunks(b["text"]):
+                for raw, found in zip(raws, c.encode_all([r.decode() for r in raws])):
+                    ids.append(found)
+                    offsets.append(offsets[-1] + len(found) // 4)
+                    ok.append(c.decode(array("i", found)) == raw)
             values = pa.array(np.frombuffer(b"".join(ids), np.int32), pa.int32())
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
             counts = pa.array(np.diff(np.array(offsets, np.int64)), pa.int64())
