@@ -1,6 +1,6 @@
 """The text operators as named queries over whole tables, with SQL where it can express them."""
 
-from respfeat.llm import decontaminate, exact_dedup, lm_scoring, near_dedup, pii, quality, sentencepiece_codec, substring_dedup, url_filters
+from respfeat.llm import decontaminate, exact_dedup, lm_scoring, near_dedup, pii, quality, sentencepiece_codec, substring_dedup, suffix_dedup, url_filters
 
 QUERIES = {
     "op1_url_filters": url_filters.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_decontaminate": decontaminate.query,
     "op6_pii": pii.query,
     "op7_lm_scoring": lm_scoring.query,
+    "op8_suffix_dedup": suffix_dedup.query,
     "op9_sentencepiece": sentencepiece_codec.query,
     "op10_quality": quality.query,
 }

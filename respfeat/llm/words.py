@@ -52,3 +52,8 @@ def window_hashes(h: np.ndarray, size: int) -> np.ndarray:
     out ^= out >> np.uint64(31)
     out *= np.uint64(0xBF58476D1CE4E5B9)
     return out ^ (out >> np.uint64(29))
+
+
+def byte_windows(data: np.ndarray, size: int) -> np.ndarray:
+    """A hash for each window of ``size`` consecutive bytes."""
+    return window_hashes((data.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93), size)
