@@ -189,7 +189,8 @@ def _classes(df: DataFrame, id_col: str, text_col: str, rest: list[str], table_b
         F.xxhash64(body(text_col)).alias("h"),
         body(text_col).alias("content"),
     )
-    schema = T.StructType([rows.schema["id"], rows.schema["rest"], *T.StructType.fromDDL(_LIGHT).fields])
+    light = [T.StructField("id", T.LongType()), T.StructField("rest", rows.schema["rest"].dataType)]
+    schema = T.StructType([*light, *T.StructType.fromDDL(_LIGHT).fields])
     folded = written(rows.mapInArrow(_fold(table_bytes), schema), "grace")
     members = folded.where(F.col("row").isNotNull()).select("id", "rest", "row", "rec")
     records = folded.where(F.col("row").isNull()).select("rec", "h", "size", "content", "sha", "n", "top", "top_row")
