@@ -6,8 +6,8 @@ is the sum of the weights of the distinct features of the whole text: hashed
 words, the marks that words end in, and how often a word follows itself.
 
 The model is fitted on at most ``MAX_LABELLED`` labelled documents, the first by
-hash of their id; nothing else here is bounded. Features that fewer than
-``MIN_DOCUMENTS`` of them hold get no weight.
+hash of their id; nothing else here is bounded. Features that few of them hold, or that are
+spread over the grades as chance would, get no weight.
 
 Defined results: NULL and empty texts have no feature and take the thresholds' own
 probabilities; labels with NULLs in any column or without a document are left out;
@@ -29,10 +29,12 @@ from respfeat.llm.common import body, table
 
 #: Labelled documents that the model is fitted on, at most.
 MAX_LABELLED = 20_000
-MIN_DOCUMENTS = 5
+MIN_DOCUMENTS = 4
+#: Standard errors by which a feature's shares must differ.
+CLEAR = 5.0
 BITS = 20
 GRADES = 3
-STEPS, RATE, DECAY = 150, 0.05, 1e-4
+STEPS, RATE, DECAY = 250, 0.05, 3e-5
 _STRIP = re.compile(rb"^[^0-9a-z\x80-\xff]+|[^0-9a-z\x80-\xff]+$")
 _CACHE_WORDS = 200_000
 
@@ -83,6 +85,22 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.theta[None, :] - scores[:, None], -60, 60)))
 
 
+def _telling(flat: np.ndarray, of: np.ndarray, grades: np.ndarray) -> np.ndarray:
+    """Which features split the grades at some threshold more clearly than chance would: a test of
+    two shares. Most words tell nothing, and their weights would only add up to noise."""
+    held = np.bincount(flat, minlength=1 << BITS)
+    share, best = held / len(grades), np.zeros(1 << BITS)
+    for k in range(GRADES - 1):
+        low = grades <= k
+        n = int(low.sum())
+        if 0 < n < len(grades):
+            part = np.bincount(flat[low[of]], minlength=1 << BITS)
+            spread = np.sqrt(share * (1 - share) * (1 / n + 1 / (len(grades) - n)))
+            z = np.abs(part / n - (held - part) / (len(grades) - n)) / np.maximum(spread, 1e-12)
+            best = np.maximum(best, np.where(held < len(grades), z, 0))
+    return (held >= MIN_DOCUMENTS) & (best >= CLEAR)
+
+
 def fit(rows: list[np.ndarray], grades: np.ndarray) -> Model:
     """Maximum likelihood with weight decay, by Adam over all rows at once."""
     weights = np.zeros(1 << BITS, np.float32)
@@ -90,14 +108,11 @@ def fit(rows: list[np.ndarray], grades: np.ndarray) -> Model:
         return Model(weights, np.array([-30.0, -29.0]))
     flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
     of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    enough = np.bincount(flat, minlength=1 << BITS) >= MIN_DOCUMENTS
+    enough = _telling(flat, of, grades)
     own = np.flatnonzero(enough)
     number = np.zeros(1 << BITS, np.int64)
     number[own] = np.arange(len(own))
     of, flat = of[enough[flat]], number[flat[enough[flat]]]
-    # Grades count alike, however rare.
-    share = np.bincount(grades, minlength=GRADES)
-    weight = (len(grades) / (np.count_nonzero(share) * np.maximum(share, 1)))[grades]
     above = (grades[:, None] > np.arange(GRADES - 1)[None, :]).astype(float)
     # theta = first, then positive gaps, so that thresholds stay in order.
     x = np.zeros(len(own) + GRADES - 1)
@@ -113,11 +128,11 @@ def fit(rows: list[np.ndarray], grades: np.ndarray) -> Model:
         p = np.maximum(tail[np.arange(len(s)), grades] - tail[np.arange(len(s)), grades + 1], 1e-9)
         slope = tail * (1 - tail)  # of each tail by s
         lo, hi = slope[np.arange(len(s)), grades], slope[np.arange(len(s)), grades + 1]
-        by_s = -weight * (lo - hi) / p / len(s)
+        by_s = -(lo - hi) / p / len(s)
         by_theta = np.zeros(GRADES - 1)
         for k in range(GRADES - 1):
             sign = np.where(grades == k + 1, slope[:, k + 1], 0) - np.where(grades == k, slope[:, k + 1], 0)
-            by_theta[k] = (weight * sign / p).sum() / len(s)
+            by_theta[k] = (sign / p).sum() / len(s)
         g = np.empty_like(x)
         g[: len(own)] = np.bincount(flat, by_s[of], minlength=len(own)) + DECAY * w
         g[len(own)] = by_theta.sum()
