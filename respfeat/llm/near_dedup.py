@@ -10,9 +10,10 @@ similarity 0.8 share none of the 40 bands with probability 1e-7.
    nearest. Candidates are confirmed on the full sets, and confirmed links merge nodes
    into components. A large group of near copies collapses here, without pairs.
 4. Then, only nodes of different components in a bucket are compared, by signature.
-   Those outside the bucket's largest component propose their nearest partners, more of
-   them in each round, until all that may be similar have been confirmed or refuted. The
-   largest component is dealt into blocks, so no task holds a large bucket.
+   Those outside the bucket's largest component propose their nearest partners, and when those
+   are confirmed or refuted, all others that may be similar and are still apart. The
+   largest component is dealt into blocks, so no task holds a large bucket. A pair is
+   proposed in one bucket only.
 
 Signatures only propose: a pair is dropped unseen when its estimate lies more than four
 standard errors below the threshold.
@@ -39,6 +40,8 @@ PERMUTATIONS, BAND = 100, 5
 THRESHOLD = 0.8
 #: Signatures agree on one value with probability similarity + 1/256.
 SLACK = 4 * (0.8 * 0.2 / (2 * PERMUTATIONS)) ** 0.5
+#: Partners that a node proposes in the first round; in the second, all that are left.
+NEAREST = 4
 #: Members of a bucket's largest component that one task compares at a time.
 BLOCK = 1024
 _U = np.uint64
@@ -114,30 +117,46 @@ def _pair_estimate(batches):
         yield pa.record_batch([b["a"], b["b"], pa.array(est)], names=["a", "b", "est"])
 
 
-def _proposals(top: int, least: float):
-    """For one block of a bucket: each node that is not of the largest component proposes
-    its ``top`` nearest partners in other components."""
+def _proposals(top: int | None, least: float):
+    """For one block of a bucket: each node that is not of the largest component proposes its
+    nearest partners in other components, all of them if ``top`` is None. A pair is
+    proposed in the first bucket that both lie in, and in no other."""
 
     def run(t: pa.Table) -> pa.Table:
         nodes, roots = t["node"].to_pylist(), t["root"].to_pylist()
         sigs = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(len(nodes), -1)
+        lies = np.frombuffer(b"".join(t["lies"].to_pylist()), np.int64).reshape(len(nodes), -1)
+        here = int(np.flatnonzero(lies[0] == t["bucket"][0].as_py())[0])
         number = {r: k for k, r in enumerate(dict.fromkeys(roots))}
         own = np.array([number[r] for r in roots])
-        a, b, full = [], [], []
+        a, b = [], []
         for k in np.flatnonzero(np.array(t["minor"].to_pylist(), bool)):
-            est = np.where(own == own[k], -1.0, _estimate(sigs[k], sigs))
-            near = np.flatnonzero(est >= least)
-            more = len(near) > top
-            if more:
-                near = near[np.argsort(-est[near], kind="stable")[:top]]
+            others = np.flatnonzero(own != own[k])
+            if here:
+                before = (lies[others, :here] == lies[k, :here]) & (lies[k, :here] != 0)
+                others = others[~before.any(axis=1)]
+            est = _estimate(sigs[k], sigs[others])
+            near, est = others[est >= least], est[est >= least]
+            if top is not None and len(near) > top:
+                near = near[np.argsort(-est, kind="stable")[:top]]
             for j in near:
                 x, y = sorted((nodes[k], nodes[j]))
-                a.append(x), b.append(y), full.append(more)
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()), "more": pa.array(full, pa.bool_())})
+                a.append(x), b.append(y)
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
     return run
 
 
+def _lies(batches):
+    """(node, sig, bands, the buckets that count) -> the buckets by band, 0 for others."""
+    for b in batches:
+        lies = []
+        for bands, mine in zip(b["bands"], b["mine"]):
+            x = bands.values.to_numpy()
+            lies.append(np.where(np.isin(x, mine.values.to_numpy()), x, 0).tobytes())
+        yield pa.record_batch([b["node"], b["sig"], pa.array(lies, pa.binary())], names=["node", "sig", "lies"])
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) with the truth about their full sets."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
@@ -193,16 +212,16 @@ def near_classes(df: DataFrame, size: int, percent: int = 80, id_col: str = "doc
     held = texts.join(bounded(wanted), "key").select("node", "text")
     sets = written(held.mapInArrow(sets_of, "node binary, shingles array<long>").dropDuplicates(["node"]), "sets")
 
+    mine = members.groupBy("node").agg(F.collect_set("bucket").alias("mine"))  # at most one per band
+    placed = nodes.select("node", "sig", "bands").join(mine, "node").mapInArrow(_lies, "node binary, sig binary, lies binary")
+    placed = written(placed, "placed")
     tested = written(_confirmed(pairs, sets, percent), "tested")
-    top = 2
-    while True:
-        roots = components(tested.where("linked").select("a", "b"))
-        proposed = written(_open_pairs(members, sigs, roots, top, least), "proposed")
-        fresh = written(proposed.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "fresh")
-        if fresh.isEmpty() and proposed.where("more").isEmpty():
-            break
-        tested = tested.unionByName(written(_confirmed(fresh, sets, percent), "tested"))
-        top *= 8
+    roots = components(tested.where("linked").select("a", "b"))
+    for top in (NEAREST, None):
+        proposed = _open_pairs(members, placed, roots, top, least).distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
+        more = written(_confirmed(written(proposed, "fresh"), sets, percent), "tested")
+        roots = _merged(roots, more.where("linked"))
+        tested = tested.unionByName(more)
 
     named = (
         sketched.select("doc_id", "node").join(roots, "node", "left")
@@ -214,7 +233,18 @@ def near_classes(df: DataFrame, size: int, percent: int = 80, id_col: str = "doc
     )
 
 
-def _open_pairs(members: DataFrame, sigs: DataFrame, roots: DataFrame, top: int, least: float) -> DataFrame:
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after more links between nodes: links between components are few."""
+    of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+    ends = links.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left")
+    top = components(ends.select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b")))
+    up = top.select(F.col("node").alias("root"), F.col("root").alias("above"))
+    old = roots.join(up, "root", "left").select("node", F.coalesce("above", "root").alias("root"))
+    new = top.join(roots.select("node"), "node", "left_anti")
+    return written(old.unionByName(new), "roots")
+
+
+def _open_pairs(members: DataFrame, placed: DataFrame, roots: DataFrame, top: int | None, least: float) -> DataFrame:
     """Proposals of pairs across components, from the buckets that hold several."""
     at = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     sizes = at.groupBy("bucket", "root").agg(F.count("*").alias("n"))
@@ -224,8 +254,8 @@ def _open_pairs(members: DataFrame, sigs: DataFrame, roots: DataFrame, top: int,
     # The largest component lies in blocks; the others go to each of them.
     own = F.array(F.pmod(F.xxhash64("node"), F.col("blocks")))
     block = F.explode(F.when(F.col("minor"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(own))
-    placed = found.select("bucket", "node", "root", "minor", block.alias("block")).join(sigs, "node")
-    return placed.groupBy("bucket", "block").applyInArrow(_proposals(top, least), "a binary, b binary, more boolean")
+    rows = found.select("bucket", "node", "root", "minor", block.alias("block")).join(placed, "node")
+    return rows.groupBy("bucket", "block").applyInArrow(_proposals(top, least), "a binary, b binary")
 
 
 def near_dedup(df: DataFrame, size: int = 4, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
