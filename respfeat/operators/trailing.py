@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from respfeat.functions import timefx as tx
 from respfeat.functions.stats import EIGHT_STATS, QUARTILES
 from respfeat.operators import selection as sel
-from respfeat.operators.windows import CELL, SEC, cells_per_day, hour_of, time_columns, window_sums
+from respfeat.operators.windows import CELL, SEC, cells_per_day, hour_of, time_columns, window_moments, window_sums
 
 GROUP_ROWS = 4096
 
@@ -81,7 +81,7 @@ def trailing_features(
     )
     large = (
         sliced.groupBy("_e", "_slice")
-        .agg(F.count("*").alias("_n"), F.avg("_v").alias("_centre"))
+        .agg(F.count("*").alias("_n"))
         .where(F.col("_n") > group_rows)
         .drop("_n")
     )
@@ -204,37 +204,32 @@ def _spread(figures: DataFrame, blocks: Sequence[Block]) -> DataFrame:
 
 
 def _by_sums(sliced, blocks, align, duplicate_anchors):
-    """``sliced`` carries ``_centre``, the slice's mean: squares are summed as
-    deviations from it, so that they keep their precision."""
     keys = ["_e", "_slice"]
-    dev = F.col("_v") - F.col("_centre")
     measured = sliced.select(
         *keys, CELL, SEC, "_v", F.col("_own").alias("_anchor"),
         F.lit(1).cast("bigint").alias("_n"),
         F.col("_v").isNotNull().cast("bigint").alias("_nv"),
-        F.coalesce(dev, F.lit(0.0)).alias("_d"),
-        F.coalesce(dev * dev, F.lit(0.0)).alias("_dd"),
         F.when(F.col("_v") > 0, F.ln("_v")).otherwise(0.0).alias("_ln"),
         F.coalesce((F.col("_v") > 0).cast("bigint"), F.lit(0)).alias("_pos"),
     )
     anchors = (
         sliced.where("_own")
         .groupBy("_e", "_slice", "_ts", CELL, SEC)
-        .agg(F.count("*").alias("_times"), F.first("_centre").alias("_centre"))
+        .agg(F.count("*").alias("_times"))
     )
     out = anchors if duplicate_anchors else anchors.withColumn("_times", F.lit(1).cast("bigint"))
     for i, b in enumerate(blocks):
         sums = sel.settle(
-            window_sums(measured, keys, ["_n", "_nv", "_d", "_dd", "_ln", "_pos"], b.days, align, b.same_hour)
+            window_sums(measured, keys, ["_n", "_nv", "_ln", "_pos"], b.days, align, b.same_hour)
         )
-        figures = out.select(*keys, SEC, "_centre").distinct().join(sums, [*keys, SEC])
-        nv = F.col("_nv")
+        moments = window_moments(measured, keys, "_v", b.days, align, b.same_hour)
+        figures = sums.join(moments, [*keys, SEC], "left")
         figures = figures.select(
             *keys, SEC,
             F.col("_n").alias(f"_n{i}"),
-            nv.alias(f"_nv{i}"),
-            F.when(nv > 0, F.col("_centre") + F.col("_d") / nv).alias(f"_mean{i}"),
-            F.when(nv > 0, F.greatest(F.col("_dd") - F.col("_d") * F.col("_d") / nv, F.lit(0.0))).alias(f"_m2{i}"),
+            F.col("_nv").alias(f"_nv{i}"),
+            F.col("_mean").alias(f"_mean{i}"),
+            F.col("_m2").alias(f"_m2{i}"),
             F.when(F.col("_pos") > 0, F.col("_ln")).alias(f"_ln{i}"),
         )
         if "stddev" not in b.stats:
@@ -249,7 +244,7 @@ def _by_sums(sliced, blocks, align, duplicate_anchors):
         figures = figures.join(_searched(measured, sums, b, i, align), [*keys, SEC], "left")
         out = out.join(figures, [*keys, SEC])
     some = reduce(lambda a, c: a | c, [F.col(f"_n{i}") > 0 for i in range(len(blocks))])
-    return out.where(some).drop("_slice", "_centre", CELL, SEC)
+    return out.where(some).drop("_slice", CELL, SEC)
 
 
 def _searched(measured, sums, block, i, align):

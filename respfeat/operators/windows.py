@@ -118,5 +118,47 @@ def window_sums(
     )
 
 
+def window_moments(
+    rows: DataFrame, keys: Sequence[str], value: str, days: int, align: str = "hour", same_hour: bool = False
+) -> DataFrame:
+    """Mean and sum of squared deviations of the values in each anchor's window.
+
+    ``rows`` as for ``window_sums``, with the value, which may be NULL. Values are folded to
+    (count, mean, squares) per hour, and per second for the hour where a window opens; a
+    window joins its own parts only, at most 24 a day and 3,600, however many rows it
+    has: M2 = sum of M2_i + n_i (mean_i - mean)^2. So no digits are lost to values
+    outside the window, and a NaN or infinity touches no window but those that hold it.
+    """
+    keys = list(keys)
+    span = days * cells_per_day(align)
+    n = F.count(value)
+    parts = [n.alias("n"), F.avg(value).alias("mean"), (F.var_pop(value) * n).alias("m2")]
+    part = F.when(F.col("n") > 0, F.struct("n", "mean", "m2"))
+    hour_key = [hour_of(CELL)] if same_hour and align == "hour" else []
+    first = 1 - span if align == "hour" else -span
+    frame = Window.partitionBy(*keys, *hour_key).orderBy(CELL).rangeBetween(first, -1)
+    whole = (
+        rows.groupBy(*keys, CELL).agg(F.bool_or("_anchor").alias("_anchor"), *parts)
+        .withColumn("_parts", F.collect_list(part).over(frame)).where("_anchor").select(*keys, CELL, "_parts")
+    )
+    asked = rows.where("_anchor").select(*keys, CELL, SEC).distinct().join(whole, [*keys, CELL])
+    if align == "hour":
+        opening = rows.where(F.col(value).isNotNull()).groupBy(*keys, CELL, SEC).agg(*parts)
+        opening = opening.groupBy(*keys, (F.col(CELL) + span).alias(CELL)).agg(
+            F.collect_list(F.struct(F.col(SEC).alias("s"), "n", "mean", "m2")).alias("_open")
+        )
+        start = F.col(SEC) - days * tx.DAY
+        late = F.transform(F.filter("_open", lambda x: x["s"] >= start), lambda x: F.struct(x["n"], x["mean"], x["m2"]))
+        none = F.array().cast(asked.schema["_parts"].dataType)
+        asked = asked.join(opening, [*keys, CELL], "left").withColumn("_parts", F.concat("_parts", F.coalesce(late, none)))
+    zero = F.lit(0.0)
+    count = F.aggregate("_parts", F.lit(0).cast("bigint"), lambda a, x: a + x["n"])
+    total = F.aggregate("_parts", zero, lambda a, x: a + x["n"] * x["mean"])
+    mean = F.col("_mean")
+    squares = F.aggregate("_parts", zero, lambda a, x: a + x["m2"] + x["n"] * (x["mean"] - mean) * (x["mean"] - mean))
+    found = asked.where(count > 0).withColumn("_mean", total / count)
+    return found.select(*keys, SEC, "_mean", squares.alias("_m2"))
+
+
 def _or_zero(x: Column) -> Column:
     return F.coalesce(x, F.lit(0))

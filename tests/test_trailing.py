@@ -154,6 +154,28 @@ def test_squares_keep_their_precision(spark, group_rows):
     assert math.isclose(r["s_stddev"], stdev([1, 2, 4]), rel_tol=1e-6)
 
 
+@pytest.mark.parametrize("group_rows, odd", [(4096, 1e9), (60, 1e9), (60, math.nan)])
+def test_odd_values_touch_only_windows_that_hold_them(spark, group_rows, odd):
+    start = at("01-01 00:30:00")
+    plain = [(1, start + timedelta(hours=k), 1.0 + (k * 7) % 13 / 5) for k in range(96)]
+    marked = [(1, t, odd if k == 20 else v) for k, (_, t, v) in enumerate(plain)]
+    blocks = [Block("w", 1), Block("m", 3)]
+    got = {}
+    for name, history in (("plain", plain), ("marked", marked)):
+        out = trailing_features(spark.createDataFrame(history, SCHEMA), "e", "ts", "v", blocks, group_rows=group_rows)
+        got[name] = {r.ts: r for r in out.collect()}
+    for ts, r in got["plain"].items():
+        for b in blocks:
+            hour = ts.replace(minute=0, second=0)
+            if not any(ts - timedelta(days=b.days) <= t < hour for t in (plain[20][1],)):
+                for k in ("pre", "stddev", "per25", "per75", "geomean", "numsord"):
+                    a, c = r[f"{b.prefix}_{k}"], got["marked"][ts][f"{b.prefix}_{k}"]
+                    assert a == c or math.isclose(a, c, rel_tol=1e-12), (ts, b, k)
+    if odd == 1e9:
+        values = [v for _, t, v in marked if plain[80][1] - timedelta(days=3) <= t < plain[80][1].replace(minute=0)]
+        assert odd in values and math.isclose(got["marked"][plain[80][1]]["m_stddev"], stdev(values), rel_tol=1e-9)
+
+
 @pytest.mark.parametrize("group_rows", [4096, 1])
 def test_geomean_over_the_window(spark, group_rows):
     history = [(1, at("01-10 10:00:00"), 4.0), (1, at("01-10 09:00:00"), 2.0), (1, at("01-12 10:30:00"), 9.0)]
