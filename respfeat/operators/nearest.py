@@ -38,6 +38,8 @@ def nearest_match(
     on = list(on)
     per = on if per is None else list(per)
     snap_cols = snapshots.columns
+    # Keys with a NULL match nothing; left in, they would all meet in one task.
+    snapshots, events = snapshots.dropna(subset=on), events.dropna(subset=on)
     payload = [c for c in snap_cols if c not in {*on, snapshot_ts}]
     snap = F.struct(F.col(snapshot_ts).alias("t"), *payload)
     snaps = (

@@ -95,10 +95,13 @@ def confirm_time(orders: DataFrame, hotels: DataFrame, columns: Sequence[str] =
     """Orders with hotel attributes, the first confirmation per order, same-day flag
     and minutes from order to arrival.
 
-    Orders are reduced before the dimension join, so the join sees each order once.
+    Orders are reduced before the dimension join, so the join sees each order once. A
+    hotel that is listed several times gives its first row; ties end in all columns.
     """
-    first = first_per_key(orders, "orderid", ["confirmdate2", "hotel"])
-    return join_dim(first, hotels, "hotel", cols=HOTEL_ATTRIBUTES, how="left").withColumns(
+    ties = [c for c in orders.columns if c not in ("orderid", "confirmdate2", "hotel")]
+    first = first_per_key(orders, "orderid", ["confirmdate2", "hotel", *ties])
+    listed = first_per_key(hotels.select("hotel", *HOTEL_ATTRIBUTES), "hotel", HOTEL_ATTRIBUTES)
+    return join_dim(first, listed, "hotel", cols=HOTEL_ATTRIBUTES, how="left").withColumns(
         {
             "confirmdate": F.col("confirmdate2"),
             "istodayord": tx.same_day_flag("arrival", "orderdate"),

@@ -20,13 +20,14 @@ def first_per_key(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str
 
 
 def with_group_size(df: DataFrame, keys: Sequence[str], name: str = "nums") -> DataFrame:
-    """Each row with the row count of its group.
+    """Each row with the row count of its group; rows with a NULL key form groups too.
 
     Counted map-side and joined back: a window would bring a whole group to one
     task, while a skewed join is split at run time.
     """
-    sizes = df.groupBy(*keys).agg(F.count("*").alias(name))
-    return df.join(sizes, list(keys))
+    sizes = df.groupBy(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)]).agg(F.count("*").alias(name))
+    same = [F.col(k).eqNullSafe(F.col(f"_g{i}")) for i, k in enumerate(keys)]
+    return df.join(sizes, same).drop(*[f"_g{i}" for i in range(len(keys))])
 
 
 def with_neighbours(

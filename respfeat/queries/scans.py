@@ -82,6 +82,16 @@ def sink_csv_slice(spark, sf_dir):
     return sinks.csv_slice(df, scratch_path(spark, "slice-csv"), "ts", "2024-01-10", "2024-01-20")
 
 
+_TEXTS = """case event_id % 7 when 0 then null when 1 then '' when 2 then concat('two', chr(10), 'lines') when 3 then 'a "b", c'
+       when 4 then concat('back', chr(92), 'slash') when 5 then ' padded ' else event_type end"""
+
+
+@query("sink_csv_text", f"select event_id, {_TEXTS} as note, ts from events")
+def sink_csv_text(spark, sf_dir):
+    df = table(spark, sf_dir, "events").select("event_id", F.expr(_TEXTS).alias("note"), "ts")
+    return sinks.csv_export(df, scratch_path(spark, "text-csv"))
+
+
 # -- projections -----------------------------------------------------------------
 
 
@@ -111,11 +121,10 @@ def proj_constant(spark, sf_dir):
 
 @query(
     "proj_unicode_alias",
-    """select ts as "呼出时间", value as "通话时长", user_id as "被叫号码" from events where event_type = 'click'""",
+    """select ts as "呼出时间", value as "通话时长", user_id as "被叫号码" from events""",
 )
 def proj_unicode_alias(spark, sf_dir):
-    calls = table(spark, sf_dir, "events").where(cl.code_is("event_type", "CLICK"))
-    return co.keep_renamed(calls, {"ts": "呼出时间", "value": "通话时长", "user_id": "被叫号码"})
+    return co.keep_renamed(table(spark, sf_dir, "events"), {"ts": "呼出时间", "value": "通话时长", "user_id": "被叫号码"})
 
 
 @query("proj_distinct", "select distinct c_nationkey, c_mktsegment from customer")

@@ -26,16 +26,23 @@ def refresh_table(df: DataFrame, name: str, compression: str = "snappy") -> Data
     return df.sparkSession.table(name)
 
 
-# Microseconds survive the round trip; Spark's default format stops at milliseconds.
+# Every value survives the round trip: microseconds (Spark's default format stops at milliseconds),
+# line breaks, quotes, blanks at the ends, and the empty text next to NULL, which is written as \\N.
 _CSV = {
     "header": True,
+    "nullValue": "\\N",
+    "escape": '"',
+    "multiLine": True,
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 
 
 def csv_export(df: DataFrame, path: str) -> DataFrame:
-    """Write CSV with a header, one file per task, and return it as read back."""
+    """Write CSV with a header, one file per task, and return it as read back. A text
+    ``\\N`` is read as NULL."""
     df.write.mode("overwrite").options(**_CSV).csv(path)
     return df.sparkSession.read.schema(df.schema).options(**_CSV).csv(path)
 

@@ -9,6 +9,7 @@ from respfeat.operators.assemble import assemble, blank_unless, merge_on, requir
 from respfeat.operators.nearest import nearest_match
 from respfeat.operators.ranking import first_per_key, with_group_size
 from respfeat.plans import outcall, overseas, reachability
+from respfeat.sources import sinks
 
 CALLS = "orderid long, dnis_no string, time_in timestamp_ntz, callduration double, calltype string, d string"
 
@@ -298,3 +299,14 @@ def test_assembly_keeps_the_right_rows(spark):
         (0, 1.0, 3.0), (1, None, None), (2, None, None), (3, None, None),
     ]
     assert merge_on(wide.drop("l_pre"), wide.drop("s_pre"), "k").columns == ["k", "s_pre", "l_pre"]
+
+
+def test_csv_gives_back_what_it_wrote(spark, tmp_path):
+    texts = [None, "", "a\nb", 'say "x", y', "back\\slash", " padded ", "\r\n", '"', "é;\t"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    assert rows(sinks.csv_export(df, str(tmp_path / "csv"))) == rows(df)
+
+
+def test_group_size_keeps_null_keys(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (None, "d"), (2, "e")], "k int, v string")
+    assert rows(with_group_size(df, ["k"]), "v", "nums") == [("a", 2), ("b", 2), ("c", 2), ("d", 2), ("e", 1)]
