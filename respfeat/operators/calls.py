@@ -79,10 +79,19 @@ def hour_grid(stats: DataFrame, phone: str, keep: Sequence[str] = ("phone_call_n
 
 def densify(stats: DataFrame, phone: str, fill: bool = True) -> DataFrame:
     """The statistics on the whole grid; hours without calls count 0, or NULL with
-    ``fill=False``."""
+    ``fill=False``.
+
+    A phone's rows, at most one per hour of day, are gathered into one map and looked up for
+    each hour of the grid: one pass over the statistics besides the set of hours.
+    """
     figures = ["nums_conn", "nums_noconn", "con_rate"]
-    grid = hour_grid(stats, phone)
-    full = grid.join(stats.drop("phone_call_nums"), [phone, "time_quantum"], "left")
+    hours = stats.agg(F.sort_array(F.collect_set("time_quantum")))
+    entry = F.when(F.col("time_quantum").isNotNull(), F.struct("time_quantum", F.struct(*figures)))
+    seen = stats.groupBy(phone).agg(
+        F.first("phone_call_nums").alias("phone_call_nums"), F.map_from_entries(F.collect_list(entry)).alias("_seen")
+    )
+    full = seen.withColumn("time_quantum", F.explode(hours.scalar())).withColumn("_at", F.try_element_at("_seen", "time_quantum"))
+    full = full.withColumns({c: F.col("_at")[c] for c in figures})
     if fill:
         full = full.withColumns({c: cl.zero_if_null(c) for c in figures})
     return full.select(phone, "time_quantum", *figures, "phone_call_nums")

@@ -36,7 +36,8 @@ def hour_profile(
     see it as a weight, and sums and quantiles are weighted.
     """
     weights = seen_by(df, entity, ts, days).where("_weight > 0")
-    rows = (
+    # A group whose values are all NULL is there too, with NULL statistics.
+    pooled = (
         df.select(
             entity,
             tx.epoch_days(ts).alias("_day"),
@@ -44,9 +45,9 @@ def hour_profile(
             F.col(value).cast("double").alias("_v"),
         )
         .join(weights, [entity, "_day"])
-        .where(F.col("_v").isNotNull())
     )
     keys = [entity, hour_name]
+    rows = pooled.where(F.col("_v").isNotNull())
     folded = sel.fold(rows, keys, "_v", "_weight")
     w, v = F.col("_w"), F.col("_v")
     means = folded.groupBy(*keys).agg(F.sum(w).alias("_n"), (F.sum(w * v) / F.sum(w)).alias("_mean"))
@@ -57,7 +58,8 @@ def hour_profile(
         .agg(F.sum(w * (v - F.col("_mean")) * (v - F.col("_mean"))).alias("_m2"))
     )
     freedom = F.col("_n") - 1 if stddev == "sample" else F.col("_n")
-    return spread.join(sel.weighted_quantiles(folded, keys, QUARTILES), keys).select(
+    found = spread.join(sel.weighted_quantiles(folded, keys, QUARTILES), keys)
+    return pooled.select(*keys).distinct().join(found, keys, "left").select(
         *keys,
         F.col("_mean").alias(f"{prefix}_pre"),
         F.when(freedom > 0, F.sqrt(F.col("_m2") / freedom)).alias(f"{prefix}_stddev"),
