@@ -34,9 +34,9 @@ from respfeat.llm import gru
 from respfeat.llm.common import body, table, written
 
 #: Words with an id of their own, ids for the others, units of the state.
-OWN_IDS, SHARED_IDS, HIDDEN = 640, 384, 8
-#: Documents that run side by side, step size.
-GROUP, RATE = 512, 0.08
+OWN_IDS, SHARED_IDS, HIDDEN = 384, 192, 8
+#: Documents that run side by side, in training and in scoring; step size.
+GROUP, SCORED_GROUP, RATE = 512, 2048, 0.08
 #: Remainders of the two rounds of training.
 ROUNDS = ((1, 2, 3), (4, 5, 6, 7, 8, 9))
 ADDED = 0.1
@@ -161,7 +161,7 @@ def _sent(shared):
             n = _Numbered(b["text"])
             size = len(n.docs)
             lengths = np.array([len(d) for d in n.docs], np.int64)
-            scores = gru.score(model.flat, model.shape, model.documents(n), GROUP)
+            scores = gru.score(model.flat, model.shape, model.documents(n), SCORED_GROUP)
             places = n.flat().astype(np.int64) * size + np.repeat(np.arange(size), lengths)
             places, times = np.unique(places, return_counts=True)
             # More than two bytes hold goes as several places.
@@ -193,23 +193,30 @@ _NAMES = ["batch", "word", "postings", "shared", "doc_ids", "held_out", "lengths
 _SENT = "batch long, word binary, postings binary, shared int, doc_ids array<long>, held_out array<boolean>, lengths array<long>, scores array<double>"
 
 
-def _folded(t: pa.Table) -> pa.Table:
-    """The rows of one batch -> its documents."""
-    packed = t["postings"].to_pylist()
-    head = next(k for k, p in enumerate(packed) if p is None)
-    docs, held, lengths, scores = (t[c][head].as_py() for c in ("doc_ids", "held_out", "lengths", "scores"))
-    of = np.repeat(np.arange(len(packed)), [len(p) // 4 if p else 0 for p in packed])
-    places = np.frombuffer(b"".join(p for p in packed if p), np.uint16).reshape(-1, 2)
-    at, times = places[:, 0], places[:, 1].astype(float)
+def _folded(total: float, below: np.ndarray):
+    """The rows of one batch -> its documents. total: what counts are divided by; below: the
+    same for words that share an id, by id."""
 
-    def total(col: str) -> np.ndarray:
-        return np.bincount(at, t[col].to_numpy()[of] * times, minlength=len(docs))
+    def fold(t: pa.Table) -> pa.Table:
+        packed = t["postings"].to_pylist()
+        head = next(k for k, p in enumerate(packed) if p is None)
+        docs, held, lengths, scores = (t[c][head].as_py() for c in ("doc_ids", "held_out", "lengths", "scores"))
+        of = np.repeat(np.arange(len(packed)), [len(p) // 4 if p else 0 for p in packed])
+        places = np.frombuffer(b"".join(p for p in packed if p), np.uint16).reshape(-1, 2)
+        at, times = places[:, 0], places[:, 1].astype(float)
+        c, shared = t["c"].to_numpy(), t["shared"].fill_null(-1).to_numpy()
+        logs = np.log10(c + ADDED)
 
-    return pa.table({
-        "doc_id": pa.array(docs, pa.int64()), "held_out": pa.array(held, pa.bool_()), "n_tokens": pa.array(lengths, pa.int64()),
-        "n_known": pa.array(total("known").round().astype(np.int64)), "base_score": pa.array(total("base")),
-        "score": pa.array(np.array(scores) + total("within")),
-    })
+        def summed(by_word: np.ndarray) -> np.ndarray:
+            return np.bincount(at, by_word[of] * times, minlength=len(docs))
+
+        return pa.table({
+            "doc_id": pa.array(docs, pa.int64()), "held_out": pa.array(held, pa.bool_()), "n_tokens": pa.array(lengths, pa.int64()),
+            "n_known": pa.array(summed(c > 0).round().astype(np.int64)), "base_score": pa.array(summed(logs - np.log10(total))),
+            "score": pa.array(np.array(scores) + summed(np.where(shared >= 0, logs - np.log10(below[shared]), 0.0))),
+        })
+
+    return fold
 
 
 def scores(df: DataFrame, counts: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -220,18 +227,13 @@ def scores(df: DataFrame, counts: DataFrame, model: Model, id_col: str = "doc_id
     for r in counts.where(F.col("word").isin(list(own))).collect() if own else []:  # OWN_IDS rows
         shared_sums[r["shared"]][0] -= r["c"]
         shared_sums[r["shared"]][1] -= 1
-    below = F.array(*[F.lit(shared_sums.get(k, [0, 0])[0] + ADDED * (shared_sums.get(k, [0, 0])[1] + 1)) for k in range(SHARED_IDS)])
+    below = np.array([c + ADDED * (v + 1) for c, v in (shared_sums.get(k, (0, 0)) for k in range(SHARED_IDS))])
     shared = df.sparkSession.sparkContext.broadcast(model)
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), (_remainder(id_col) == 0).alias("held_out"), body(text_col).alias("text"))
     sent = rows.mapInArrow(_sent(shared), _SENT).join(counts.select("word", "c"), "word", "left")
-    c = F.coalesce("c", F.lit(0)) + F.lit(ADDED)
-    known = sent.select(
-        "batch", "postings", "doc_ids", "held_out", "lengths", "scores", F.when(F.col("c") > 0, 1.0).otherwise(0.0).alias("known"),
-        F.log10(c / F.lit(n + ADDED * (v + 1))).alias("base"),
-        F.when(F.col("shared") >= 0, F.log10(c / F.get(below, F.col("shared")))).otherwise(0.0).alias("within"),
-    )
-    found = known.groupBy("batch").applyInArrow(
-        _folded, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+    counted = sent.select("batch", "postings", "shared", "doc_ids", "held_out", "lengths", "scores", F.coalesce("c", F.lit(0)).alias("c"))
+    found = counted.groupBy("batch").applyInArrow(
+        _folded(n + ADDED * (v + 1), below), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     )
     return found.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
 
