@@ -67,15 +67,21 @@ def base_spans(texts: DataFrame) -> DataFrame:
     """(key, text) -> key, kind, start, end, found, before, after: the valid matches."""
 
     def of(kind: str) -> Column:
-        pattern = F.lit(PATTERNS[kind])
+        # Arrays side by side: a lambda that reached for the gaps would split the text for each match.
         gaps = F.split("text", PATTERNS[kind], -1)
+        zipped = F.arrays_zip(
+            F.transform(gaps, F.length).alias("gap"), F.regexp_extract_all("text", F.lit(PATTERNS[kind]), 0).alias("found"),
+            F.transform(gaps, lambda g: F.right(g, F.lit(CONTEXT_CHARS))).alias("before"),
+            F.transform(F.slice(gaps, 2, F.size(gaps)), lambda g: F.left(g, F.lit(CONTEXT_CHARS))).alias("after"),
+        )
         each = F.transform(
-            F.regexp_extract_all("text", pattern, 0),
+            zipped,
             lambda m, i: F.struct(
-                F.lit(KINDS.index(kind)).alias("kind"), i.alias("i"), F.length(F.get(gaps, i)).alias("gap"), m.alias("found"),
-                F.right(F.get(gaps, i), F.lit(CONTEXT_CHARS)).alias("before"), F.left(F.get(gaps, i + 1), F.lit(CONTEXT_CHARS)).alias("after"),
+                F.lit(KINDS.index(kind)).alias("kind"), i.alias("i"), m["gap"].alias("gap"), m["found"].alias("found"),
+                m["before"].alias("before"), m["after"].alias("after"),
             ),
         )
+        each = F.filter(each, lambda m: m["found"].isNotNull())
         has = F.col("text").contains(HINTS[kind]) if kind in HINTS else F.col("text").rlike(PATTERNS[kind])
         return F.when(has, each).otherwise(F.array().cast(_ROW))
 
@@ -133,12 +139,10 @@ def term_spans(texts: DataFrame, terms: DataFrame) -> DataFrame:
     listed = bounded(terms)
     keys = written(_terms_of(texts).join(listed, "term", "left_semi").select("key").distinct(), "holders")
     held = texts.join(bounded(keys), "key", "left_semi").dropDuplicates(["key"])
-    gaps = F.split("text", WORD, -1)
-    words = F.transform(
-        F.regexp_extract_all("text", F.lit(WORD), 0),
-        lambda w, i: F.struct(i.alias("i"), F.length(F.get(gaps, i)).alias("gap"), w.alias("found")),
-    )
-    placed = _placed(held.select("key", F.explode(words).alias("m")).select("key", "m.*"))
+    gaps = F.transform(F.split("text", WORD, -1), F.length)
+    words = F.arrays_zip(gaps.alias("gap"), F.regexp_extract_all("text", F.lit(WORD), 0).alias("found"))
+    rows = held.select("key", F.posexplode(words).alias("i", "m")).select("key", "i", "m.gap", "m.found")
+    placed = _placed(rows.where(F.col("found").isNotNull()))
     core = F.regexp_replace("found", _EDGES, "")
     lead = F.length("found") - F.length(F.regexp_replace("found", r"^[^\p{L}\p{N}]+", ""))
     cores = placed.select("key", _core(F.col("found")).alias("term"), (F.col("start") + lead).alias("start"), F.length(core).alias("size"))
