@@ -9,11 +9,12 @@ similarity 0.8 share none of the 40 bands with probability 1e-7.
 3. First, every node looks at one pivot per bucket and takes the one whose signature is
    nearest. Candidates are confirmed on the full sets, and confirmed links merge nodes
    into components. A large group of near copies collapses here, without pairs.
-4. Then, only nodes of different components in a bucket are compared, by signature.
-   Those outside the bucket's largest component propose their nearest partners, and when those
-   are confirmed or refuted, all others that may be similar and are still apart. The
-   largest component is dealt into blocks, so no task holds a large bucket. A pair is
-   proposed in one bucket only.
+4. Then, nodes of different components in a bucket are compared. Those of the bucket's
+   largest component and all others are dealt into blocks, and each pair of blocks is a group of its
+   own, so no task holds a large bucket. Signatures tell which nodes have a partner that may be
+   similar; the full sets of these meet, block pair by block pair, and every such pair that is
+   still apart is tested. Only links leave a group, fewer than it has nodes, never pairs. A pair
+   is compared in one bucket only.
 
 Signatures only propose: a pair is dropped unseen when its estimate lies more than four
 standard errors below the threshold.
@@ -40,10 +41,10 @@ PERMUTATIONS, BAND = 100, 5
 THRESHOLD = 0.8
 #: Signatures agree on one value with probability similarity + 1/256.
 SLACK = 4 * (0.8 * 0.2 / (2 * PERMUTATIONS)) ** 0.5
-#: Partners that a node proposes in the first round; in the second, all that are left.
-NEAREST = 4
-#: Members of a bucket's largest component that one task compares at a time.
-BLOCK = 1024
+#: Nodes of a block on average, and shingles of its sets; a group has two blocks.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 19
+#: Partners of a node that are tested at a time, the nearest first.
+TESTED = 64
 _U = np.uint64
 _ODD = np.random.default_rng(20240501).integers(0, 2**63, PERMUTATIONS).astype(_U) * _U(2) + _U(1)
 _MIX = _U(0x9E3779B97F4A7C15)
@@ -117,44 +118,88 @@ def _pair_estimate(batches):
         yield pa.record_batch([b["a"], b["b"], pa.array(est)], names=["a", "b", "est"])
 
 
-def _proposals(top: int | None, least: float):
-    """For one block of a bucket: each node that is not of the largest component proposes its
-    nearest partners in other components, all of them if ``top`` is None. A pair is
-    proposed in the first bucket that both lie in, and in no other."""
+class _Blocks:
+    """One pair of blocks of a bucket: the pairs across components that may be similar. A pair is
+    looked at in the first bucket that both lie in, and in no other."""
+
+    def __init__(self, t: pa.Table, percent: int, least: float) -> None:
+        self.t, self.percent, self.least = t, percent, least
+        self.nodes = t["node"].to_pylist()
+        self.sigs = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(len(self.nodes), -1)
+        self.lies = np.frombuffer(b"".join(t["lies"].to_pylist()), np.int64).reshape(len(self.nodes), -1)
+        self.here = int(np.flatnonzero(self.lies[0] == t["bucket"][0].as_py())[0])
+        self.n = t["n"].to_numpy()
+        number = {r: k for k, r in enumerate(dict.fromkeys(t["root"].to_pylist()))}
+        #: Changes as links are found.
+        self.root = np.array([number[r] for r in t["root"].to_pylist()])
+        block, first, second = t["block"].to_numpy(), t["one"][0].as_py(), t["other"][0].as_py()
+        self.first, self.second, self.same = np.flatnonzero(block == first), np.flatnonzero(block == second), first == second
+
+    def partners(self, k: int) -> np.ndarray:
+        """Those of the second block that may be similar to k of the first, the nearest first."""
+        others = self.second[self.second > k] if self.same else self.second
+        n, m = self.n[k], self.n[others]
+        others = others[(self.root[others] != self.root[k]) & (100 * np.minimum(n, m) >= self.percent * np.maximum(n, m))]
+        if self.here:
+            before = (self.lies[others, : self.here] == self.lies[k, : self.here]) & (self.lies[k, : self.here] != 0)
+            others = others[~before.any(axis=1)]
+        est = _estimate(self.sigs[k], self.sigs[others])
+        near = est >= self.least
+        return others[near][np.argsort(-est[near], kind="stable")]
+
+
+def _with_partners(percent: int, least: float):
+    """One pair of blocks -> its nodes with a partner that may be similar."""
 
     def run(t: pa.Table) -> pa.Table:
-        nodes, roots = t["node"].to_pylist(), t["root"].to_pylist()
-        sigs = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(len(nodes), -1)
-        lies = np.frombuffer(b"".join(t["lies"].to_pylist()), np.int64).reshape(len(nodes), -1)
-        here = int(np.flatnonzero(lies[0] == t["bucket"][0].as_py())[0])
-        number = {r: k for k, r in enumerate(dict.fromkeys(roots))}
-        own = np.array([number[r] for r in roots])
+        g, hit = _Blocks(t, percent, least), np.zeros(t.num_rows, bool)
+        for k in g.first:
+            near = g.partners(k)
+            hit[near] = True
+            hit[k] |= len(near) > 0
+        return t.select(["bucket", "one", "other", "block", "node"]).filter(pa.array(hit))
+
+    return run
+
+
+def _links(percent: int, least: float):
+    """One pair of blocks, with full sets -> links that join all components with a similar pair."""
+
+    def run(t: pa.Table) -> pa.Table:
+        g = _Blocks(t, percent, least)
+        sets = [x.values.to_numpy() for x in t["shingles"]]
+        own = np.unique(np.concatenate(sets))
+        sets = [np.searchsorted(own, x) for x in sets]
+        has = np.zeros(len(own), bool)
         a, b = [], []
-        for k in np.flatnonzero(np.array(t["minor"].to_pylist(), bool)):
-            others = np.flatnonzero(own != own[k])
-            if here:
-                before = (lies[others, :here] == lies[k, :here]) & (lies[k, :here] != 0)
-                others = others[~before.any(axis=1)]
-            est = _estimate(sigs[k], sigs[others])
-            near, est = others[est >= least], est[est >= least]
-            if top is not None and len(near) > top:
-                near = near[np.argsort(-est, kind="stable")[:top]]
-            for j in near:
-                x, y = sorted((nodes[k], nodes[j]))
-                a.append(x), b.append(y)
+        for k in g.first:
+            left = g.partners(k)
+            if len(left):
+                has[sets[k]] = True
+            while len(left):
+                tried, left = left[:TESTED], left[TESTED:]
+                ends = np.cumsum(g.n[tried])
+                both = np.add.reduceat(has[np.concatenate([sets[j] for j in tried])].astype(np.int64), ends - g.n[tried])
+                for j in tried[100 * both >= percent * (g.n[k] + g.n[tried] - both)]:
+                    if g.root[j] != g.root[k]:
+                        g.root[g.root == g.root[j]] = g.root[k]
+                        x, y = sorted((g.nodes[k], g.nodes[j]))
+                        a.append(x), b.append(y)
+                left = left[g.root[left] != g.root[k]]
+            has[sets[k]] = False
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
     return run
 
 
 def _lies(batches):
-    """(node, sig, bands, the buckets that count) -> the buckets by band, 0 for others."""
+    """(node, n, sig, bands, the buckets that count) -> the buckets by band, 0 for others."""
     for b in batches:
         lies = []
         for bands, mine in zip(b["bands"], b["mine"]):
             x = bands.values.to_numpy()
             lies.append(np.where(np.isin(x, mine.values.to_numpy()), x, 0).tobytes())
-        yield pa.record_batch([b["node"], b["sig"], pa.array(lies, pa.binary())], names=["node", "sig", "lies"])
+        yield pa.record_batch([b["node"], b["n"], b["sig"], pa.array(lies, pa.binary())], names=["node", "n", "sig", "lies"])
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -185,8 +230,8 @@ def near_classes(df: DataFrame, size: int, percent: int = 80, id_col: str = "doc
     sketched = written(
         texts.mapInArrow(_sketch(size), "doc_id long, key string, n long, node binary, sig binary, bands array<long>"), "sketches"
     )
-    nodes = sketched.where("n > 0").groupBy("node").agg(F.min_by(F.struct("key", "sig", "bands"), "key").alias("s"))
-    nodes = written(nodes.select("node", "s.key", "s.sig", "s.bands"), "nodes")
+    nodes = sketched.where("n > 0").groupBy("node").agg(F.min_by(F.struct("key", "n", "sig", "bands"), "key").alias("s"))
+    nodes = written(nodes.select("node", "s.key", "s.n", "s.sig", "s.bands"), "nodes")
     members = written(_members(nodes), "buckets")
     sigs = nodes.select("node", "sig")
 
@@ -213,15 +258,12 @@ def near_classes(df: DataFrame, size: int, percent: int = 80, id_col: str = "doc
     sets = written(held.mapInArrow(sets_of, "node binary, shingles array<long>").dropDuplicates(["node"]), "sets")
 
     mine = members.groupBy("node").agg(F.collect_set("bucket").alias("mine"))  # at most one per band
-    placed = nodes.select("node", "sig", "bands").join(mine, "node").mapInArrow(_lies, "node binary, sig binary, lies binary")
+    placed = nodes.select("node", "n", "sig", "bands").join(mine, "node").mapInArrow(_lies, "node binary, n long, sig binary, lies binary")
     placed = written(placed, "placed")
     tested = written(_confirmed(pairs, sets, percent), "tested")
     roots = components(tested.where("linked").select("a", "b"))
-    for top in (NEAREST, None):
-        proposed = _open_pairs(members, placed, roots, top, least).distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        more = written(_confirmed(written(proposed, "fresh"), sets, percent), "tested")
-        roots = _merged(roots, more.where("linked"))
-        tested = tested.unionByName(more)
+    roots = written(roots, "roots")
+    roots = _merged(roots, written(_late_links(members, placed, roots, sets, percent, least), "links"))
 
     named = (
         sketched.select("doc_id", "node").join(roots, "node", "left")
@@ -244,18 +286,36 @@ def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     return written(old.unionByName(new), "roots")
 
 
-def _open_pairs(members: DataFrame, placed: DataFrame, roots: DataFrame, top: int | None, least: float) -> DataFrame:
-    """Proposals of pairs across components, from the buckets that hold several."""
+def _dealt(members: DataFrame, placed: DataFrame, roots: DataFrame) -> DataFrame:
+    """(bucket, one, other, block, node): the buckets that hold several components, by pairs of blocks."""
     at = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    sizes = at.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    mixed = sizes.groupBy("bucket").agg(F.count("*").alias("roots"), F.max(F.struct("n", "root")).alias("m")).where("roots > 1")
-    mixed = mixed.select("bucket", F.col("m.root").alias("major"), (1 + F.floor(F.col("m.n") / BLOCK)).alias("blocks"))
-    found = at.join(mixed, "bucket").withColumn("minor", F.col("root") != F.col("major"))
-    # The largest component lies in blocks; the others go to each of them.
-    own = F.array(F.pmod(F.xxhash64("node"), F.col("blocks")))
-    block = F.explode(F.when(F.col("minor"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(own))
-    rows = found.select("bucket", "node", "root", "minor", block.alias("block")).join(placed, "node")
-    return rows.groupBy("bucket", "block").applyInArrow(_proposals(top, least), "a binary, b binary")
+    at = at.join(placed.select("node", "n"), "node")
+    sizes = at.groupBy("bucket", "root").agg(F.count("*").alias("nodes"), F.sum("n").alias("shingles"))
+    blocks = lambda nodes, shingles: F.greatest(F.ceil(nodes / BLOCK), F.ceil(shingles / BLOCK_SHINGLES))
+    most = F.max(F.struct("nodes", "shingles", "root"))
+    mixed = sizes.groupBy("bucket").agg(
+        F.count("*").alias("roots"), F.sum("nodes").alias("nodes"), F.sum("shingles").alias("shingles"), most.alias("m")
+    ).where("roots > 1")
+    mixed = mixed.select(
+        "bucket", F.col("m.root").alias("major"), blocks(F.col("nodes") - F.col("m.nodes"), F.col("shingles") - F.col("m.shingles")).alias("minors"),
+        blocks(F.col("m.nodes"), F.col("m.shingles")).alias("majors"),
+    )
+    # Blocks of the others come first, then those of the largest component, which aren't compared with one another.
+    hash_of, minor = F.xxhash64("node"), F.col("root") != F.col("major")
+    block = F.when(minor, F.pmod(hash_of, F.col("minors"))).otherwise(F.col("minors") + F.pmod(hash_of, F.col("majors")))
+    found = at.join(mixed, "bucket").withColumn("block", block)
+    with_blocks = F.when(minor, F.col("minors") + F.col("majors")).otherwise(F.col("minors"))
+    dealt = found.select("bucket", "node", "block", F.explode(F.sequence(F.lit(0).cast("long"), with_blocks - 1)).alias("with"))
+    return dealt.select("bucket", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("other"), "block", "node")
+
+
+def _late_links(members: DataFrame, placed: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, least: float) -> DataFrame:
+    """Links across components."""
+    by = ["bucket", "one", "other"]
+    full = lambda rows: rows.join(placed, "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    some = full(_dealt(members, placed, roots)).groupBy(*by).applyInArrow(_with_partners(percent, least), "bucket long, one long, other long, block long, node binary")
+    some = written(some, "partners")
+    return full(some).join(sets, "node").groupBy(*by).applyInArrow(_links(percent, least), "a binary, b binary")
 
 
 def near_dedup(df: DataFrame, size: int = 4, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -173,6 +173,34 @@ def test_near_dedup_equals_brute_force(docs_of):
     assert {r["doc_id"] for r in five.collect()} - {None} == {i for i, _ in rows} - gone - {None}
 
 
+def test_near_dedup_of_forms_in_bounded_groups(docs_of, monkeypatch):
+    """One form filled in differently: a large bucket of many components, with a few links among them."""
+    form = prose(4, 120).split()
+    rows = []
+    for k in range(240):
+        rows.append((k, " ".join([f"own{k}x{j}" for j in range(18)] + form[18:])))
+    rows += [(500 + k, rows[k][1] + " end") for k in range(0, 240, 20)]
+    monkeypatch.setattr(near_dedup, "BLOCK", 32)
+    assert got(near_dedup.near_dedup(docs_of(rows), size=1), "doc_id", "n_shingles", "component_id") == near_wanted(rows, 1)
+
+
+def test_pairs_of_blocks_are_bounded_and_hold_each_pair_once(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 64)
+    n, major = 1500, 500
+    members = spark.range(n).selectExpr("7L as bucket", "cast(cast(id as string) as binary) as node", f"{n}L as size")
+    placed = members.selectExpr("node", "100L as n")
+    roots = members.where(f"cast(cast(node as string) as int) < {major}").selectExpr("node", "cast('0' as binary) as root")
+    groups = collections.defaultdict(lambda: ([], []))
+    for r in near_dedup._dealt(members, placed, roots).collect():
+        groups[r["one"], r["other"]][r["block"] == r["other"]].append(int(bytes(r["node"])))
+    assert max(len(a) + len(b) for a, b in groups.values()) < 4 * near_dedup.BLOCK
+    met = collections.Counter()
+    for (i, j), (a, b) in groups.items():
+        met.update((min(x, y), max(x, y)) for x in (b if i == j else a) for y in b if i != j or x < y)
+    want = {(x, y) for y in range(n) for x in range(y) if y >= major}
+    assert set(met) == want and max(met.values()) == 1
+
+
 def test_near_dedup_of_nothing(docs_of):
     assert near_dedup.near_dedup(docs_of([]).limit(0)).count() == 0
     assert got(near_dedup.near_dedup(docs_of([(1, None), (2, "a")])), "doc_id", "component_id") == [(1, 1), (2, 2)]
