@@ -10,6 +10,9 @@
 4. The distinct snippets under a mark, joined by separators, go through linear grouping
    (``suffixes``): in the suffix array equal strings are neighbours, and neighbours are compared
    in full. Each learns its earliest place in the corpus.
+   A mark with many distinct snippets (a frequent line in ever other surroundings) is split: of its
+   strings, those whose hash occurs in several snippets are grouped by their full content, and the
+   earliest places are folded before they are shuffled. So a task never holds all of a mark.
 5. A string that begins later than its earliest place is a repetition; bytes that
    repetitions cover are removed.
 
@@ -40,6 +43,8 @@ _CHUNK = 1 << 20
 _PLACE = np.uint64((1 << 21) - 1)
 #: Bytes of snippets that go through linear grouping together, and how long a string joins in.
 _BLOCK, _LONG = 1 << 21, 4096
+#: Bytes of snippets under one mark, from which on it is split by its strings.
+SPLIT = 1 << 17
 
 
 def marks(text: bytes, length: int = LENGTH, mark: int = MARK) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -224,6 +229,69 @@ def _grouped(length: int):
     return run
 
 
+def _string_hashes(content: bytes, length: int) -> np.ndarray:
+    return byte_windows(np.frombuffer(content, np.uint8), length).view(np.int64)
+
+
+def _hashed(length: int):
+    """Snippets -> (h, mark, snippet): the hashes of their strings."""
+
+    def run(batches):
+        for b in batches:
+            own = [np.unique(_string_hashes(c.as_py(), length)) for c in b["content"]]
+            of = np.repeat(np.arange(len(own)), [len(x) for x in own])
+            h = np.concatenate(own) if own else np.zeros(0, np.int64)
+            yield pa.record_batch([pa.array(h), b["mark"].take(pa.array(of)), b["snippet"].take(pa.array(of))], names=["h", "mark", "snippet"])
+
+    return run
+
+
+def _strings(length: int):
+    """Snippets with the hashes that occur elsewhere too -> those strings in full, with their earliest places there."""
+
+    def run(batches):
+        for b in batches:
+            cols: list[list] = [[] for _ in range(6)]
+            for m, name, i, s, content, asked in zip(*(b[c].to_pylist() for c in ("mark", "snippet", "id", "start", "content", "hashes"))):
+                for k in np.flatnonzero(np.isin(_string_hashes(content, length), np.array(asked, np.int64))).tolist():
+                    for c, x in zip(cols, (m, name, k, i, s + k, content[k : k + length])):
+                        c.append(x)
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, kinds)], names=["mark", "snippet", "k", "id", "place", "string"])
+
+    return run
+
+
+def _filled(batches):
+    """Snippets with what is known of some of their strings -> the earliest places of all their strings."""
+    for b in batches:
+        ids, places = [], []
+        for i, s, n, known in zip(*(b[c].to_pylist() for c in ("id", "start", "n", "known"))):
+            to_id, to_place = np.full(n, i, np.int64), s + np.arange(n, dtype=np.int64)
+            for x in known or ():
+                to_id[x["k"]], to_place[x["k"]] = x["id"], x["place"]
+            ids.append(to_id.tobytes()), places.append(to_place.tobytes())
+        yield pa.record_batch([b["mark"], b["snippet"], pa.array(ids, pa.binary()), pa.array(places, pa.binary())], names=["mark", "snippet", "ids", "places"])
+
+
+def _split(snippets: DataFrame, length: int) -> DataFrame:
+    """What ``_grouped`` gives, for marks with any number of snippets; groups are equal strings."""
+    one = F.min(F.struct("id", "start", "n", "content")).alias("s")
+    own = written(snippets.groupBy("mark", "snippet").agg(one).select("mark", "snippet", "s.*"), "split")
+    hashed = own.select("mark", "snippet", "content").mapInArrow(_hashed(length), "h long, mark long, snippet long")
+    again = written(hashed.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "again")
+    asked = hashed.join(bounded(again), "h").groupBy("mark", "snippet").agg(F.collect_list("h").alias("hashes"))
+    each = own.join(asked, ["mark", "snippet"]).select("mark", "snippet", "id", "start", "content", "hashes")
+    each = written(each.mapInArrow(_strings(length), "mark long, snippet long, k int, id long, place long, string binary"), "strings")
+    first = each.groupBy("string").agg(F.min(F.struct("id", "place")).alias("f"))
+    known = each.select("mark", "snippet", "k", "string").join(first, "string").groupBy("mark", "snippet").agg(
+        F.collect_list(F.struct("k", "f.id", "f.place")).alias("known")
+    )
+    return own.select("mark", "snippet", "id", "start", "n").join(known, ["mark", "snippet"], "left").mapInArrow(
+        _filled, "mark long, snippet long, ids binary, places binary"
+    )
+
+
 def _late(batches):
     """Places of snippets with the earliest places of their strings -> the starts that are repetitions."""
     for b in batches:
@@ -278,10 +346,13 @@ def repeated_bytes(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     placed = written(some.join(asked, "row").mapInArrow(_cut_out(length), _PLACED), "snippets")
 
     contents = placed.where("content is not null").select("mark", "snippet", "id", "start", "n", "content")
+    held = contents.groupBy("mark").agg(F.sum(F.octet_length("content")).alias("bytes"))
+    large = bounded(written(held.where(F.col("bytes") > SPLIT).select("mark"), "large"))
     firsts = (
-        contents.repartition("mark").sortWithinPartitions("mark", "content")
+        contents.join(large, "mark", "left_anti").repartition("mark").sortWithinPartitions("mark", "content")
         .mapInArrow(_grouped(length), "mark long, snippet long, ids binary, places binary")
     )
+    firsts = firsts.unionByName(_split(contents.join(large, "mark", "left_semi"), length))
     back = placed.where("content is null").select("mark", "snippet", "row", "id", "start").join(firsts, ["mark", "snippet"])
     late = back.mapInArrow(_late, "row long, starts binary").where(F.octet_length("starts") > 0)
     starts = written(late.groupBy("row").agg(F.collect_list("starts").alias("starts")), "starts")

@@ -295,6 +295,33 @@ def test_suffix_dedup_equals_brute_force(docs_of):
     assert suffix_dedup.suffix_dedup(docs_of(rows).limit(0)).count() == 0
 
 
+def test_suffix_dedup_of_a_frequent_line_in_bounded_groups(docs_of, monkeypatch):
+    line = "This line of seventy bytes stands in every third document of all, so. "
+    near = [prose(60 + k % 5, 4) for k in range(60)]
+    rows = [(k, prose(k, 12) + f" {k} " + (near[k] if k % 3 else "") + line + (near[-k] if k % 2 else "") + f" {k} " + prose(k + 9, 12)) for k in range(60)]
+    rows += [(None, rows[7][1][:400] + "!"), (70, rows[8][1][50:]), (8, rows[9][1] + "?")]
+    grouped = suffix_dedup._grouped
+    monkeypatch.setattr(suffix_dedup, "SPLIT", 3000)
+
+    def seen(length):
+        def run(batches):
+            for b in batches:
+                by = collections.Counter()
+                for m, c in zip(b["mark"].to_pylist(), b["content"].to_pylist()):
+                    by[m] += len(c)
+                assert max(by.values(), default=0) <= 3000
+                yield from grouped(length)([b])
+
+        return run
+
+    monkeypatch.setattr(suffix_dedup, "_grouped", seen)
+    want = bytes_wanted(rows, 100)
+    assert got(suffix_dedup.suffix_dedup(docs_of(rows).coalesce(1)), *_BYTES) == want
+    assert sum(r[2] > 0 for r in want) > 10
+    monkeypatch.setattr(suffix_dedup, "SPLIT", 0)
+    assert got(suffix_dedup.suffix_dedup(docs_of(rows)), *_BYTES) == want
+
+
 def test_suffix_dedup_on_the_table(documents):
     assert got(suffix_dedup.suffix_dedup(documents), *_BYTES) == bytes_wanted(pairs(documents), 100)
 
