@@ -4,7 +4,7 @@ Counts. Each task folds its words before they are shuffled; counts cover all tra
 documents, those whose crc32 of the id leaves a remainder other than 0.
 
 Model. The most frequent words have ids of their own, all others share ids by a hash of
-their ending. The network gives P(id | what came before), with the state carried over the whole
+their ending; both numbers follow the vocabulary that was counted. The network gives P(id | what came before), with the state carried over the whole
 document; within a shared id a word has its smoothed share of the counts. So the
 score is the log-probability of the text, over any vocabulary. Every training document is learned from
 once: tasks train side by side on theirs and the weights are averaged by Spark, first over the
@@ -33,8 +33,10 @@ from pyspark.sql import functions as F
 from respfeat.llm import gru
 from respfeat.llm.common import body, table, written
 
-#: Words with an id of their own, ids for the others, units of the state.
-OWN_IDS, SHARED_IDS, HIDDEN = 384, 192, 8
+#: Words with an id of their own, ids for the others, both at least; units of the state.
+OWN_IDS, SHARED_IDS, HIDDEN = 640, 384, 8
+#: They grow with the root of the vocabulary: ids of their own, and for the others, times that root.
+OWN_GROWTH, SHARED_GROWTH = 2.0, 1.2
 #: Documents that run side by side, in training and in scoring; step size.
 GROUP, SCORED_GROUP, RATE = 512, 2048, 0.08
 #: Remainders of the two rounds of training.
@@ -50,8 +52,14 @@ def _remainder(id_col: str):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 10, F.lit(0))
 
 
-def _shared_id(word: bytes) -> int:
-    return zlib.crc32(word.rstrip(b".,")[-3:]) % SHARED_IDS
+def _ending(word: bytes) -> int:
+    return zlib.crc32(word.rstrip(b".,")[-3:])
+
+
+def ids_for(vocabulary: int) -> tuple[int, int]:
+    """How many words of a vocabulary have ids of their own, and how many ids the others share."""
+    root = vocabulary**0.5
+    return max(OWN_IDS, int(OWN_GROWTH * root)), max(SHARED_IDS, int(SHARED_GROWTH * root))
 
 
 class _Numbered:
@@ -85,20 +93,23 @@ def _count(batches):
         n = _Numbered(b["text"])
         c = np.bincount(n.flat(), minlength=len(n.words))
         yield pa.record_batch(
-            [pa.array(n.words, pa.binary()), pa.array(c), pa.array([_shared_id(w) for w in n.words], pa.int32())], names=["word", "n", "shared"]
+            [pa.array(n.words, pa.binary()), pa.array(c), pa.array([_ending(w) for w in n.words], pa.int64())], names=["word", "n", "ending"]
         )
 
 
 class Model:
     """Weights of the network, and which words have ids of their own."""
 
-    def __init__(self, own: dict[bytes, int], flat: np.ndarray) -> None:
-        self.own, self.flat = own, flat
-        self.shape = gru.Shape(OWN_IDS + SHARED_IDS, HIDDEN)
+    def __init__(self, own: dict[bytes, int], own_ids: int, shared_ids: int, flat: np.ndarray) -> None:
+        self.own, self.own_ids, self.shared_ids, self.flat = own, own_ids, shared_ids, flat
+        self.shape = gru.Shape(own_ids + shared_ids, HIDDEN)
+
+    def shared_id(self, word: bytes) -> int:
+        return _ending(word) % self.shared_ids
 
     def ids(self, words: list[bytes]) -> np.ndarray:
         own = self.own
-        return np.array([own[w] if w in own else OWN_IDS + _shared_id(w) for w in words], np.int64)
+        return np.array([own[w] if w in own else self.own_ids + self.shared_id(w) for w in words], np.int64)
 
     def documents(self, n: _Numbered) -> list[np.ndarray]:
         ids = self.ids(n.words)
@@ -122,23 +133,24 @@ def _learner(shared):
 
 
 def word_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(word, shared, c) over the training documents, written."""
+    """(word, ending, c) over the training documents, written."""
     rows = df.where(_remainder(id_col) != 0).select(body(text_col).alias("text"))
     return written(
-        rows.mapInArrow(_count, "word binary, n long, shared int").groupBy("word").agg(F.first("shared").alias("shared"), F.sum("n").alias("c")),
+        rows.mapInArrow(_count, "word binary, n long, ending long").groupBy("word").agg(F.first("ending").alias("ending"), F.sum("n").alias("c")),
         "counts",
     )
 
 
 def train(df: DataFrame, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    top = counts.orderBy(F.desc("c"), "word").limit(OWN_IDS).collect()  # OWN_IDS rows
-    mass = np.zeros(OWN_IDS + SHARED_IDS)
-    for r in counts.groupBy("shared").agg(F.sum("c").alias("c")).collect():  # SHARED_IDS rows
-        mass[OWN_IDS + r["shared"]] = r["c"]
+    own_ids, shared_ids = ids_for(counts.count())
+    top = counts.orderBy(F.desc("c"), "word").limit(own_ids).collect()  # own_ids rows
+    mass = np.zeros(own_ids + shared_ids)
+    for r in _by_shared_id(counts, shared_ids):
+        mass[own_ids + r["shared"]] = r["c"]
     for k, r in enumerate(top):
         mass[k] = r["c"]
-        mass[OWN_IDS + r["shared"]] -= r["c"]
-    model = Model({bytes(r["word"]): k for k, r in enumerate(top)}, np.zeros(0))
+        mass[own_ids + r["ending"] % shared_ids] -= r["c"]
+    model = Model({bytes(r["word"]): k for k, r in enumerate(top)}, own_ids, shared_ids, np.zeros(0))
     model.flat = model.shape.initial(mass)
     for remainders in ROUNDS:
         shared = df.sparkSession.sparkContext.broadcast(model)
@@ -147,10 +159,15 @@ def train(df: DataFrame, counts: DataFrame, id_col: str = "doc_id", text_col: st
         got = mean.toArrow()  # one row per weight
         flat = model.flat.copy()
         flat[got["i"].to_numpy()] = got["v"].to_numpy()
-        model = Model(model.own, flat)
+        model = Model(model.own, own_ids, shared_ids, flat)
     return model
 
 
+def _by_shared_id(counts: DataFrame, shared_ids: int) -> list:
+    """Rows (shared, c, v), one per shared id: its tokens and its words."""
+    return counts.groupBy((F.col("ending") % shared_ids).alias("shared")).agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect()
+
+
 def _sent(shared):
     """(doc_id, held_out, text) -> per batch, one row for each distinct word with its places and
     one with the documents and what the network says."""
@@ -176,7 +193,7 @@ def _sent(shared):
             at, w = (part << 24) + k, len(n.words)
             yield pa.record_batch([
                 pa.array(np.full(w, at)), pa.array(n.words, pa.binary()), postings,
-                pa.array([-1 if x in model.own else _shared_id(x) for x in n.words], pa.int32()),
+                pa.array([-1 if x in model.own else model.shared_id(x) for x in n.words], pa.int32()),
                 pa.nulls(w, pa.list_(pa.int64())), pa.nulls(w, pa.list_(pa.bool_())), pa.nulls(w, pa.list_(pa.int64())), pa.nulls(w, pa.list_(pa.float64())),
             ], names=_NAMES)
             # A word with a space meets no count; the number spreads these rows over the partitions.
@@ -222,12 +239,12 @@ def _folded(total: float, below: np.ndarray):
 def scores(df: DataFrame, counts: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row."""
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    own = {bytes(w): 0 for w in model.own}
-    shared_sums = {r["shared"]: [r["c"], r["v"]] for r in counts.groupBy("shared").agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect()}
-    for r in counts.where(F.col("word").isin(list(own))).collect() if own else []:  # OWN_IDS rows
-        shared_sums[r["shared"]][0] -= r["c"]
-        shared_sums[r["shared"]][1] -= 1
-    below = np.array([c + ADDED * (v + 1) for c, v in (shared_sums.get(k, (0, 0)) for k in range(SHARED_IDS))])
+    shared_sums = {r["shared"]: [r["c"], r["v"]] for r in _by_shared_id(counts, model.shared_ids)}
+    own = df.sparkSession.createDataFrame([(w,) for w in model.own], "word binary")
+    for r in counts.join(F.broadcast(own), "word", "left_semi").collect():  # own_ids rows
+        shared_sums[r["ending"] % model.shared_ids][0] -= r["c"]
+        shared_sums[r["ending"] % model.shared_ids][1] -= 1
+    below = np.array([c + ADDED * (v + 1) for c, v in (shared_sums.get(k, (0, 0)) for k in range(model.shared_ids))])
     shared = df.sparkSession.sparkContext.broadcast(model)
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), (_remainder(id_col) == 0).alias("held_out"), body(text_col).alias("text"))
     sent = rows.mapInArrow(_sent(shared), _SENT).join(counts.select("word", "c"), "word", "left")

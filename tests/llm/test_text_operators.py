@@ -463,6 +463,20 @@ def test_lm_base_equals_counts_and_model_is_better(documents):
     assert score > base
 
 
+def test_lm_ids_follow_the_vocabulary(spark):
+    small, large = (
+        spark.range(n).selectExpr("cast(concat('w', id) as binary) as word", "crc32(concat('w', id)) as ending", "id + 1 as c") for n in (50, 400_000)
+    )
+    none = spark.createDataFrame([], "doc_id long, text string")
+    models = [lm_scoring.train(none, c) for c in (small, large)]
+    assert models[0].shape.ids >= 640 + 384
+    assert len(models[1].own) > 640 and models[1].own_ids + models[1].shared_ids > 640 + 384
+    assert models[1].shape.classes > models[0].shape.classes
+    text = " ".join(f"w{k}" for k in range(0, 400_000, 1000))
+    scored = lm_scoring.scores(spark.createDataFrame([(1, text)], none.schema), large, models[1]).first()
+    assert scored["n_known"] == 400 and math.isfinite(scored["score"])
+
+
 def test_lm_on_odd_rows(docs_of):
     df = docs_of(EDGES + [(60 + k, prose(k, 20)) for k in range(30)])
     counts = lm_scoring.word_counts(df)
