@@ -2,10 +2,10 @@
 
 Patterns find protected entities: e-mail addresses, IP addresses, payment cards, phone
 numbers. Information-theoretic sanitisation adds the terms that reveal them. For a term t that
-stands within five words of an entity e, the corpus estimates P(e | t), the share of t's
-documents that hold e beside it, and the information log2(P(e | t) / P(e)). A term with
-P(e | t) of a half and five bits or more for some entity, seen with it in three
-different texts, exceeds the threshold. Such terms are spans wherever they occur: generalised
+stands in a text with an entity e, anywhere in it, the corpus estimates P(e | t), the share of
+t's documents that hold e, smoothed by one document of the corpus at large, and the information
+log2(P(e | t) / P(e)). A term with P(e | t) of a half and five bits or more for some entity
+exceeds the threshold, so a term of one text with an entity does too. Such terms are spans wherever they occur: generalised
 to a placeholder while the entity is only likely (P below 0.9), removed beyond.
 
 The patterns are written so that Java's engine runs in linear time and without recursion:
@@ -34,10 +34,11 @@ PATTERNS = {
 }
 #: A text without one of these holds no span of the kind.
 HINTS = {"email": "@", "phone": "+"}
-CONTEXT_WORDS, CONTEXT_CHARS = 5, 80
-SUPPORT, LIKELY, BITS, CERTAIN = 3, 0.5, 5.0, 0.9
+#: Documents of the corpus at large that smooth P(e | t).
+PRIOR = 1.0
+LIKELY, BITS, CERTAIN = 0.5, 5.0, 0.9
 _EDGES = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
-_ROW = "array<struct<kind:int,i:int,gap:int,found:string,before:string,after:string>>"
+_ROW = "array<struct<kind:int,i:int,gap:int,found:string>>"
 
 
 def _luhn(digits: Column) -> Column:
@@ -64,21 +65,18 @@ def _valid() -> Column:
 
 
 def base_spans(texts: DataFrame) -> DataFrame:
-    """(key, text) -> key, kind, start, end, found, before, after: the valid matches."""
+    """(key, text) -> key, kind, start, end, found: the valid matches."""
 
     def of(kind: str) -> Column:
         # Arrays side by side: a lambda that reached for the gaps would split the text for each match.
         gaps = F.split("text", PATTERNS[kind], -1)
         zipped = F.arrays_zip(
             F.transform(gaps, F.length).alias("gap"), F.regexp_extract_all("text", F.lit(PATTERNS[kind]), 0).alias("found"),
-            F.transform(gaps, lambda g: F.right(g, F.lit(CONTEXT_CHARS))).alias("before"),
-            F.transform(F.slice(gaps, 2, F.size(gaps)), lambda g: F.left(g, F.lit(CONTEXT_CHARS))).alias("after"),
         )
         each = F.transform(
             zipped,
             lambda m, i: F.struct(
                 F.lit(KINDS.index(kind)).alias("kind"), i.alias("i"), m["gap"].alias("gap"), m["found"].alias("found"),
-                m["before"].alias("before"), m["after"].alias("after"),
             ),
         )
         each = F.filter(each, lambda m: m["found"].isNotNull())
@@ -107,22 +105,19 @@ def _is_term(core: Column) -> Column:
 
 def disclosing_terms(texts: DataFrame, spans: DataFrame) -> DataFrame:
     """term, likely (the highest P(e | t)): the terms that exceed the thresholds."""
-    words = lambda c: F.split(c, r"[\x20\x09-\x0D]+")
-    # A word cut by the edge of the context is left out.
-    left = F.slice(F.concat(F.array_repeat(F.lit(""), CONTEXT_WORDS + 1), words("before")), -CONTEXT_WORDS - 1, CONTEXT_WORDS + 1)
-    right = F.slice(F.concat(words("after"), F.array_repeat(F.lit(""), CONTEXT_WORDS + 1)), 1, CONTEXT_WORDS + 1)
-    near = F.filter(F.transform(F.concat(left, right), _core), _is_term)
     entity = F.xxhash64("kind", F.lower(F.regexp_replace("found", r"[\x20().-]", "")))
-    text_of = F.substring_index("key", ":", -1)
-    pairs = spans.select("key", text_of.alias("own"), entity.alias("entity"), F.explode(F.array_distinct(near)).alias("term"))
-    seen = pairs.groupBy("term", "entity").agg(F.count_distinct("own").alias("texts"), F.count_distinct("key").alias("together"))
-    seen = written(seen.where(F.col("texts") >= SUPPORT), "pairs")
-    held = spans.select("key", entity.alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("holders"))
+    holds = written(spans.select("key", entity.alias("entity")).distinct(), "holds")
+    held = holds.groupBy("entity").agg(F.count("*").alias("holders"))
+    own = texts.join(bounded(holds.select("key").distinct()), "key", "left_semi").dropDuplicates(["key"])
+    terms = _terms_of(own).where(_is_term(F.col("term")))
+    seen = written(terms.join(holds, "key").groupBy("term", "entity").agg(F.count("*").alias("together")), "pairs")
     candidates = written(seen.select("term").distinct(), "candidates")
-    found = _terms_of(texts).join(bounded(candidates), "term").groupBy("term").agg(F.count("*").alias("documents"))
-    total = texts.count()
-    likely = F.col("together") / F.col("documents")
-    bits = F.log2(likely / (F.col("holders") / F.lit(total)))
+    rows, total = texts.agg(F.count("*"), F.count_distinct("key")).first()
+    each = _terms_of(texts).distinct() if rows > total else _terms_of(texts)
+    found = each.join(bounded(candidates), "term").groupBy("term").agg(F.count("*").alias("documents"))
+    share = F.col("holders") / F.lit(total)
+    likely = (F.col("together") + PRIOR * share) / (F.col("documents") + PRIOR)
+    bits = F.log2(likely / share)
     strong = seen.join(found, "term").join(held, "entity").where((likely >= LIKELY) & (bits >= BITS))
     return written(strong.groupBy("term").agg(F.max(likely).alias("likely")), "terms")
 

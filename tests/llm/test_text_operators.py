@@ -435,6 +435,15 @@ def test_disclosing_terms_are_found_and_removed(docs_of):
     assert "zb@" not in texts[0] and "[EMAIL]" in texts[0] and texts[20] == dict(rows)[20]
 
 
+def test_terms_of_one_or_two_texts_disclose_from_anywhere_in_them(docs_of):
+    rows = [(k, f"Quibblesnort said that {prose(k, 30)} and so on, by mail to qs{k // 2}@corp.example") for k in range(2)]
+    rows += [(5, f"Only Wumplefitz knows: {prose(5, 40)} or +1 234 555 1212"), (5, f"Only Wumplefitz knows: {prose(5, 40)} or +1 234 555 1212")]
+    rows += [(20 + k, "only dear reader said that mail knows and so on: " + prose(30 + k, 20)) for k in range(200)]
+    found = {r["doc_id"]: r["spans"].split(",") for r in pii.find(docs_of(rows)).collect()}
+    assert "term:0:12" in found[0] and "term:0:12" in found[1] and "term:5:15" in found[5]
+    assert all(found[20 + k] == [""] for k in range(200))
+
+
 # -- language model ---------------------------------------------------------------
 
 
