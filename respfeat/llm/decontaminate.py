@@ -7,7 +7,10 @@ the document at one distance form an alignment; it counts if its slots are consi
 each value of the item always stands where one and the same value stands in the document.
 A document is contaminated by an item if such alignments cover half of the item's windows.
 
-Names are capitalised words that do not begin a sentence or a line.
+Names are capitalised words that do not begin a sentence; any white space counts as one space. Since
+capitals can be changed, there is a second, plain template of every text, in lower case with slots for
+numbers and units only. Windows of the plain template count as covered if either meets. A window of the
+named template needs two words that are no slots, or it meets nothing.
 
 Defined results: NULL, empty and wordless texts are clean, and benchmark items of that kind match
 nothing; items and texts shorter than a window are compared by all their words; rows that
@@ -36,12 +39,13 @@ _UNIT = r"(?<=[\p{Nd}.,%]> )(?:" + "|".join(UNITS) + r")(?![\p{L}\p{N}])"
 _MARKS = r"[^\p{L}\p{N}<>=\x20\x09-\x0D]+"
 
 
-def template(text: str) -> Column:
+def template(text: str, named: bool = True) -> Column:
     """The template words of a text; a slot is ``<kind=value>``."""
-    named = F.regexp_replace(F.coalesce(F.col(text).cast("string"), F.lit("")), _NAME, "<name=$0>")
-    counted = F.regexp_replace(F.regexp_replace(named, _NUMBER, "<num=$0>"), _UNIT, "<unit=$0>")
+    spaced = F.regexp_replace(F.coalesce(F.col(text).cast("string"), F.lit("")), r"[\x20\x09-\x0D]+", " ")
+    worded = F.regexp_replace(spaced, _NAME, "<name=$0>") if named else F.lower(spaced)
+    counted = F.regexp_replace(F.regexp_replace(worded, _NUMBER, "<num=$0>"), _UNIT, "<unit=$0>")
     plain = F.lower(F.regexp_replace(counted, _MARKS, ""))
-    return F.array_remove(F.split(plain, r"[\x20\x09-\x0D]+"), "")
+    return F.array_remove(F.split(plain, " "), "")
 
 
 def _windows(words: str, hashes: str, sizes: list[int]) -> Column:
@@ -52,7 +56,7 @@ def _windows(words: str, hashes: str, sizes: list[int]) -> Column:
         made = F.transform(
             places,
             lambda i: F.struct(
-                F.xxhash64(F.lit(size), *[F.get(hashes, i + k) for k in range(size)]).alias("window"),
+                F.xxhash64(F.lit(size), F.col("named"), *[F.get(hashes, i + k) for k in range(size)]).alias("window"),
                 i.alias("place"),
                 F.filter(F.slice(words, i + 1, size), lambda w: w.startswith("<")).alias("slots"),
             ),
@@ -66,7 +70,8 @@ def _windows(words: str, hashes: str, sizes: list[int]) -> Column:
 
 def _worded(df: DataFrame, text: str, keep: str) -> DataFrame:
     kind = lambda w: F.when(w.startswith("<"), F.substring_index(w, "=", 1)).otherwise(w)
-    return df.select(keep, template(text).alias("words")).withColumn("hashes", F.transform("words", lambda w: F.xxhash64(kind(w))))
+    both = F.explode(F.array(*[F.struct(F.lit(n).alias("named"), template(text, n).alias("words")) for n in (True, False)])).alias("t")
+    return df.select(keep, both).select(keep, "t.*").withColumn("hashes", F.transform("words", lambda w: F.xxhash64(kind(w))))
 
 
 def matches(
@@ -80,7 +85,7 @@ def matches(
     # At most ``window`` numbers.
     sizes = sorted(r[0] for r in sized.select("size").distinct().collect())
     lots = [
-        sized.where(F.col("size") == s).select("item_id", F.explode(_windows("words", "hashes", [s])).alias("w")) for s in sizes
+        sized.where(F.col("size") == s).select("item_id", "named", "size", F.explode(_windows("words", "hashes", [s])).alias("w")) for s in sizes
     ]
     if not lots:
         return docs.select(row_key(id_col, text_col).alias("key"), F.lit(None).cast("long").alias("item_id"), F.lit(0.0).alias("covered")).where(
@@ -90,22 +95,24 @@ def matches(
     for more in lots[1:]:
         listed = listed.unionByName(more)
     # A window that an item repeats counts once, at its first place.
-    listed = listed.groupBy("item_id", F.col("w.window").alias("window")).agg(
+    listed = listed.groupBy("item_id", "named", "size", F.col("w.window").alias("window")).agg(
         F.min(F.struct("w.place", "w.slots")).alias("w"),
     )
-    listed = written(listed.select("item_id", "window", F.col("w.place").alias("item_place"), F.col("w.slots").alias("item_slots")), "items")
-    whole = listed.groupBy("item_id").agg(F.count("*").alias("windows"))
+    listed = written(listed.select("item_id", "named", "size", "window", F.col("w.place").alias("item_place"), F.col("w.slots").alias("item_slots")), "items")
+    whole = listed.groupBy("item_id").agg(F.count_if("named").alias("named_windows"), F.count_if(~F.col("named")).alias("plain_windows"))
+    telling = ~F.col("named") | (F.col("size") - F.size("item_slots") >= F.least(F.lit(2), F.col("size")))
     own = docs.select(row_key(id_col, text_col).alias("key"), F.col(text_col).alias("body"))
     each = _worded(own, "body", "key").select("key", F.explode(_windows("words", "hashes", sizes)).alias("w"))
-    met = each.select("key", "w.window", "w.place", "w.slots").join(bounded(listed), "window")
-    met = met.withColumn("shift", F.col("place") - F.col("item_place")).groupBy("key", "item_id", "shift").agg(
+    met = each.select("key", "w.window", "w.place", "w.slots").join(bounded(listed).where(telling), "window")
+    met = met.withColumn("shift", F.col("place") - F.col("item_place")).groupBy("key", "item_id", "named", "shift").agg(
         F.collect_set("item_place").alias("places"),
         F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("item_slots", "slots")))).alias("pairs"),
     )
     values = F.array_distinct(F.transform("pairs", lambda p: p["item_slots"]))
     consistent = met.where(F.size(values) == F.size("pairs"))
-    held = consistent.groupBy("key", "item_id").agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n"))
-    share = F.col("n") / F.col("windows")
+    places = lambda of: F.size(F.array_distinct(F.flatten(F.collect_list(of))))
+    held = consistent.groupBy("key", "item_id").agg(places(F.when(F.col("named"), F.col("places"))).alias("n_named"), places("places").alias("n"))
+    share = F.greatest(F.col("n_named") / F.col("named_windows"), F.least(F.col("n") / F.col("plain_windows"), F.lit(1.0)))
     return held.join(whole, "item_id").where(share >= coverage).select("key", "item_id", share.alias("covered"))
 
 

@@ -384,6 +384,18 @@ def test_decontamination_finds_planted_items(spark, documents):
     assert {r["doc_id"] for r in found.where("contaminated").collect()} == want
 
 
+def test_decontamination_whatever_the_capitals_and_spaces(spark, docs_of):
+    shouted = "Mary Had A Little Lamb Whose Fleece Was White As Snow And Everywhere That Mary Went"
+    bench = spark.createDataFrame([(1, _ITEM), (2, shouted)], "item_id long, text string")
+    clean = "Today John Paul George Ringo Peter Mike Davy Micky Brian Keith Charlie Ronnie Bill Mick Anna Otto Emil all came"
+    rows = [
+        (1, "So: " + _ITEM.upper()), (2, _ITEM.lower()), (3, _ITEM.title()), (4, _ITEM.replace(" Springfield", "\nSpringfield").replace(" Alice", "  Alice")),
+        (5, "He sang: " + shouted.lower() + "."), (6, clean), (7, _ITEM.replace("Springfield", "Berlin").replace("60", "70")), (8, prose(44, 80)),
+    ]
+    found = {r["doc_id"]: r["items"] for r in decontaminate.decontaminate(docs_of(rows), bench).collect()}
+    assert found == {1: [1], 2: [1], 3: [1], 4: [1], 5: [2], 6: [], 7: [1], 8: []}
+
+
 # -- personal data ----------------------------------------------------------------
 
 _PLAIN = {
