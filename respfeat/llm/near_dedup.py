@@ -224,7 +224,7 @@ def _members(nodes: DataFrame) -> DataFrame:
 
 
 def near_classes(df: DataFrame, size: int, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, key, n, component_id for every row."""
+    """doc_id, key, n, component_id, root (NULL without shingles) for every row."""
     least = percent / 100 - SLACK
     texts = df.select(F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text_col).alias("key"), body(text_col).alias("text"))
     sketched = written(
@@ -271,7 +271,7 @@ def near_classes(df: DataFrame, size: int, percent: int = 80, id_col: str = "doc
     )
     rooted = sketched.select("doc_id", "key", "n", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     return rooted.join(named, "root", "left").select(
-        "doc_id", "key", "n", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+        "doc_id", "key", "n", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "root"
     )
 
 
@@ -327,9 +327,10 @@ def near_dedup(df: DataFrame, size: int = 4, percent: int = 80, id_col: str = "d
 
 
 def kept_documents(df: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each group, with all columns of the input."""
-    found = near_classes(df, size, percent, id_col, text_col)
-    gone = written(found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("key"), "gone")
+    """One document of each group, the least id and then the least key, with all columns of the input."""
+    found = written(near_classes(df, size, percent, id_col, text_col).where("root is not null").select("root", "doc_id", "key"), "classes")
+    stays = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))["key"].alias("stays"))
+    gone = written(found.join(stays, "root").where("key <> stays").select("key"), "gone")
     return without(df, id_col, text_col, gone)
 
 

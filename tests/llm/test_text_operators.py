@@ -201,6 +201,12 @@ def test_pairs_of_blocks_are_bounded_and_hold_each_pair_once(spark, monkeypatch)
     assert set(met) == want and max(met.values()) == 1
 
 
+def test_one_near_copy_stays_without_ids_and_with_equal_ids(docs_of):
+    near = [prose(1, 120) + f" end{k}" for k in range(3)] + [prose(7, 120) + f" end{k}" for k in range(2)]
+    kept = near_dedup.kept_documents(docs_of([(None, near[0]), (None, near[1]), (None, near[2]), (4, near[3]), (4, near[4]), (None, None), (5, "")]))
+    assert got(kept, "doc_id").count((None,)) == 2 and got(kept, "doc_id").count((4,)) == 1 and kept.count() == 4
+
+
 def test_near_dedup_of_nothing(docs_of):
     assert near_dedup.near_dedup(docs_of([]).limit(0)).count() == 0
     assert got(near_dedup.near_dedup(docs_of([(1, None), (2, "a")])), "doc_id", "component_id") == [(1, 1), (2, 2)]
