@@ -35,7 +35,7 @@ SUPPORT, LONGEST, TOP = 30, 4, 2000
 COVERED = 80
 SHARDS = 8
 #: Text that a task counts at a time, and words of all shards to a part.
-BLOCK_BYTES, PART_WORDS = 8 << 20, 2_000_000
+BLOCK_BYTES, PART_WORDS = 2 << 20, 2_000_000
 #: The bitmap of candidates has 2^BITS bits, whatever the input.
 BITS = 26
 
