@@ -10,7 +10,8 @@ times the shard's part of the language's words, rounded up.
    and those with local support stay. Hashes that collide only add candidates.
 2. The union of what is frequent in any shard is written. A bitmap of fixed size, made of it, goes to
    all tasks, which read the texts again and send the phrases, as words, that it lets through, counted per
-   block. A join with the union and a fold by the words give exact counts, without hashes.
+   block. A fold by the words gives exact counts, without hashes; what the bitmap let through by chance
+   falls short of the support there.
 3. Cuts, scores and containment are joins over frequent phrases only.
 
 Defined results: NULL text is empty, NULL language is ``und``. Repeated rows and NULL ids count like any
@@ -34,6 +35,8 @@ SUPPORT, LONGEST, TOP = 30, 4, 2000
 #: A phrase inside a longer one with this percentage of its occurrences is left out.
 COVERED = 80
 SHARDS = 8
+#: Lots of a language's phrases that are ranked before all of them.
+LOTS = 32
 #: Text that a task counts at a time, and words of all shards to a part.
 BLOCK_BYTES, PART_WORDS = 2 << 20, 2_000_000
 #: The bitmap of candidates has 2^BITS bits, whatever the input.
@@ -187,10 +190,10 @@ def _supported(batches):
         yield frequent()
 
 
-_SEEN = pa.schema([("address", pa.int64()), ("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
+_SEEN = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
 
 
-def _spell(parts: int, longest: int, bitmap):
+def _spell(longest: int, bitmap):
     """Texts -> per block: the phrases that the bitmap lets through, as words, with their counts."""
 
     def run(batches):
@@ -220,10 +223,9 @@ def _spell(parts: int, longest: int, bitmap):
                 n = np.diff(first, append=len(h))
                 words = [block.words.take(pa.array(spelled[1 + j][first])) for j in range(size)]
                 phrase = pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.large_binary())) if size > 1 else words[0]
-                yield pa.record_batch([
-                    pa.array(_address(h[first], parts).view(np.int64)), pa.array([groups[g][0] for g in spelled[0][first]], pa.string()),
-                    pa.array(np.full(len(first), size, np.int32)), phrase.cast(pa.string()), pa.array(n, pa.int64()),
-                ], schema=_SEEN)
+                langs = pa.array([groups[g][0] for g in spelled[0][first]], pa.string())
+                sizes = pa.array(np.full(len(first), size, np.int32))
+                yield pa.record_batch([langs, sizes, phrase.cast(pa.string()), pa.array(n, pa.int64())], schema=_SEEN)
 
     return run
 
@@ -257,8 +259,8 @@ def frequent_phrases(
     mined = packs.join(least, ["shard", "lang"]).repartition(*key).sortWithinPartitions(*key).mapInArrow(_supported, "address long")
     candidates = written(mined.distinct(), "candidates")
     bitmap = spark.sparkContext.broadcast(_bitmap(candidates))
-    seen = docs.select("lang", "text").mapInArrow(_spell(parts, longest, bitmap), "address long, lang string, words int, phrase string, n long")
-    exact = seen.join(candidates, "address", "left_semi").groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= support)
+    seen = docs.select("lang", "text").mapInArrow(_spell(longest, bitmap), "lang string, words int, phrase string, n long")
+    exact = seen.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= support)
     return written(exact, "phrases"), total
 
 
@@ -289,8 +291,11 @@ def collocations(
     alone = scored.join(longer, ["lang", "phrase"], "left").where(
         F.col("longer").isNull() | (F.lit(100).cast("decimal(19,0)") * F.col("longer") < F.lit(covered).cast("decimal(19,0)") * F.col("a"))
     )
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = alone.select("lang", "phrase", "a", "low.*").withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    # The first of each lot before the first of all, so that a language's last sort is of bounded size.
+    lots = alone.select("lang", "phrase", "a", "low.*", F.pmod(F.hash("phrase"), F.lit(LOTS)).alias("lot"))
+    first = lots.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "lot").orderBy(*order))).where(F.col("rank") <= top)
+    ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
     return ranked.join(total, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 

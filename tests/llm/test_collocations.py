@@ -68,7 +68,7 @@ def test_colliding_hashes_are_told_apart(spark, docs_of, monkeypatch):
     """With hashes of four bits everything collides, and the counts are exact all the same."""
     real = co.window_hashes
     monkeypatch.setattr(co, "window_hashes", lambda h, size: real(h, size) % np.uint64(4))
-    run = co._spell(1, 2, type("B", (), {"value": b"\xff" * (1 << (co.BITS - 3))}))
+    run = co._spell(2, type("B", (), {"value": b"\xff" * (1 << (co.BITS - 3))}))
     batch = co.pa.record_batch([co.pa.array(["x"]), co.pa.array([b"a b c a b c d e f g"])], names=["lang", "text"])
     seen = collections.Counter()
     for b in run([batch]):
