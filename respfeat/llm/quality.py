@@ -29,14 +29,16 @@ from respfeat.llm.common import body, table
 
 #: Labelled documents that the model is fitted on, at most.
 MAX_LABELLED = 20_000
-MIN_DOCUMENTS = 4
-#: Standard errors by which a feature's shares must differ.
-CLEAR = 5.0
+MIN_DOCUMENTS = 2
+#: Standard errors by which a feature's shares must differ, beyond what chance brings about among n labels, sqrt(2 ln n).
+CLEAR = 0.5
 BITS = 20
 GRADES = 3
-STEPS, RATE, DECAY = 250, 0.05, 3e-5
+#: The penalty on squared weights is DECAY by the number of labels.
+STEPS, RATE, DECAY = 250, 0.05, 1.0
 _STRIP = re.compile(rb"^[^0-9a-z\x80-\xff]+|[^0-9a-z\x80-\xff]+$")
-_CACHE_WORDS = 200_000
+#: About 10 MB in each worker.
+_CACHE_WORDS = 40_000
 
 
 def _feature(name: bytes) -> int:
@@ -98,7 +100,7 @@ def _telling(flat: np.ndarray, of: np.ndarray, grades: np.ndarray) -> np.ndarray
             spread = np.sqrt(share * (1 - share) * (1 / n + 1 / (len(grades) - n)))
             z = np.abs(part / n - (held - part) / (len(grades) - n)) / np.maximum(spread, 1e-12)
             best = np.maximum(best, np.where(held < len(grades), z, 0))
-    return (held >= MIN_DOCUMENTS) & (best >= CLEAR)
+    return (held >= MIN_DOCUMENTS) & (best >= CLEAR + np.sqrt(2 * np.log(len(grades))))
 
 
 def fit(rows: list[np.ndarray], grades: np.ndarray) -> Model:
@@ -134,7 +136,7 @@ def fit(rows: list[np.ndarray], grades: np.ndarray) -> Model:
             sign = np.where(grades == k + 1, slope[:, k + 1], 0) - np.where(grades == k, slope[:, k + 1], 0)
             by_theta[k] = (sign / p).sum() / len(s)
         g = np.empty_like(x)
-        g[: len(own)] = np.bincount(flat, by_s[of], minlength=len(own)) + DECAY * w
+        g[: len(own)] = np.bincount(flat, by_s[of], minlength=len(own)) + DECAY / len(rows) * w
         g[len(own)] = by_theta.sum()
         g[len(own) + 1 :] = np.cumsum(by_theta[::-1])[::-1][1:] / (1 + np.exp(-raw[1:]))
         m = 0.9 * m + 0.1 * g
