@@ -7,6 +7,8 @@ import numpy as np
 
 #: Steps of a window: gradients run back this far, the state runs on. Scoring needs no gradients and takes longer windows.
 WINDOW, SCORED = 16, 128
+#: Rows of a scoring window, which holds a few arrays of rows x classes.
+SCORED_ROWS = 16_384
 #: Longer documents are learned from in stretches of so many tokens, each from an empty state.
 STRETCH = 512
 F32 = np.float32
@@ -150,9 +152,9 @@ def window_gradient(p: dict, shape: Shape, before: np.ndarray, ids: np.ndarray,
     g["inp"][before[by[firsts]]] += np.add.reduceat(d_gates[by], firsts, axis=0)
 
 
-def windows(docs: list[np.ndarray], shape: Shape, group: int, steps: int):
-    """Cuts documents, in groups of similar length, into windows:
-    (rows, before, ids, sizes, is a new group). Rows are the documents' places, step after step."""
+def windows(docs: list[np.ndarray], shape: Shape, group: int, steps: int, rows: int | None = None):
+    """Cuts documents, in groups of similar length, into windows of so many steps, and of so many rows if the
+    group allows: (rows, before, ids, sizes, is a new group). Rows are the documents' places, step after step."""
     by_length = sorted(range(len(docs)), key=lambda i: -len(docs[i]))
     for lo in range(0, len(docs), group):
         own = by_length[lo : lo + group]
@@ -160,14 +162,18 @@ def windows(docs: list[np.ndarray], shape: Shape, group: int, steps: int):
         flat = np.concatenate([docs[i] for i in own])
         starts = np.cumsum(lengths) - lengths
         own = np.array(own)
-        for t in range(0, int(lengths[0]), steps):
-            sizes = [int(np.searchsorted(-lengths, -s, side="left")) for s in range(t, min(t + steps, int(lengths[0])))]
+        t = 0
+        while t < lengths[0]:
+            active = int(np.searchsorted(-lengths, -t, side="left"))
+            end = min(t + (steps if rows is None else max(1, min(steps, rows // active))), int(lengths[0]))
+            sizes = [int(np.searchsorted(-lengths, -s, side="left")) for s in range(t, end)]
             at = np.concatenate([starts[:n] + t + j for j, n in enumerate(sizes)])
             ids = flat[at]
             before = flat[np.maximum(at - 1, 0)].copy()
             if t == 0:
                 before[: sizes[0]] = shape.ids
             yield np.concatenate([own[:n] for n in sizes]), before, ids, sizes, t == 0
+            t = end
 
 
 def train(flat: np.ndarray, shape: Shape, docs: list[np.ndarray], group: int, rate: float) -> int:
@@ -191,7 +197,7 @@ def train(flat: np.ndarray, shape: Shape, docs: list[np.ndarray], group: int, ra
 def score(flat: np.ndarray, shape: Shape, docs: list[np.ndarray], group: int) -> np.ndarray:
     """log10 P of each document."""
     p, out, h = shape.views(flat), np.zeros(len(docs)), None
-    for rows, before, ids, sizes, first in windows(docs, shape, group, SCORED):
+    for rows, before, ids, sizes, first in windows(docs, shape, group, SCORED, SCORED_ROWS):
         if first:
             h = np.zeros((sizes[0], shape.hidden), F32)
         out += np.bincount(rows, window_log10(p, shape, before, ids, sizes, h), minlength=len(docs))
