@@ -38,7 +38,7 @@ _SPACE_CODE, _FACTOR = np.uint64(ord(SPACE)), np.uint64(0x9E3779B97F4A7C15)
 #: Texts that are cut into stretches at a time.
 _CHUNK = 1 << 20
 #: Words that a worker remembers before it starts anew.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 80_000
 _SEGMENT = re.compile(r" *[^ ]+| +")
 #: The same, cut between a letter and a full stop or comma as well.
 _LETTER = "a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
