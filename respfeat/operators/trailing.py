@@ -15,16 +15,25 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from types import SimpleNamespace
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from respfeat.functions import timefx as tx
 from respfeat.functions.stats import EIGHT_STATS, QUARTILES
 from respfeat.operators import selection as sel
+from respfeat.operators import slices
 from respfeat.operators.windows import CELL, SEC, cells_per_day, hour_of, time_columns, window_moments, window_sums
 
-GROUP_ROWS = 4096
+# Executors get this module with the tasks and need not have the package.
+cloudpickle.register_pickle_by_value(slices)
+
+#: Rows of a slice that one task holds, about 100 bytes each; larger slices are worked on by many tasks.
+GROUP_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -62,8 +71,8 @@ def trailing_features(
 
     Rows are spread over (entity, time slice), a slice being as long as the
     longest window; each row goes to its own slice as anchor and history and to
-    the next one as history. Slices of up to ``group_rows`` rows are worked
-    through in arrays, larger ones by window sums and value search.
+    the next one as history. Slices of up to ``group_rows`` rows are sorted and worked
+    through in one task each (``slices``), larger ones by window sums and value search.
     """
     if align == "day" and any(b.same_hour for b in blocks):
         raise ValueError("a window of whole days has no current hour")
@@ -86,13 +95,11 @@ def trailing_features(
         .drop("_n")
     )
     if large.isEmpty():
-        figures = _by_arrays(sliced, blocks, align, span, duplicate_anchors)
+        figures = _by_slices(sliced, blocks, align, duplicate_anchors)
     else:
         large = sel.counted_broadcast(sel.settle(large))
         slice_keys = ["_e", "_slice"]
-        figures = _by_arrays(
-            sliced.join(large, slice_keys, "left_anti"), blocks, align, span, duplicate_anchors
-        ).unionByName(
+        figures = _by_slices(sliced.join(large, slice_keys, "left_anti"), blocks, align, duplicate_anchors).unionByName(
             _by_sums(sliced.join(large, slice_keys), blocks, align, duplicate_anchors)
         )
     return _named(figures, entity, ts, blocks, stddev)
@@ -102,15 +109,44 @@ def trailing_counts(
     df: DataFrame, entity: str, ts: str, days: int, align: str = "hour", same_hour: bool = False
 ) -> DataFrame:
     """Rows in the trailing window of each distinct (entity, ts), as ``n_pairs``;
-    anchors without history are left out. Sums only, so linear in the rows."""
+    anchors without history are left out.
+
+    An event sweep: a row comes into sight at the end of its hour (or day) and goes out of it
+    when a window opens after it, so it adds 1 at the one time and takes 1 off at the other.
+    All of it is folded to one row per entity and second, map-side first, and the count at a second is a
+    running sum. The sum runs within slices of time as long as the window, on top of what
+    earlier slices left over, so a busy entity is spread over as many tasks as it has slices.
+    """
+    if align == "day" and same_hour:
+        raise ValueError("a window of whole days has no current hour")
+    seconds = align == "hour"
+    shown = (F.col(CELL) + 1) * (3600 if seconds else 1)
+    gone = F.col(SEC) + days * (tx.DAY if seconds else 1) + 1
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
     rows = (
         df.where(F.col(entity).isNotNull() & F.col(ts).isNotNull())
-        .select(entity, ts)
-        .withColumns(time_columns(ts, align))
-        .withColumns({"n_pairs": F.lit(1).cast("bigint"), "_anchor": F.lit(True)})
+        .select(F.col(entity).alias("_e"), F.col(ts).alias("_ts"))
+        .withColumns(time_columns("_ts", align))
+    )
+    no_time = F.lit(None).cast(rows.schema["_ts"].dataType)
+    event = lambda at, step, who: F.struct(at.cast("bigint").alias("at"), step.alias("step"), who.alias("ts"))
+    keys = ["_e", "_h"] if same_hour else ["_e"]
+    swept = rows.select(
+        "_e", *([hour_of(CELL).alias("_h")] if same_hour else []),
+        F.explode(F.array(event(shown, one, no_time), event(gone, -one, no_time), event(F.col(SEC), none, F.col("_ts")))).alias("x"),
+    )
+    part = F.floor(F.col("x.at") / (days * (tx.DAY if seconds else 1))).alias("_slice")
+    folded = swept.groupBy(*keys, part, F.col("x.at").alias("_at")).agg(
+        F.sum("x.step").alias("_step"), F.collect_set("x.ts").alias("_ts")
     )
-    counts = window_sums(rows, [entity], ["n_pairs"], days, align, same_hour, carry=ts)
-    return counts.where(F.col("n_pairs") > 0).select(entity, F.explode(ts).alias(ts), "n_pairs")
+    # The number of anchors is asked for, though not needed, so that both uses read the same shuffled rows.
+    slices_ = folded.groupBy(*keys, "_slice").agg(F.sum("_step").alias("_left"), F.sum(F.size("_ts")).alias("_anchors"))
+    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = slices_.withColumn("_carried", F.coalesce(F.sum("_left").over(before), none)).where("_anchors > 0")
+    running = Window.partitionBy(*keys, "_slice").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = folded.withColumn("_sum", F.sum("_step").over(running)).where(F.size("_ts") > 0)
+    counts = counted.join(carried.select(*keys, "_slice", "_carried"), [*keys, "_slice"]).withColumn("n_pairs", F.col("_sum") + F.col("_carried"))
+    return counts.where("n_pairs > 0").select(F.col("_e").alias(entity), F.explode("_ts").alias(ts), "n_pairs")
 
 
 def all_pairs_count(df: DataFrame, entity: str) -> DataFrame:
@@ -119,85 +155,24 @@ def all_pairs_count(df: DataFrame, entity: str) -> DataFrame:
     return df.where(F.col(entity).isNotNull()).groupBy(entity).agg((n * n).alias("n_pairs"))
 
 
-# -- slices small enough for arrays ------------------------------------------
+# -- slices that a task can hold ----------------------------------------------
 
 
-def _by_arrays(sliced, blocks, align, span, duplicate_anchors):
-    keys = ["_e", "_slice"]
-    earlier = Window.partitionBy(*keys).orderBy(CELL, "_ts")
-    frame = Window.partitionBy(*keys).orderBy(CELL).rangeBetween(-span, -1)
-    where = [F.col(SEC).alias("s"), hour_of(CELL).alias("h")]
-    known = F.col("_v").isNotNull()
-    # NULL values only count as rows; apart from the others they cost nothing, and
-    # arrays without NULLs are sorted as primitives.
-    item = F.when(known, F.struct(F.coalesce("_v", F.lit(0.0)).alias("v"), *where))
-    first = ~F.col("_ts").eqNullSafe(F.lag("_ts").over(earlier))
-    times = F.count("*").over(Window.partitionBy(*keys, "_ts")) if duplicate_anchors else F.lit(1).cast("bigint")
-    seen = (
-        sliced.withColumns({"_anchor": F.col("_own") & first, "_times": times})
-        .withColumns({"_item": item, "_blank": F.when(~known, F.struct(*where))})
-        .withColumns({c: F.collect_list(i).over(frame) for c, i in (("_seen", "_item"), ("_blanks", "_blank"))})
-        .where("_anchor")
-    )
-    here = hour_of(CELL)
-
-    def inside(b: Block, same_hour: bool):
-        start = F.col(SEC) - (b.days * tx.DAY if align == "hour" else b.days)
-        return lambda x: (x["s"] >= start) & (x["h"] == here) if same_hour else x["s"] >= start
-
-    def in_some_block(x: Column) -> Column:
-        return reduce(lambda a, c: a | c, [inside(b, b.same_hour)(x) for b in blocks])
-
-    # On arrays in time order this mostly stops at the first item.
-    seen = seen.where(F.exists("_seen", in_some_block) | F.exists("_blanks", in_some_block))
-    arrays = {}
-    for i, b in enumerate(blocks):
-        kept = F.filter("_seen", inside(b, b.same_hour))
-        arrays[f"_vals{i}"] = F.sort_array(F.transform(kept, lambda x: x["v"]))
-        arrays[f"_nn{i}"] = F.size(F.filter("_blanks", inside(b, b.same_hour)))
-        if b.geomean_over == "window":
-            arrays[f"_nwin{i}"] = (
-                F.size(F.filter("_seen", inside(b, False))) + F.size(F.filter("_blanks", inside(b, False)))
-            ).cast("bigint")
-    seen = seen.select("_e", "_ts", "_times", *[c.alias(n) for n, c in arrays.items()])
-    out = ["_e", "_ts", "_times"]
-    for i, b in enumerate(blocks):
-        out += _array_figures(i, b)
-    return _spread(seen.select(*out), blocks)
-
-
-def _array_figures(i: int, b: Block) -> list[Column]:
-    vals = F.col(f"_vals{i}")
-    size = F.size(vals).cast("bigint")
-    rows = size + F.col(f"_nn{i}")
-    figures = [rows.alias(f"_n{i}"), size.alias(f"_nv{i}")]
-    total = F.aggregate(vals, F.lit(0.0), lambda a, x: a + x)
-    figures.append(F.when(size > 0, total / size).alias(f"_mean{i}"))
-    if "stddev" in b.stats:
-        # Kept for the step that needs the mean first.
-        figures.append(vals.alias(f"_vals{i}"))
-    if "geomean" in b.stats:
-        logs = F.aggregate(vals, F.lit(0.0), lambda a, x: a + F.when(x > 0, F.ln(x)).otherwise(0.0))
-        # Sorted, so the last value tells whether any is positive.
-        figures.append(F.when(F.try_element_at(vals, F.lit(-1)) > 0, logs).alias(f"_ln{i}"))
-        figures.append((F.col(f"_nwin{i}") if b.geomean_over == "window" else rows).alias(f"_nwin{i}"))
-    for j, p in enumerate(QUARTILES):
-        figures.append(F.try_element_at(vals, sel.rank_of(p, size).cast("int")).alias(f"_q{i}_{j}"))
-    return figures
-
-
-def _squares(values: Column, mean: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean))
-
-
-def _spread(figures: DataFrame, blocks: Sequence[Block]) -> DataFrame:
-    """Replace the kept arrays by the sum of squared deviations from the mean."""
+def _by_slices(sliced, blocks, align, duplicate_anchors):
+    """One shuffle by slice, then all blocks from the sorted rows (``slices.statistics``)."""
+    out = StructType(list(sliced.select("_e", "_ts").schema) + [StructField("_times", LongType())])
     for i, b in enumerate(blocks):
+        out.add(f"_n{i}", LongType()).add(f"_nv{i}", LongType()).add(f"_mean{i}", DoubleType())
         if "stddev" in b.stats:
-            figures = figures.withColumn(
-                f"_m2{i}", _squares(F.col(f"_vals{i}"), F.col(f"_mean{i}"))
-            ).drop(f"_vals{i}")
-    return figures
+            out.add(f"_m2{i}", DoubleType())
+        if "geomean" in b.stats:
+            out.add(f"_ln{i}", DoubleType()).add(f"_nwin{i}", LongType())
+        for j in range(len(QUARTILES)):
+            out.add(f"_q{i}_{j}", DoubleType())
+    plain = [SimpleNamespace(days=b.days, same_hour=b.same_hour, stats=b.stats, geomean_over=b.geomean_over) for b in blocks]
+    run = slices.statistics(plain, align, QUARTILES, duplicate_anchors, to_arrow_schema(out))
+    keys = ["_e", "_slice"]
+    return sliced.repartition(*keys).sortWithinPartitions(*keys, "_ts").mapInArrow(run, out)
 
 
 # -- large slices ------------------------------------------------------------
