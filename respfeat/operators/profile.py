@@ -4,66 +4,99 @@ then summed up by the hour of the history row.
 A history row counts once for each anchor that sees it, so the profile of an early
 order contains rows later than that order. It is kept for parity with older
 feature tables; the point-in-time blocks are the ones to use.
+
+The pooled pairs are not formed. Rows are folded once, by entity, day, hour and value, and carry
+one weight per window length: the number of anchors that see them. Weighted means and quantiles
+of all windows then come from running sums over the sorted values. The sums run within buckets of the value,
+on top of what lower buckets add up to, so a busy hour is spread over as many tasks
+as its values have buckets, and no step depends on the data.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from respfeat.functions import timefx as tx
 from respfeat.functions.stats import QUARTILES
-from respfeat.operators import selection as sel
+from respfeat.operators.selection import rank_of
 
+#: Buckets to a doubling of the value.
+BUCKETS = 16
 
-def seen_by(df: DataFrame, entity: str, ts: str, days: int) -> DataFrame:
-    """Per (entity, day) the number of anchors whose day-aligned window holds that
-    day: the anchors of the next ``days`` days."""
-    daily = df.where(F.col(entity).isNotNull()).groupBy(entity, tx.epoch_days(ts).alias("_day")).agg(
-        F.count("*").alias("_anchors")
-    )
-    ahead = Window.partitionBy(entity).orderBy("_day").rangeBetween(1, days)
-    return daily.withColumn("_weight", F.coalesce(F.sum("_anchors").over(ahead), F.lit(0))).drop("_anchors")
 
+def _bucket(v: Column) -> Column:
+    """A whole number that never falls as the value grows; NaN is the largest value."""
+    size = F.floor(F.log2(F.abs(v)) * BUCKETS).cast("double")
+    return F.when(F.isnan(v), F.lit(2.0e6)).when(v > 0, F.least(size, F.lit(1.0e6)) + 1.0e5).when(v < 0, -1.0e5 - F.least(size, F.lit(1.0e6))).otherwise(0.0)
 
-def hour_profile(
-    df: DataFrame, entity: str, ts: str, hour_ts: str, value: str, days: int,
-    prefix: str, hour_name: str, stddev: str = "sample",
-) -> DataFrame:
-    """Five statistics by (entity, hour of ``hour_ts``), prefix ``<prefix>_<stat>``.
 
-    The pooled pairs are not formed: each row carries the number of anchors that
-    see it as a weight, and sums and quantiles are weighted.
+def hour_profiles(
+    df: DataFrame, entity: str, ts: str, hour_ts: str, value: str, prefixes: Mapping[int, str], hour_name: str, stddev: str = "sample"
+) -> DataFrame:
+    """Five statistics by (entity, hour of ``hour_ts``) for every window length:
+    ``prefixes`` maps days to the prefix of ``<prefix>_<stat>``. A group is there if any of its rows,
+    NULL values included, is seen in any window; a window that sees none of its values has NULLs. ``numsord`` tells
+    the rows, NULL ones included, that a window sees.
     """
-    weights = seen_by(df, entity, ts, days).where("_weight > 0")
-    # A group whose values are all NULL is there too, with NULL statistics.
-    pooled = (
-        df.select(
-            entity,
-            tx.epoch_days(ts).alias("_day"),
-            F.hour(hour_ts).alias(hour_name),
-            F.col(value).cast("double").alias("_v"),
-        )
-        .join(weights, [entity, "_day"])
+    days = list(prefixes)
+    folded = (
+        df.where(F.col(entity).isNotNull())
+        .select(F.col(entity).alias("_e"), tx.epoch_days(ts).alias("_day"), F.hour(hour_ts).alias("_h"), F.col(value).cast("double").alias("_v"))
+        .groupBy("_e", "_day", "_h", "_v").agg(F.count("*").alias("_rows"))
+    )
+    daily = folded.groupBy("_e", "_day").agg(F.sum("_rows").alias("_anchors"))
+    for d in days:
+        ahead = Window.partitionBy("_e").orderBy("_day").rangeBetween(1, d)
+        daily = daily.withColumn(f"_seen{d}", F.coalesce(F.sum("_anchors").over(ahead), F.lit(0)))
+    rows = folded.join(daily.where(F.greatest(*[F.col(f"_seen{d}") for d in days], F.lit(0)) > 0).drop("_anchors"), ["_e", "_day"]).select(
+        "_e", "_h", "_v", _bucket(F.col("_v")).alias("_b"), *[(F.col("_rows") * F.col(f"_seen{d}")).alias(f"_w{d}") for d in days]
     )
-    keys = [entity, hour_name]
-    rows = pooled.where(F.col("_v").isNotNull())
-    folded = sel.fold(rows, keys, "_v", "_weight")
-    w, v = F.col("_w"), F.col("_v")
-    means = folded.groupBy(*keys).agg(F.sum(w).alias("_n"), (F.sum(w * v) / F.sum(w)).alias("_mean"))
-    # Deviations from the mean, since a difference of large sums of squares loses digits.
-    spread = (
-        folded.join(means, keys)
-        .groupBy(*keys, "_n", "_mean")
-        .agg(F.sum(w * (v - F.col("_mean")) * (v - F.col("_mean"))).alias("_m2"))
-    )
-    freedom = F.col("_n") - 1 if stddev == "sample" else F.col("_n")
-    found = spread.join(sel.weighted_quantiles(folded, keys, QUARTILES), keys)
-    return pooled.select(*keys).distinct().join(found, keys, "left").select(
-        *keys,
-        F.col("_mean").alias(f"{prefix}_pre"),
-        F.when(freedom > 0, F.sqrt(F.col("_m2") / freedom)).alias(f"{prefix}_stddev"),
-        F.col("q2").alias(f"{prefix}_per75"),
-        F.col("q1").alias(f"{prefix}_per50"),
-        F.col("q0").alias(f"{prefix}_per25"),
+    known = F.col("_v").isNotNull()
+    rows = rows.groupBy("_e", "_h", "_b", "_v").agg(*[F.sum(f"_w{d}").alias(f"_w{d}") for d in days])
+    sums = [(f"_n{d}", F.sum(F.when(known, F.col(f"_w{d}")).otherwise(0))) for d in days]
+    sums += [(f"_s{d}", F.sum(F.when(known & (F.col(f"_w{d}") > 0), F.col(f"_w{d}") * F.col("_v")))) for d in days]
+    sums += [(f"_all{d}", F.sum(f"_w{d}")) for d in days]
+    buckets = rows.groupBy("_e", "_h", "_b").agg(*[x.alias(n) for n, x in sums])
+    group = Window.partitionBy("_e", "_h")
+    lower = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = buckets.select(
+        "_e", "_h", "_b", *[F.coalesce(F.sum(f"_n{d}").over(lower), F.lit(0)).alias(f"_below{d}") for d in days],
+        *[F.sum(f"_n{d}").over(group).alias(f"_n{d}") for d in days], *[F.sum(f"_all{d}").over(group).alias(f"_all{d}") for d in days],
+        *[(F.sum(f"_s{d}").over(group) / F.sum(f"_n{d}").over(group)).alias(f"_mean{d}") for d in days],
+    )
+    up_to = Window.partitionBy("_e", "_h", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = rows.withColumns({f"_upto{d}": F.sum(F.when(known, F.col(f"_w{d}")).otherwise(0)).over(up_to) for d in days})
+    met = running.withColumnRenamed("_b", "_rb").join(
+        buckets.withColumnsRenamed({"_e": "_be", "_h": "_bh"}),
+        (F.col("_e") == F.col("_be")) & (F.col("_h").eqNullSafe(F.col("_bh"))) & F.col("_rb").eqNullSafe(F.col("_b")),
     )
+    figures = []
+    for d in days:
+        held = known & (F.col(f"_w{d}") > 0)
+        reached = F.col(f"_below{d}") + F.col(f"_upto{d}")
+        off = F.col("_v") - F.col(f"_mean{d}")
+        figures += [F.first(f"_n{d}").alias(f"_n{d}"), F.first(f"_all{d}").alias(f"_all{d}"), F.first(f"_mean{d}").alias(f"_mean{d}")]
+        figures.append(F.sum(F.when(held, F.col(f"_w{d}") * off * off)).alias(f"_m2{d}"))
+        for j, p in enumerate(QUARTILES):
+            figures.append(F.min(F.when(held & (reached >= rank_of(p, F.col(f"_n{d}"))), F.col("_v"))).alias(f"_q{d}_{j}"))
+    found = met.groupBy("_e", "_h").agg(*figures)
+    out = [F.col("_e").alias(entity), F.col("_h").alias(hour_name)]
+    for d, prefix in prefixes.items():
+        freedom = F.col(f"_n{d}") - 1 if stddev == "sample" else F.col(f"_n{d}")
+        out += [
+            F.col(f"_mean{d}").alias(f"{prefix}_pre"),
+            F.when(freedom > 0, F.sqrt(F.col(f"_m2{d}") / freedom)).alias(f"{prefix}_stddev"),
+            *[F.col(f"_q{d}_{j}").alias(f"{prefix}_per{25 * (j + 1)}") for j in (2, 1, 0)],
+            F.col(f"_all{d}").alias(f"{prefix}_numsord"),
+        ]
+    return found.select(*out)
+
+
+def hour_profile(
+    df: DataFrame, entity: str, ts: str, hour_ts: str, value: str, days: int, prefix: str, hour_name: str, stddev: str = "sample"
+) -> DataFrame:
+    """The profile of one window length."""
+    return hour_profiles(df, entity, ts, hour_ts, value, {days: prefix}, hour_name, stddev).drop(f"{prefix}_numsord")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from respfeat.functions.stats import EIGHT_STATS, FIVE_STATS
 from respfeat.operators import orders as op
 from respfeat.operators.assemble import assemble, blank_unless, require
 from respfeat.operators.nearest import nearest_match
-from respfeat.operators.profile import hour_profile
+from respfeat.operators.profile import hour_profiles
 from respfeat.operators.trailing import GROUP_ROWS, Block, trailing_features
 from respfeat.session import scratch_path
 from respfeat.sources.sinks import full_refresh
@@ -83,12 +84,12 @@ def _profile_features(base: DataFrame, group_rows: int) -> DataFrame:
         align="day", group_rows=group_rows,
     )
     links = [(per_order, ("hotel", "processtime"), "inner")]
-    for d in (7, 30):
-        for ts, hour, name in (("orderdate", "ord_hour", "ord"), ("processtime", "process_hour", "process")):
-            profile = hour_profile(
-                base, "hotel", "processtime", ts, "duration", d, f"duration_hour_{name}_{d}", hour
-            )
-            links.append((profile, ("hotel", hour), "inner"))
+    for ts, hour, name in (("orderdate", "ord_hour", "ord"), ("processtime", "process_hour", "process")):
+        prefixes = {d: f"duration_hour_{name}_{d}" for d in (7, 30)}
+        found = hour_profiles(base, "hotel", "processtime", ts, "duration", prefixes, hour)
+        # Rows need the profile of either window, so their hour must be seen in both.
+        seen = reduce(lambda a, c: a & c, [F.col(f"{p}_numsord") > 0 for p in prefixes.values()])
+        links.append((found.where(seen).drop(*[f"{p}_numsord" for p in prefixes.values()]), ("hotel", hour), "inner"))
     wide = assemble(base, links)
     return require(wide, ["duration_month_7", "duration_month_30"])
 

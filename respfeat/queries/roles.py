@@ -51,6 +51,31 @@ def hotel_phones(spark, sf_dir):
     )
 
 
+# The other source columns of an order, as expressions that Spark and the oracle both read.
+ORDER_REST = {
+    "canceltime": "case when event_id % 11 = 0 then ts end",
+    "isholdroom": "cast(event_id % 2 as int)",
+    "holdroomtype": "cast(event_id % 3 as int)",
+    "freesale": "cast(event_id % 5 as int)",
+    "submitfrom": "case when event_id % 4 = 0 then null else event_type end",
+    "remarktype": "cast(user_id % 7 as int)",
+    "iscorp": "case when user_id % 6 = 0 then 'T' else 'F' end",
+    "cost": "value * 0.5",
+    "ave_price": "value * 0.25",
+    "cii_amount": "value + 1.5",
+    "cii_amount_valid": "case when event_id % 3 = 0 then value end",
+    "ord_persons": "cast(event_id % 4 + 1 as int)",
+    "ismaskedorder": "case when event_id % 13 = 0 then 'T' else 'F' end",
+    "frompackageorder": "case when event_id % 17 = 0 then 'T' else 'F' end",
+    "ord_roomstatus": "event_type",
+    "ord_days": "cast(event_id % 6 + 1 as int)",
+    "ord_roomnum": "cast(event_id % 2 + 1 as int)",
+    "recommendlevel": "cast(user_id % 9 as int)",
+    "isdelay": "case when event_id % 19 = 0 then 'T' else 'F' end",
+    "isonline": "case when event_id % 8 = 0 then 'F' else 'T' end",
+}
+
+
 def orders(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     return e.select(
@@ -65,6 +90,7 @@ def orders(spark, sf_dir):
         F.col("value").alias("ord_amount"),
         F.col("event_type").alias("ordertype"),
         F.col("props").alias("commentdate"),
+        *[F.expr(e).alias(name) for name, e in ORDER_REST.items()],
     )
 
 
@@ -176,12 +202,13 @@ ROLE_SQL = {
         select c_custkey as hotel,
                case when c_custkey % 10 = 3 then '0000000' else '+0' || substr(c_name, 9) end as telephone
         from customer""",
-    "ord": """
+    "ord": f"""
         select event_id as orderid, user_id as hotel, cast(user_id % 25 as integer) as cityid, user_id as room,
                ts + to_seconds(cast(floor(value * 1200 - 36000) as bigint)) as confirmdate2,
                ts - to_minutes(event_id % 600) as orderdate,
                date_trunc('day', ts) + to_days(cast(event_id % 9 as integer)) as arrival,
-               value as ord_amount, event_type as ordertype, props as commentdate
+               value as ord_amount, event_type as ordertype, props as commentdate,
+               {', '.join(f'{e} as {name}' for name, e in ORDER_REST.items())}
         from events""",
     "process_log": """
         select event_id as orderid, ts + to_minutes(m) as operatetime,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from respfeat.functions.stats import EIGHT_STATS, FIVE_STATS, SEVEN_STATS
 from respfeat.functions.timefx import wall_clock
 from respfeat.operators.assemble import assemble, blank_unless, join_sparse, merge_on, require
-from respfeat.operators.profile import hour_profile
+from respfeat.operators.profile import hour_profiles
 from respfeat.operators.trailing import Block, all_pairs_count, trailing_counts, trailing_features
 from respfeat.plans import outcall, overseas
 from respfeat.queries import orders as oq
@@ -127,6 +127,23 @@ _blocks("trail_day_30", "hotel", "processtime", [Block("duration_month_30", 30,
 _blocks("trail_large_groups", "supplierid", "orderdate", [Block("duration_supp_ord_month_30", 30)], group_rows=100)
 
 
+_HOT = [Block("duration_hour_30", 30, True), Block("duration_month_30", 30)]
+_ONE = "select 1 as hotel, processtime, orderdate, duration from history"
+
+
+@query(
+    "trail_hot_entity",
+    rounded_sql(
+        "select * from " + " full join ".join(f"({block_sql('one', 'hotel', 'orderdate', 'duration', b)})" for b in _HOT) + " using (hotel, orderdate)",
+        double_columns(_HOT), with_roles("history", one=_ONE),
+    ),
+)
+def trail_hot_entity(spark, sf_dir):
+    """All events in one entity."""
+    one = roles.history(spark, sf_dir).withColumn("hotel", F.lit(1))
+    return rounded(trailing_features(one, "hotel", "orderdate", "duration", _HOT))
+
+
 _WINDOW_GEO = Block("duration_htl_ord_hour_7", 7, True, ("numsord", "geomean"), "window")
 
 
@@ -184,10 +201,8 @@ def _profiles(name: str, hour_ts: str, hour: str, kind: str) -> None:
     @query(name, rounded_sql(sql, doubles, with_roles("history")))
     def run(spark, sf_dir):
         h = roles.history(spark, sf_dir)
-        seven, thirty = (
-            hour_profile(h, "hotel", "processtime", hour_ts, "duration", d, p, hour) for d, p in prefixes.items()
-        )
-        return rounded(seven.join(thirty, ["hotel", hour], "full"))
+        found = hour_profiles(h, "hotel", "processtime", hour_ts, "duration", prefixes, hour)
+        return rounded(found.drop(*[f"{p}_numsord" for p in prefixes.values()]))
 
 
 _profiles("trail_profile_dispatch_hour", "processtime", "process_hour", "process")
