@@ -200,11 +200,12 @@ def clean_overseas_labels(df: DataFrame) -> DataFrame:
     )
 
 
-def label_counts(df: DataFrame, duration: str = "duration") -> DataFrame:
-    """Rows, rows with a label of zero or less, rows with a negative label: one scan."""
+def label_measures(duration: str = "duration") -> dict[str, Column]:
+    """Aggregates over labels: rows, rows with a label of zero or less, rows with a negative label."""
     d = F.col(duration)
-    return df.agg(
-        F.count("*").alias("n_rows"),
-        F.count_if(d <= 0).alias("n_not_positive"),
-        F.count_if(d < 0).alias("n_negative"),
-    )
+    return {"n_rows": F.count(F.lit(1)), "n_not_positive": F.count_if(d <= 0), "n_negative": F.count_if(d < 0)}
+
+
+def label_counts(df: DataFrame, duration: str = "duration") -> DataFrame:
+    """The label measures by one scan."""
+    return df.agg(*[c.alias(n) for n, c in label_measures(duration).items()])

@@ -43,8 +43,9 @@ def hour_profiles(
     """
     days = list(prefixes)
     folded = (
-        df.where(F.col(entity).isNotNull())
-        .select(F.col(entity).alias("_e"), tx.epoch_days(ts).alias("_day"), F.hour(hour_ts).alias("_h"), F.col(value).cast("double").alias("_v"))
+        df.where(F.col(entity).isNotNull() & F.col(ts).isNotNull())
+        # Never NULL, and said so, lest a filter in one use only keep both uses from reading the same shuffled rows.
+        .select(F.col(entity).alias("_e"), F.coalesce(tx.epoch_days(ts), F.lit(0)).alias("_day"), F.coalesce(F.hour(hour_ts), F.lit(-1)).alias("_h"), F.col(value).cast("double").alias("_v"))
         .groupBy("_e", "_day", "_h", "_v").agg(F.count("*").alias("_rows"))
     )
     daily = folded.groupBy("_e", "_day").agg(F.sum("_rows").alias("_anchors"))
@@ -55,7 +56,8 @@ def hour_profiles(
         "_e", "_h", "_v", _bucket(F.col("_v")).alias("_b"), *[(F.col("_rows") * F.col(f"_seen{d}")).alias(f"_w{d}") for d in days]
     )
     known = F.col("_v").isNotNull()
-    rows = rows.groupBy("_e", "_h", "_b", "_v").agg(*[F.sum(f"_w{d}").alias(f"_w{d}") for d in days])
+    # One shuffle serves the sums of buckets, the running sums inside them, and their join.
+    rows = rows.repartition("_e", "_h", "_b")
     sums = [(f"_n{d}", F.sum(F.when(known, F.col(f"_w{d}")).otherwise(0))) for d in days]
     sums += [(f"_s{d}", F.sum(F.when(known & (F.col(f"_w{d}") > 0), F.col(f"_w{d}") * F.col("_v")))) for d in days]
     sums += [(f"_all{d}", F.sum(f"_w{d}")) for d in days]
@@ -69,10 +71,7 @@ def hour_profiles(
     )
     up_to = Window.partitionBy("_e", "_h", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = rows.withColumns({f"_upto{d}": F.sum(F.when(known, F.col(f"_w{d}")).otherwise(0)).over(up_to) for d in days})
-    met = running.withColumnRenamed("_b", "_rb").join(
-        buckets.withColumnsRenamed({"_e": "_be", "_h": "_bh"}),
-        (F.col("_e") == F.col("_be")) & (F.col("_h").eqNullSafe(F.col("_bh"))) & F.col("_rb").eqNullSafe(F.col("_b")),
-    )
+    met = running.join(buckets, ["_e", "_h", "_b"])
     figures = []
     for d in days:
         held = known & (F.col(f"_w{d}") > 0)
@@ -83,7 +82,7 @@ def hour_profiles(
         for j, p in enumerate(QUARTILES):
             figures.append(F.min(F.when(held & (reached >= rank_of(p, F.col(f"_n{d}"))), F.col("_v"))).alias(f"_q{d}_{j}"))
     found = met.groupBy("_e", "_h").agg(*figures)
-    out = [F.col("_e").alias(entity), F.col("_h").alias(hour_name)]
+    out = [F.col("_e").alias(entity), F.when(F.col("_h") >= 0, F.col("_h")).alias(hour_name)]
     for d, prefix in prefixes.items():
         freedom = F.col(f"_n{d}") - 1 if stddev == "sample" else F.col(f"_n{d}")
         out += [

@@ -135,11 +135,12 @@ def trailing_counts(
         "_e", *([hour_of(CELL).alias("_h")] if same_hour else []),
         F.explode(F.array(event(shown, one, no_time), event(gone, -one, no_time), event(F.col(SEC), none, F.col("_ts")))).alias("x"),
     )
-    part = F.floor(F.col("x.at") / (days * (tx.DAY if seconds else 1))).alias("_slice")
+    # Never NULL, and said so: a filter on it in one use only would keep both uses from reading the same shuffled rows.
+    part = F.coalesce(F.floor(F.col("x.at") / (days * (tx.DAY if seconds else 1))), none).alias("_slice")
     folded = swept.groupBy(*keys, part, F.col("x.at").alias("_at")).agg(
         F.sum("x.step").alias("_step"), F.collect_set("x.ts").alias("_ts")
     )
-    # The number of anchors is asked for, though not needed, so that both uses read the same shuffled rows.
+    # The number of anchors is asked for, though not needed, for the same reason.
     slices_ = folded.groupBy(*keys, "_slice").agg(F.sum("_step").alias("_left"), F.sum(F.size("_ts")).alias("_anchors"))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = slices_.withColumn("_carried", F.coalesce(F.sum("_left").over(before), none)).where("_anchors > 0")

@@ -66,6 +66,16 @@ def sink_full_refresh(spark, sf_dir):
     return sinks.full_refresh(df, scratch_path(spark, "events"))
 
 
+@query("sink_refresh_table", "select event_id, user_id, value from events where value > 10")
+def sink_refresh_table(spark, sf_dir):
+    """A catalog table that is refreshed once: its second version is read."""
+    folder = scratch_path(spark, "versions")
+    name = "events_" + folder.rsplit("-", 1)[1]
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    sinks.refresh_table(events.where("value <= 10"), name, folder)
+    return sinks.refresh_table(events.where("value > 10"), name, folder)
+
+
 @query("sink_csv_export", "select event_id, ts, event_type, value from events")
 def sink_csv_export(spark, sf_dir):
     df = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")

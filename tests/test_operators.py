@@ -1,13 +1,17 @@
 import random
 from datetime import timedelta
 
+import pytest
 from conftest import at, rows
+from pyspark.sql import functions as F
 
 from respfeat.operators import calls as ca
 from respfeat.operators import orders as op
 from respfeat.operators.assemble import assemble, blank_unless, merge_on, require
 from respfeat.operators.nearest import nearest_match
-from respfeat.operators.ranking import first_per_key, with_group_size
+from respfeat.operators.profile import hour_profiles
+from respfeat.operators.ranking import first_per_key, slice_of, with_group_size, with_neighbours
+from respfeat.operators.trailing import trailing_counts
 from respfeat.plans import outcall, overseas, reachability
 from respfeat.sources import sinks
 
@@ -310,3 +314,75 @@ def test_csv_gives_back_what_it_wrote(spark, tmp_path):
 def test_group_size_keeps_null_keys(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (None, "d"), (2, "e")], "k int, v string")
     assert rows(with_group_size(df, ["k"]), "v", "nums") == [("a", 2), ("b", 2), ("c", 2), ("d", 2), ("e", 1)]
+
+
+# -- staged refresh ----------------------------------------------------------------
+
+
+def failing(spark):
+    return spark.range(100, numPartitions=4).select(F.when(F.col("id") == 77, F.raise_error(F.lit("dies"))).otherwise(F.col("id")).cast("long").alias("id"))
+
+
+def test_failed_refresh_leaves_the_old_table(spark, tmp_path):
+    for refresh in (sinks.full_refresh, sinks.csv_export):
+        path = f"{tmp_path}/{refresh.__name__}/t"
+        refresh(spark.range(5), path)
+        with pytest.raises(Exception, match="dies"):
+            refresh(failing(spark), path)
+        old = spark.read.parquet(path) if refresh is sinks.full_refresh else spark.read.option("header", True).csv(path)
+        assert old.count() == 5
+        assert [p.name for p in (tmp_path / refresh.__name__).iterdir()] == ["t"]
+        assert refresh(spark.range(7), path).count() == 7
+
+
+def test_failed_refresh_leaves_the_old_version_of_a_catalog_table(spark, tmp_path):
+    folder = f"{tmp_path}/versions"
+    assert sinks.refresh_table(spark.range(5), "staged_t", folder).count() == 5
+    with pytest.raises(Exception, match="dies"):
+        sinks.refresh_table(failing(spark), "staged_t", folder)
+    assert spark.table("staged_t").count() == 5
+    assert sinks.refresh_table(spark.range(3), "staged_t", folder).count() == 3
+    wider = spark.range(4).withColumn("x", F.lit("a"))
+    assert sinks.refresh_table(wider, "staged_t", folder).columns == ["id", "x"]
+    assert len([p for p in (tmp_path / "versions").iterdir()]) == 1
+    spark.sql("drop table staged_t")
+
+
+def test_measures_are_taken_while_writing(spark, tmp_path):
+    df, got = sinks.measured_refresh(spark.range(10), f"{tmp_path}/m", {"n": F.count(F.lit(1)), "top": F.max("id")}, partition_by=[])
+    assert got == {"n": 10, "top": 9} and df.count() == 10
+
+
+# -- neighbours, counts and profiles of busy entities ---------------------------------
+
+
+def test_neighbours_across_slices(spark):
+    rng = random.Random(3)
+    data = [(None if k % 50 == 0 else "hot" if k % 10 else f"e{k % 7}", None if k % 97 == 0 else rng.randrange(10**6) * 10 + k % 10, k) for k in range(3000)]
+    data = list({(e, o): (e, o, k) for e, o, k in data}.values())
+    df = spark.createDataFrame(data, "e string, o long, v long")
+    got = {(r.e, r.o): (r.up, r.down) for r in with_neighbours(df, "e", "o", {"v": ("up", "down")}).collect()}
+    want = {}
+    for e in {d[0] for d in data}:
+        line = sorted((d for d in data if d[0] == e), key=lambda d: (d[1] is not None, d[1] or 0))
+        for i, d in enumerate(line):
+            want[e, d[1]] = (line[i + 1][2] if i + 1 < len(line) else None, line[i - 1][2] if i else None)
+    assert got == want
+
+
+def test_neighbours_of_a_hot_entity_are_spread(spark):
+    """No slice of an entity with 90 % of the rows has more than twice the mean."""
+    df = spark.range(40_000).select(F.when(F.col("id") % 10 > 0, "hot").otherwise(F.col("id").cast("string")).alias("e"), "id")
+    sizes = [r["count"] for r in df.where("e = 'hot'").groupBy(slice_of(df, "id")).count().collect()]
+    assert len(sizes) == 10 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+
+
+def test_counts_and_profiles_read_their_base_once(spark, tmp_path):
+    path = f"{tmp_path}/base"
+    at = (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(F.lit(0), F.col("id") % 1000)).cast("timestamp_ntz")
+    spark.range(5000).select((F.col("id") % 3).alias("e"), at.alias("ts"), F.col("id").cast("double").alias("v")).write.parquet(path)
+    base = spark.read.parquet(path)
+    for df in (trailing_counts(base, "e", "ts", 7), hour_profiles(base, "e", "ts", "ts", "v", {7: "a", 30: "b"}, "h")):
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert final.count("FileScan") == 1 and "ReusedExchange" in final
