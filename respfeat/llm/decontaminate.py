@@ -9,11 +9,12 @@ A document is contaminated by an item if such alignments cover half of the item'
 
 Names are capitalised words that do not begin a sentence; any white space counts as one space. Since
 capitals can be changed, there is a second, plain template of every text, in lower case with slots for
-numbers and units only. Windows of the plain template count as covered if either meets. A window of the
-named template needs two words that are no slots, or it meets nothing.
+numbers and units only. Windows of the plain template count as covered if either meets. A window
+needs two words that are no slots, or it meets nothing.
 
 Defined results: NULL, empty and wordless texts are clean, and benchmark items of that kind match
-nothing; items and texts shorter than a window are compared by all their words; rows that
+nothing; items and texts shorter than a window are compared by all their words; an item of one word
+contaminates only texts of that word, one of nothing but slots contaminates nothing; rows that
 repeat id and text share their result; items that repeat count once each. Empty tables: no row, or
 all clean. Columns of the documents are carried by ``clean_documents`` only.
 """
@@ -100,10 +101,13 @@ def matches(
     )
     listed = written(listed.select("item_id", "named", "size", "window", F.col("w.place").alias("item_place"), F.col("w.slots").alias("item_slots")), "items")
     whole = listed.groupBy("item_id").agg(F.count_if("named").alias("named_windows"), F.count_if(~F.col("named")).alias("plain_windows"))
-    telling = ~F.col("named") | (F.col("size") - F.size("item_slots") >= F.least(F.lit(2), F.col("size")))
+    # Windows of slots tell nothing, nor does a word alone, unless it is the whole text.
+    words = F.col("size") - F.size("item_slots")
+    telling = (words >= 2) | ((F.col("size") == 1) & (words == 1))
     own = docs.select(row_key(id_col, text_col).alias("key"), F.col(text_col).alias("body"))
-    each = _worded(own, "body", "key").select("key", F.explode(_windows("words", "hashes", sizes)).alias("w"))
-    met = each.select("key", "w.window", "w.place", "w.slots").join(bounded(listed).where(telling), "window")
+    each = _worded(own, "body", "key").select("key", F.size("words").alias("n"), F.explode(_windows("words", "hashes", sizes)).alias("w"))
+    met = each.select("key", "n", "w.window", "w.place", "w.slots").join(bounded(listed).where(telling), "window")
+    met = met.where((F.col("size") > 1) | (F.col("n") == 1))
     met = met.withColumn("shift", F.col("place") - F.col("item_place")).groupBy("key", "item_id", "named", "shift").agg(
         F.collect_set("item_place").alias("places"),
         F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("item_slots", "slots")))).alias("pairs"),

@@ -402,6 +402,14 @@ def test_decontamination_whatever_the_capitals_and_spaces(spark, docs_of):
     assert found == {1: [1], 2: [1], 3: [1], 4: [1], 5: [2], 6: [], 7: [1], 8: []}
 
 
+def test_slots_and_single_words_do_not_contaminate(spark, docs_of):
+    items = [(1, "42"), (2, "Yes"), (3, "1 2 3 4 5 6 7 8 9 10 km"), (4, "pi 3 14 15 92 65 35 89 79"), (5, "No 5 entry")]
+    rows = [(1, "Call 5 now"), (2, "yes"), (3, "Oh yes, 42!"), (4, "9 8 7 6 5 4 3 2 1 0 kg"), (5, "Take 1 2 3 4 5 6 7 8 of it"), (6, "there was no 7 entry at all"), (7, "42")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {r["doc_id"]: r["items"] for r in decontaminate.decontaminate(docs_of(rows), bench).collect()}
+    assert found == {1: [], 2: [2], 3: [], 4: [], 5: [], 6: [5], 7: []}
+
+
 # -- personal data ----------------------------------------------------------------
 
 _PLAIN = {
