@@ -25,6 +25,7 @@ HEADLINE = [
     "trail_supplier_all_30",
     "trail_pairs_hour_30",
     "trail_profile_dispatch_hour",
+    "trail_hot_entity",
     "asm_mixed_chain",
     "asof_nearest_penalty",
     "base_duration_full",
