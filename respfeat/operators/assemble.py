@@ -15,9 +15,15 @@ def assemble(base: DataFrame, links: Sequence[Link]) -> DataFrame:
     """Join block after block. Each link is ``(block, keys, how)``; with ``"inner"``
     rows without that block go, with ``"left"`` they stay with NULLs.
 
-    Blocks are unique per key, so no join adds rows.
+    Blocks are unique per key, so no join adds rows. Rows with a NULL key, which
+    left joins keep, are spread over tasks.
     """
-    return reduce(lambda left, link: left.join(link[0], list(link[1]), link[2]), links, base)
+
+    def add(left: DataFrame, link: Link) -> DataFrame:
+        block, keys, how = link
+        return join_sparse(left, block, keys) if how == "left" else left.join(block, list(keys), how)
+
+    return reduce(add, links, base)
 
 
 def join_sparse(left: DataFrame, block: DataFrame, keys: Sequence[str], spread: int = 256) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from respfeat.functions import cleaning as cl
 from respfeat.functions.stats import conditional_count
 from respfeat.operators.ranking import sorted_by, with_neighbours
+from respfeat.operators.skew import spread_join
 
 WORK_THRESHOLD = 0.6
 
@@ -116,15 +117,20 @@ def attach_hotel(
     placeholders: Sequence[str] = cl.PLACEHOLDER_PHONES,
     marks: str = cl.PHONE_PUNCTUATION,
     hotel_marks: str | None = None,
+    share: float | None = None,
 ) -> DataFrame:
-    """Hotels by phone number, both numbers stripped of punctuation."""
+    """Hotels by phone number, both numbers stripped of punctuation. With ``share``, numbers with
+    that share of the rows are spread over tasks."""
     book = (
         hotels.where(cl.is_none_of(telephone, placeholders))
         .select(F.col(hotel), F.col(telephone).alias("_tel"))
         .distinct()
         .select(hotel, cl.strip_marks("_tel", hotel_marks or marks).alias("_number"))
     )
-    return workable.withColumn("_number", cl.strip_marks(phone, marks)).join(book, "_number").drop("_number")
+    numbered = workable.withColumn("_number", cl.strip_marks(phone, marks))
+    if share:
+        return spread_join(numbered, book, [("_number", "_number")], share=share).drop("_number")
+    return numbered.join(book, "_number").drop("_number")
 
 
 def holdout_scores(

@@ -8,11 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from respfeat.functions import timefx as tx
 
+#: Seconds of a day.
+DAY = 86_400
+
 
 def nearest_match(
     snapshots: DataFrame,
@@ -27,11 +30,15 @@ def nearest_match(
     """Best (snapshot, event) pair per key, or per ``per`` columns of the event.
 
     Of all snapshots of a key an event can only win with the last one before its
-    second, the first one after it, or one within it. So snapshots are folded to
-    one per key and second (the earliest; equal times by their remaining columns),
-    put on one time line with the seconds of the events, and each second looks up
-    its neighbours: at most three candidates per event instead of every pair of
-    the key. Ties go to the earlier snapshot, then the lower event id.
+    second, the first one after it, or one within it. So snapshots and events are put
+    on one time line per key, folded to one row per second (the earliest snapshot; equal
+    times by their remaining columns), and each second looks up its neighbours: at most
+    three candidates per event instead of every pair of the key.
+
+    Lookups stay within days: a day of a key has at most 86,400 seconds, however many rows
+    it has. The first and last snapshot of each day are folded map-side, and only these meet
+    per key, to be handed to the days after and before. So a key with all snapshots is
+    spread over its days. Ties go to the earlier snapshot, then the lower event id.
 
     Returns the snapshot columns, ``event_ts``, ``event_id`` and ``dur_time``.
     """
@@ -42,31 +49,29 @@ def nearest_match(
     snapshots, events = snapshots.dropna(subset=on), events.dropna(subset=on)
     payload = [c for c in snap_cols if c not in {*on, snapshot_ts}]
     snap = F.struct(F.col(snapshot_ts).alias("t"), *payload)
-    snaps = (
-        snapshots.where(F.col(snapshot_ts).isNotNull())
-        .withColumn("_s", tx.epoch_seconds(snapshot_ts))
-        .groupBy(*on, "_s")
-        .agg(F.min(snap).alias("_snap"))
-    )
+    kept = snapshots.where(F.col(snapshot_ts).isNotNull())
     asked = events.where(F.col(event_ts).isNotNull()).withColumn("_s", tx.epoch_seconds(event_ts))
-    no_snap = F.lit(None).cast(snaps.schema["_snap"].dataType).alias("_snap")
-    line = (
-        snaps.unionByName(asked.select(*on, "_s", no_snap).distinct())
-        .groupBy(*on, "_s")
-        .agg(F.max("_snap").alias("_at"))
+    points = kept.select(*on, tx.epoch_seconds(snapshot_ts).alias("_s"), snap.alias("_snap")).unionByName(
+        asked.select(*on, "_s"), allowMissingColumns=True
+    )
+    day = F.floor(F.col("_s") / DAY).alias("_day")
+    line = points.groupBy(*on, day, "_s").agg(F.min("_snap").alias("_at"))
+    held = F.when(F.col("_at").isNotNull(), F.col("_s"))
+    days = line.groupBy(*on, "_day").agg(F.min_by("_at", held).alias("_first"), F.max_by("_at", held).alias("_last"))
+
+    # Both directions as running frames: a frame to the end would be recomputed for each row.
+    def running(value: str, keys: list[str], order: Column) -> Column:
+        frame = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.last(value, ignorenulls=True).over(frame)
+
+    carried = days.select(
+        *on, "_day", running("_last", on, F.col("_day").asc()).alias("_old"), running("_first", on, F.col("_day").desc()).alias("_new")
     )
-    # Both directions as running frames: a frame to the end of the key would be
-    # recomputed for each row.
-    up = Window.partitionBy(*on).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    down = Window.partitionBy(*on).orderBy(F.col("_s").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    around = line.select(
-        *on,
-        "_s",
-        F.array(
-            F.last("_at", ignorenulls=True).over(up),
-            F.col("_at"),
-            F.last("_at", ignorenulls=True).over(down),
-        ).alias("_near"),
+    within = [*on, "_day"]
+    around = (
+        line.withColumns({"_up": running("_at", within, F.col("_s").asc()), "_down": running("_at", within, F.col("_s").desc())})
+        .join(carried, within)
+        .select(*on, "_s", F.array(F.coalesce("_up", "_old"), F.col("_at"), F.coalesce("_down", "_new")).alias("_near"))
     )
     scored = (
         asked.join(around, [*on, "_s"])

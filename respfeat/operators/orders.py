@@ -16,6 +16,7 @@ from respfeat.functions import cleaning as cl
 from respfeat.functions import timefx as tx
 from respfeat.functions.columns import drop_matching
 from respfeat.operators.ranking import first_per_key
+from respfeat.operators.skew import spread_join
 from respfeat.sources.tables import excluding_code, since
 
 # Columns the order extract leaves out, and those each base table keeps.
@@ -49,12 +50,15 @@ OVERSEAS_COLUMNS = [
 
 def join_dim(
     fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None,
-    cols: Sequence[str] | None = None, how: str = "inner",
+    cols: Sequence[str] | None = None, how: str = "inner", share: float | None = None,
 ) -> DataFrame:
-    """Fact with the columns of a dimension; ``how="left"`` keeps unmatched facts."""
+    """Fact with the columns of a dimension; ``how="left"`` keeps unmatched facts. With ``share``,
+    keys with that share of the facts are spread over tasks (``spread_join``)."""
     dim_key = dim_key or key
     cols = [c for c in dim.columns if c != dim_key] if cols is None else list(cols)
     side = dim.select(F.col(dim_key).alias("_k"), *cols)
+    if share:
+        return spread_join(fact, side, [(key, "_k")], how, share)
     return fact.join(side, F.col(key) == F.col("_k"), how).drop("_k")
 
 
@@ -91,17 +95,18 @@ def order_extract(
     return drop_matching(since(orders, ts, lo), unwanted)
 
 
-def confirm_time(orders: DataFrame, hotels: DataFrame, columns: Sequence[str] = CONFIRM_COLUMNS) -> DataFrame:
+def confirm_time(orders: DataFrame, hotels: DataFrame, columns: Sequence[str] = CONFIRM_COLUMNS, share: float | None = None) -> DataFrame:
     """Orders with hotel attributes, the first confirmation per order, same-day flag
     and minutes from order to arrival.
 
     Orders are reduced before the dimension join, so the join sees each order once. A
     hotel that is listed several times gives its first row; ties end in all columns.
+    ``share`` as in ``join_dim``.
     """
     ties = [c for c in orders.columns if c not in ("orderid", "confirmdate2", "hotel")]
     first = first_per_key(orders, "orderid", ["confirmdate2", "hotel", *ties])
     listed = first_per_key(hotels.select("hotel", *HOTEL_ATTRIBUTES), "hotel", HOTEL_ATTRIBUTES)
-    return join_dim(first, listed, "hotel", cols=HOTEL_ATTRIBUTES, how="left").withColumns(
+    return join_dim(first, listed, "hotel", cols=HOTEL_ATTRIBUTES, how="left", share=share).withColumns(
         {
             "confirmdate": F.col("confirmdate2"),
             "istodayord": tx.same_day_flag("arrival", "orderdate"),
@@ -110,9 +115,9 @@ def confirm_time(orders: DataFrame, hotels: DataFrame, columns: Sequence[str] =
     ).select(*columns)
 
 
-def attach_supplier(orders: DataFrame, supplier_hotels: DataFrame) -> DataFrame:
-    """``supplierid`` of the hotel, NULL where there is none."""
-    return join_dim(orders, supplier_hotels, "hotel", "hotelid", ["supplierid"], "left")
+def attach_supplier(orders: DataFrame, supplier_hotels: DataFrame, share: float | None = None) -> DataFrame:
+    """``supplierid`` of the hotel, NULL where there is none. ``share`` as in ``join_dim``."""
+    return join_dim(orders, supplier_hotels, "hotel", "hotelid", ["supplierid"], "left", share)
 
 
 def response_duration(dispatch: DataFrame, confirmed: DataFrame, version: int = 3) -> DataFrame:
@@ -142,14 +147,14 @@ def response_duration(dispatch: DataFrame, confirmed: DataFrame, version: int =
 
 def overseas_orders(
     orders: DataFrame, cities: DataFrame, hotels: DataFrame, home_country: int = 1,
-    columns: Sequence[str] = OVERSEAS_COLUMNS,
+    columns: Sequence[str] = OVERSEAS_COLUMNS, share: float | None = None,
 ) -> DataFrame:
-    """Orders in other countries with city and hotel attributes and time features."""
+    """Orders in other countries with city and hotel attributes and time features. ``share`` as in ``join_dim``."""
     abroad = join_dim(
         orders, excluding_code(cities, "country", home_country), "cityid",
-        cols=["cityname", "country", "countryname"],
+        cols=["cityname", "country", "countryname"], share=share,
     )
-    return join_dim(abroad, hotels, "hotel", cols=HOTEL_ATTRIBUTES).withColumns(
+    return join_dim(abroad, hotels, "hotel", cols=HOTEL_ATTRIBUTES, share=share).withColumns(
         {
             "confirmdate": F.col("confirmdate2"),
             "ord_hour": F.hour("orderdate"),

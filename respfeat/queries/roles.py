@@ -278,3 +278,15 @@ def r(expr: str) -> str:
 def rounded_sql(sql: str, doubles: list[str], head: str = "") -> str:
     """``sql`` with the named columns rounded; ``head`` is its ``with`` clause."""
     return f"{head}select * replace ({', '.join(f'{r(c)} as {c}' for c in doubles)}) from ({sql}) rounded"
+
+
+def nearest_sql(snapshots: str, events: str, on: str) -> str:
+    """The pair with the least score per room and day: whole seconds apart, and a million more
+    where the snapshot is the later one."""
+    seconds = lambda t: f"epoch_us({t}) // 1000000"
+    score = f"abs({seconds('e.processtime')} - {seconds('s.createtime')}) + if(s.createtime > e.processtime, 1000000, 0)"
+    pair = ["createtime", "orderid", "snapshot_id", "price", "processtime"]
+    fields = ", ".join(f"'{c}': {'e' if c in ('orderid', 'processtime') else 's'}.{c}" for c in pair)
+    return f"""select roomid, effectdate, {", ".join(f"best.{c}" for c in [*pair, "dur_time"])} from (
+        select s.roomid, s.effectdate, min({{'dur_time': {score}, {fields}}}) as best
+        from {snapshots} s join {events} e on {on} group by all)"""

@@ -417,18 +417,12 @@ def asm_hotel_supplier(spark, sf_dir):
     oq.outcall_sql(
         status=roles.ROLE_SQL["room_status"].replace("strftime(ts,", "strftime(ts + to_days(2),"),
     )
-    + """select roomid, effectdate, createtime, snapshot_id, price, processtime, orderid, dur_time from (
-           select *, row_number() over (partition by roomid, effectdate order by dur_time, createtime, orderid) as rk
-           from (select c.*, d.processtime, d.orderid,
-                   case when c.createtime <= d.processtime
-                        then date_diff('second', date_trunc('second', c.createtime), date_trunc('second', d.processtime))
-                        else date_diff('second', date_trunc('second', d.processtime), date_trunc('second', c.createtime)) + 1000000
-                   end as dur_time
-                 from status c join (select o.orderid, room, arrival, processtime from ord o
-                                     join dispatch p on o.orderid = p.orderid
-                                     where orderdate >= timestamp '2024-01-01' and processtime >= timestamp '2024-01-01') d
-                   on c.roomid = d.room and cast(strptime(c.effectdate, '%Y%m%d') as date) = cast(d.arrival as date)))
-         where rk = 1""",
+    + roles.nearest_sql(
+        "status",
+        """(select room as roomid, strftime(arrival, '%Y%m%d') as effectdate, processtime, orderid from ord
+            join dispatch using (orderid) where least(orderdate, processtime) >= timestamp '2024-01-01')""",
+        "s.roomid = e.roomid and s.effectdate = e.effectdate",
+    ),
 )
 def room_features(spark, sf_dir):
     status = roles.room_status(spark, sf_dir).withColumns(

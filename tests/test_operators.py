@@ -11,6 +11,7 @@ from respfeat.operators.assemble import assemble, blank_unless, merge_on, requir
 from respfeat.operators.nearest import nearest_match
 from respfeat.operators.profile import hour_profiles
 from respfeat.operators.ranking import first_per_key, slice_of, with_group_size, with_neighbours
+from respfeat.operators.skew import frequent_keys, spread_join
 from respfeat.operators.trailing import trailing_counts
 from respfeat.plans import outcall, overseas, reachability
 from respfeat.sources import sinks
@@ -386,3 +387,71 @@ def test_counts_and_profiles_read_their_base_once(spark, tmp_path):
         df.collect()
         final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
         assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
+# -- hot keys -------------------------------------------------------------------------
+
+
+def test_nearest_in_one_room_over_many_days(spark):
+    """All rows under one key, days without snapshots or events between; against a sorted search."""
+    rng = random.Random(8)
+    start = at("01-01 00:00:00")
+    times = sorted({rng.randrange(40) * 7 * 86_400 // 5 + rng.randrange(3000) for _ in range(400)})
+    snaps = [(1, "x", start + timedelta(seconds=t), i) for i, t in enumerate(times)]
+    asked = [rng.randrange(60 * 86_400) for _ in range(300)]
+    events = [(1, "x", start + timedelta(seconds=t), i) for i, t in enumerate(asked)]
+    got = {r.orderid: (r.createtime, r.dur_time) for r in match(spark, snaps, events, per=["orderid"]).collect()}
+    for i, t in enumerate(asked):
+        best = min(((t - c if c <= t else c - t + 1_000_000), c) for c in times)
+        assert got[i] == (start + timedelta(seconds=best[1]), best[0])
+
+
+def crowded(spark, n=20_000):
+    """Four in ten rows under key 7, one in ten without a key."""
+    key = F.when(F.col("id") % 10 < 4, 7).when(F.col("id") % 10 > 4, F.col("id") % 3000)
+    return spark.range(n).select("id", key.cast("bigint").alias("k"))
+
+
+def test_spread_join_equals_a_plain_join(spark):
+    left = crowded(spark, 5000)
+    right = spark.createDataFrame([(k, f"{k}/{j}") for k in [*range(0, 3000, 2), 7, None] for j in range(1 + (k == 7))], "k2 int, v string")
+    for how in ("inner", "left"):
+        got = spread_join(left, right, [("k", "k2")], how)
+        assert got.columns == ["id", "k", "v"]
+        assert rows(got) == rows(left.join(right, left.k == right.k2, how).drop("k2"))
+    empty = spread_join(left.limit(0), right, [("k", "k2")], "left")
+    assert empty.count() == 0 and spread_join(left, right.limit(0), [("k", "k2")]).count() == 0
+    assert spread_join(left, right.limit(0), [("k", "k2")], "left").where("v is null").count() == 5000
+
+
+def test_frequent_keys_are_found_and_spread(spark):
+    left = crowded(spark)
+    found = frequent_keys(left, ["k"])
+    assert sorted(r._lots for r in found.collect()) == [26, 103]
+    names = {r.h: r.k for r in left.select(F.xxhash64("k").alias("h"), "k").distinct().collect()}
+    assert {names[r._key] for r in found.collect()} == {7, None}
+
+
+def test_no_task_of_a_spread_join_has_twice_the_mean(spark):
+    """Forty per cent of the rows under one key, without adaptive plans or broadcasts."""
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}
+    before = {c: spark.conf.get(c) for c in conf}
+    right = spark.range(3000).select(F.col("id").alias("k2"), F.lit("x").alias("v"))
+    try:
+        for c, v in conf.items():
+            spark.conf.set(c, v)
+        for how in ("inner", "left"):
+            joined = spread_join(crowded(spark), right, [("k", "k2")], how)
+            sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+            assert len(sizes) == 8 and max(sizes) <= 2 * sum(sizes) / 8
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+
+
+def test_left_blocks_spread_rows_without_a_key(spark):
+    base = crowded(spark, 1000)
+    block = spark.createDataFrame([(7, 1.0), (5, 2.0)], "k long, b_pre double")
+    got = assemble(base, [(block, ["k"], "left")])
+    assert got.count() == 1000 and got.where("k is null and b_pre is null").count() == 100
+    assert got.where("b_pre = 1").count() == base.where("k = 7").count()
