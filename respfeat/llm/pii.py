@@ -2,11 +2,14 @@
 
 Patterns find protected entities: e-mail addresses, IP addresses, payment cards, phone
 numbers. Information-theoretic sanitisation adds the terms that reveal them. For a term t that
-stands in a text with an entity e, anywhere in it, the corpus estimates P(e | t), the share of
-t's documents that hold e, smoothed by one document of the corpus at large, and the information
-log2(P(e | t) / P(e)). A term with P(e | t) of a half and five bits or more for some entity
-exceeds the threshold, so a term of one text with an entity does too. Such terms are spans wherever they occur: generalised
-to a placeholder while the entity is only likely (P below 0.9), removed beyond.
+stands in a text with an entity e, anywhere in it, the corpus counts n texts with t, k of them
+with e. How strongly t reveals e is the lower bound of P(e | t) that this evidence supports
+(Wilson's, one-sided at 90 %), and the information log2(bound / P(e)). A term with a bound of a half
+and five bits or more for some entity exceeds the threshold. One text is no evidence: its bound
+is 0.38, so a word that merely is rare stays; two texts out of two give 0.55. Where a term looks like a name, that is
+capitalised inside a sentence, a text that holds it with e counts as two observations. Such
+terms are spans wherever they occur: generalised to a placeholder while the entity is only
+likely (bound below 0.9), removed beyond.
 
 The patterns are written so that Java's engine runs in linear time and without recursion:
 possessive quantifiers, and starts only where a run of characters starts (or where the last
@@ -34,9 +37,11 @@ PATTERNS = {
 }
 #: A text without one of these holds no span of the kind.
 HINTS = {"email": "@", "phone": "+"}
-#: Documents of the corpus at large that smooth P(e | t).
-PRIOR = 1.0
 LIKELY, BITS, CERTAIN = 0.5, 5.0, 0.9
+#: Standard deviations of the one-sided bound at 90 %.
+SURE = 1.2816
+#: A capitalised word that doesn't begin a sentence or a line.
+NAME = r"(?<=[\p{L}\p{N},;:'’)(][\x20\x09])\p{Lu}[\p{L}\p{M}'’-]*"
 _EDGES = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
 _ROW = "array<struct<kind:int,i:int,gap:int,found:string>>"
 
@@ -103,25 +108,49 @@ def _is_term(core: Column) -> Column:
     return (F.length(core) >= 3) & ~F.rlike(core, F.lit("[@0-9]"))
 
 
+def least_share(k: Column, n: Column) -> Column:
+    """Wilson's lower bound of a share, of which k in n were seen."""
+    p, z = k / n, SURE * SURE
+    return (p + z / (2 * n) - SURE * F.sqrt(p * (1 - p) / n + z / (4 * n * n))) / (1 + z / n)
+
+
+def _representatives(holds: DataFrame) -> DataFrame:
+    """key, entity, holders. Entities that the same texts hold reveal alike, so one stands for
+    all: a text with many of its own makes no product of them with its terms."""
+    mix = F.xxhash64("key")
+    held = holds.groupBy("entity").agg(
+        F.count("*").alias("holders"), F.bit_xor(mix).alias("x"), F.sum(mix.cast("decimal(38,0)")).alias("s")
+    )
+    first = held.groupBy("holders", "x", "s").agg(F.min("entity").alias("entity")).select("entity", "holders")
+    return written(holds.join(first, "entity"), "holds")
+
+
 def disclosing_terms(texts: DataFrame, spans: DataFrame) -> DataFrame:
-    """term, likely (the highest P(e | t)): the terms that exceed the thresholds."""
+    """term, likely (the highest bound of P(e | t)): the terms that exceed the thresholds."""
     entity = F.xxhash64("kind", F.lower(F.regexp_replace("found", r"[\x20().-]", "")))
-    holds = written(spans.select("key", entity.alias("entity")).distinct(), "holds")
-    held = holds.groupBy("entity").agg(F.count("*").alias("holders"))
-    own = texts.join(bounded(holds.select("key").distinct()), "key", "left_semi").dropDuplicates(["key"])
-    terms = _terms_of(own).where(_is_term(F.col("term")))
-    seen = written(terms.join(holds, "key").groupBy("term", "entity").agg(F.count("*").alias("together")), "pairs")
+    holds = _representatives(written(spans.select("key", entity.alias("entity")).distinct(), "entities"))
+    keys = bounded(written(holds.select("key").distinct(), "holding"))
+    own = written(texts.join(keys, "key", "left_semi").dropDuplicates(["key"]), "own")
+    plain, names = _terms_of(own).withColumn("named", F.lit(0)), _names_of(own).withColumn("named", F.lit(1))
+    terms = plain.unionByName(names).where(_is_term(F.col("term"))).groupBy("key", "term").agg(F.max("named").alias("named"))
+    # No other pair can reach the threshold: its bound rests on one observation.
+    pairs = terms.join(holds, "key").where((F.col("named") == 1) | (F.col("holders") > 1))
+    seen = written(pairs.groupBy("term", "entity", "holders").agg(F.count("*").alias("together"), F.sum("named").alias("named")), "pairs")
     candidates = written(seen.select("term").distinct(), "candidates")
     rows, total = texts.agg(F.count("*"), F.count_distinct("key")).first()
     each = _terms_of(texts).distinct() if rows > total else _terms_of(texts)
     found = each.join(bounded(candidates), "term").groupBy("term").agg(F.count("*").alias("documents"))
-    share = F.col("holders") / F.lit(total)
-    likely = (F.col("together") + PRIOR * share) / (F.col("documents") + PRIOR)
-    bits = F.log2(likely / share)
-    strong = seen.join(found, "term").join(held, "entity").where((likely >= LIKELY) & (bits >= BITS))
+    likely = least_share(F.col("together") + F.col("named"), F.col("documents") + F.col("named"))
+    bits = F.log2(likely / (F.col("holders") / F.lit(total)))
+    strong = seen.join(found, "term").where((likely >= LIKELY) & (bits >= BITS))
     return written(strong.groupBy("term").agg(F.max(likely).alias("likely")), "terms")
 
 
+def _names_of(texts: DataFrame) -> DataFrame:
+    """(key, term): words of every whole text that look like names."""
+    return texts.select("key", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(NAME), 0))).alias("w")).select("key", _core(F.col("w")).alias("term"))
+
+
 def _terms_of(texts: DataFrame) -> DataFrame:
     """(key, term): the distinct terms of every whole text."""
     # Marks at the edges of words go in one pass over the text, so that words need none.

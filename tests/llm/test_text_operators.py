@@ -470,6 +470,56 @@ def test_terms_of_one_or_two_texts_disclose_from_anywhere_in_them(docs_of):
     assert all(found[20 + k] == [""] for k in range(200))
 
 
+_COMMON = "harvest river window garden market letter winter summer bridge station".split()
+
+
+def test_rare_words_beside_an_entity_stay(docs_of):
+    text = "Please write to bob@x.org about the harvest festival, says our neighbour Quentinus from the village."
+    rows = [(0, text), (1, "Nothing personal about the zymurgy of Quincetown here.")] + [(10 + k, prose(k, 30)) for k in range(198)]
+    found = {r["doc_id"]: r["spans"] for r in pii.find(docs_of(rows)).collect()}
+    name = text.index("Quentinus")
+    assert found[0] == f"email:16:25,term:{name}:{name + 9}"
+    assert not any(v for k, v in found.items() if k)
+
+
+def test_terms_equal_counted_shares(docs_of):
+    """k and n counted by hand for every term and entity of small random texts."""
+    rng = random.Random(4)
+    people = [(f"Name{chr(97 + k) * 3}", f"p{k}@corp.example") for k in range(12)]
+    rows = []
+    for i in range(700):
+        words = rng.choices(_COMMON, k=6)
+        if i % 7 == 0:
+            name, mail = people[i // 7 % 12]
+            words += [mail] + ([name] if rng.random() < 0.7 else []) + ([name.lower()] if rng.random() < 0.2 else [])
+            words += [f"rare{''.join(chr(97 + int(c)) for c in str(i // 7 % 36))}"]
+        rows.append((i, "so it went: " + " ".join(words)))
+    sets = [set(re.sub(r"(?<!\w)\W+|\W+(?!\w)", " ", t.lower().replace("went:", "went")).split()) for _, t in rows]
+    named = [{w.lower() for w in re.findall(r"(?<= )[A-Z]\w+", t)} for _, t in rows]
+    want = {}
+    for mail in {m for _, m in people}:
+        holders = [i for i, s in enumerate(sets) if mail in s]
+        for term in set().union(*[sets[i] for i in holders]):
+            if len(term) < 3 or re.search("[@0-9]", term):
+                continue
+            extra = sum(term in named[i] for i in holders)
+            k, n = sum(term in sets[i] for i in holders) + extra, sum(term in s for s in sets) + extra
+            p, z = k / n, pii.SURE**2
+            low = (p + z / (2 * n) - pii.SURE * math.sqrt(p * (1 - p) / n + z / (4 * n * n))) / (1 + z / n)
+            if low >= pii.LIKELY and math.log2(low / (len(holders) / len(rows))) >= pii.BITS:
+                want[term] = max(want.get(term, 0), low)
+    texts = pii._keyed(docs_of(rows), "doc_id", "text").select("key", "text")
+    found = {r["term"]: r["likely"] for r in pii.disclosing_terms(texts, pii.base_spans(texts)).collect()}
+    assert set(found) == set(want) and any(t.startswith("name") for t in want) and any(t.startswith("rare") for t in want)
+    assert all(math.isclose(found[t], want[t], rel_tol=1e-9) for t in want)
+
+
+def test_texts_without_personal_data_stay_clean(documents):
+    """On the test tables, a text without base spans has none of terms either, but for names."""
+    found = pii.find(documents).where("spans like '%term%' and n_email + n_ip + n_card + n_phone = 0").count()
+    assert found <= documents.count() // 100
+
+
 # -- language model ---------------------------------------------------------------
 
 
