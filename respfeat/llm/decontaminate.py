@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from respfeat.llm.common import bounded, row_key, table, without, written
+from respfeat.llm.common import BROADCAST_KEYS, row_key, table, without, written
 
 WINDOW = 8
 COVERAGE = 0.5
@@ -40,39 +40,62 @@ _UNIT = r"(?<=[\p{Nd}.,%]> )(?:" + "|".join(UNITS) + r")(?![\p{L}\p{N}])"
 _MARKS = r"[^\p{L}\p{N}<>=\x20\x09-\x0D]+"
 
 
-def template(text: str, named: bool = True) -> Column:
-    """The template words of a text; a slot is ``<kind=value>``."""
-    spaced = F.regexp_replace(F.coalesce(F.col(text).cast("string"), F.lit("")), r"[\x20\x09-\x0D]+", " ")
+def _spaced(text: str) -> Column:
+    return F.regexp_replace(F.coalesce(F.col(text).cast("string"), F.lit("")), r"[\x20\x09-\x0D]+", " ")
+
+
+def _slotted(spaced: Column, named: bool) -> Column:
     worded = F.regexp_replace(spaced, _NAME, "<name=$0>") if named else F.lower(spaced)
     counted = F.regexp_replace(F.regexp_replace(worded, _NUMBER, "<num=$0>"), _UNIT, "<unit=$0>")
     plain = F.lower(F.regexp_replace(counted, _MARKS, ""))
     return F.array_remove(F.split(plain, " "), "")
 
 
-def _windows(words: str, hashes: str, sizes: list[int]) -> Column:
-    """Every window of the given sizes: hash of its template, place, slots."""
+def template(text: str, named: bool = True) -> Column:
+    """The template words of a text; a slot is ``<kind=value>``."""
+    return _slotted(_spaced(text), named)
+
+
+def _worded(df: DataFrame, text: str, keep: str) -> DataFrame:
+    """Both templates of every text, with the hashes of their words, in which slots have no value."""
+    kind = lambda w: F.when(w.startswith("<"), F.substring_index(w, "=", 1)).otherwise(w)
+    both = F.explode(F.array(*[F.struct(F.lit(n).alias("named"), _slotted(F.col("spaced"), n).alias("words")) for n in (True, False)])).alias("t")
+    worded = df.select(keep, _spaced(text).alias("spaced")).select(keep, both).select(keep, "t.*")
+    return worded.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(kind(w))))
+
+
+def _windows(worded: DataFrame, keep: str, sizes: list[int]) -> DataFrame:
+    """keep, named, words, n, place, size, window: a row for every window of the given sizes with the hash of its template.
+    One row per place first, so that hashes are compiled code and no function of an array element."""
+    n = F.size("hashes")
+    # Outer, since the filter that Spark infers from an inner one would make the hashes twice.
+    placed = worded.select(keep, "named", "words", "hashes", n.alias("n"), F.posexplode_outer("hashes").alias("place", "first"))
 
     def of(size: int) -> Column:
-        places = F.sequence(F.lit(0), F.size(words) - size)
-        made = F.transform(
-            places,
-            lambda i: F.struct(
-                F.xxhash64(F.lit(size), F.col("named"), *[F.get(hashes, i + k) for k in range(size)]).alias("window"),
-                i.alias("place"),
-                F.filter(F.slice(words, i + 1, size), lambda w: w.startswith("<")).alias("slots"),
-            ),
-        )
-        return F.when(F.size(words) >= size, made)
+        rest = [F.get("hashes", F.col("place") + k) for k in range(1, size)]
+        return F.xxhash64(F.lit(size), F.col("named"), F.col("first"), *rest)
 
-    each = [of(s) for s in sizes]
-    none = F.array().cast("array<struct<window:bigint,place:int,slots:array<string>>>")
-    return F.concat(none, *[F.coalesce(x, none) for x in each])
+    fits = lambda s: F.col("place") + s <= F.col("n")
+    if len(sizes) == 1:
+        made = placed.where(fits(sizes[0])).withColumns({"size": F.lit(sizes[0]), "window": of(sizes[0])})
+    else:
+        each = F.array(*[F.when(fits(s), F.struct(F.lit(s).alias("size"), of(s).alias("window"))) for s in sizes])
+        made = placed.withColumn("w", F.explode(each)).where("w is not null").withColumns({"size": F.col("w.size"), "window": F.col("w.window")})
+    return made.select(keep, "named", "words", "n", "place", "size", "window")
 
 
-def _worded(df: DataFrame, text: str, keep: str) -> DataFrame:
-    kind = lambda w: F.when(w.startswith("<"), F.substring_index(w, "=", 1)).otherwise(w)
-    both = F.explode(F.array(*[F.struct(F.lit(n).alias("named"), template(text, n).alias("words")) for n in (True, False)])).alias("t")
-    return df.select(keep, both).select(keep, "t.*").withColumn("hashes", F.transform("words", lambda w: F.xxhash64(kind(w))))
+def _with_slots(made: DataFrame, widest: int) -> DataFrame:
+    """Windows with their slots in place of the words of the whole text. It is compiled code, and a generator, so that Spark
+    neither moves it into a later step nor hands the words on row by row: those rows would take the square of a text's length."""
+    word = lambda k: F.get("words", F.col("place") + k)
+    slot = lambda k: F.when((F.col("size") > k) & word(k).startswith("<"), word(k)).otherwise("")
+    return made.withColumn("slots", F.explode(F.array(F.array_remove(F.array(*[slot(k) for k in range(widest)]), "")))).drop("words")
+
+
+def _sent(listed: DataFrame) -> tuple[DataFrame, bool]:
+    """A written table, and whether it is small enough to be sent to every executor."""
+    small = listed.count() <= BROADCAST_KEYS
+    return F.broadcast(listed) if small else listed, small
 
 
 def matches(
@@ -82,31 +105,26 @@ def matches(
     """key, item_id, covered: documents (``row_key``) and the items that contaminate them."""
     items = benchmark.select(F.col(item_col).alias("item_id"), F.col("text").alias("body"))
     items = _worded(items, "body", "item_id").where(F.size("words") > 0)
-    sized = items.withColumn("size", F.least(F.size("words"), F.lit(window)))
     # At most ``window`` numbers.
-    sizes = sorted(r[0] for r in sized.select("size").distinct().collect())
-    lots = [
-        sized.where(F.col("size") == s).select("item_id", "named", "size", F.explode(_windows("words", "hashes", [s])).alias("w")) for s in sizes
-    ]
-    if not lots:
+    sizes = sorted(r[0] for r in items.select(F.least(F.size("words"), F.lit(window))).distinct().collect())
+    if not sizes:
         return docs.select(row_key(id_col, text_col).alias("key"), F.lit(None).cast("long").alias("item_id"), F.lit(0.0).alias("covered")).where(
             "false"
         )
-    listed = lots[0]
-    for more in lots[1:]:
-        listed = listed.unionByName(more)
     # A window that an item repeats counts once, at its first place.
-    listed = listed.groupBy("item_id", "named", "size", F.col("w.window").alias("window")).agg(
-        F.min(F.struct("w.place", "w.slots")).alias("w"),
-    )
+    listed = _windows(items, "item_id", sizes).where(F.col("size") == F.least("n", F.lit(window)))
+    listed = _with_slots(listed, sizes[-1]).groupBy("item_id", "named", "size", "window").agg(F.min(F.struct("place", "slots")).alias("w"))
     listed = written(listed.select("item_id", "named", "size", "window", F.col("w.place").alias("item_place"), F.col("w.slots").alias("item_slots")), "items")
     whole = listed.groupBy("item_id").agg(F.count_if("named").alias("named_windows"), F.count_if(~F.col("named")).alias("plain_windows"))
     # Windows of slots tell nothing, nor does a word alone, unless it is the whole text.
     words = F.col("size") - F.size("item_slots")
     telling = (words >= 2) | ((F.col("size") == 1) & (words == 1))
     own = docs.select(row_key(id_col, text_col).alias("key"), F.col(text_col).alias("body"))
-    each = _worded(own, "body", "key").select("key", F.size("words").alias("n"), F.explode(_windows("words", "hashes", sizes)).alias("w"))
-    met = each.select("key", "n", "w.window", "w.place", "w.slots").join(bounded(listed).where(telling), "window")
+    each = _windows(_worded(own, "body", "key"), "key", sizes).drop("named")
+    asked, sent = _sent(listed)
+    asked = asked.where(telling).drop("size")
+    # Slots are cut out of the windows that met, or of all where windows are shuffled.
+    met = _with_slots(each.join(asked, "window"), sizes[-1]) if sent else _with_slots(each, sizes[-1]).join(asked, "window")
     met = met.where((F.col("size") > 1) | (F.col("n") == 1))
     met = met.withColumn("shift", F.col("place") - F.col("item_place")).groupBy("key", "item_id", "named", "shift").agg(
         F.collect_set("item_place").alias("places"),
