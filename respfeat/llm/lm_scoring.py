@@ -10,9 +10,10 @@ score is the log-probability of the text, over any vocabulary. Every training do
 once: tasks train side by side on theirs and the weights are averaged by Spark, first over the
 documents with remainders 1 to 3, then from there over the others.
 
-Scores. Documents go through the network batch by batch. For the counts, each batch sends out one row
+Scores. Documents go through the network batch by batch. The counts of words with ids of their own go
+around with the weights, so frequent words are summed where they stand. For the others each batch sends out one row
 per distinct word with the places where it occurs; rows meet the counts in a join by word
-and come back by batch as sums per document. Nothing is sent around whole but the weights.
+and come back by batch as sums per document.
 
 Defined results: NULL text counts as empty, one end token. A NULL id counts as the
 empty text for the remainder. Repeated rows are scored each, and learned from each. Without
@@ -168,9 +169,10 @@ def _by_shared_id(counts: DataFrame, shared_ids: int) -> list:
     return counts.groupBy((F.col("ending") % shared_ids).alias("shared")).agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect()
 
 
-def _sent(shared):
-    """(doc_id, held_out, text) -> per batch, one row for each distinct word with its places and
-    one with the documents and what the network says."""
+def _sent(shared, own_logs: np.ndarray):
+    """(doc_id, held_out, text) -> per batch, one row for each distinct word that shares its id, with its places,
+    and one with the documents, what the network says and the sums over words with ids of their own.
+    own_logs: log10 of the share of the counts of these words, by id."""
 
     def run(batches):
         model, part = shared.value, TaskContext.get().partitionId()
@@ -178,9 +180,16 @@ def _sent(shared):
             n = _Numbered(b["text"])
             size = len(n.docs)
             lengths = np.array([len(d) for d in n.docs], np.int64)
-            scores = gru.score(model.flat, model.shape, model.documents(n), SCORED_GROUP)
-            places = n.flat().astype(np.int64) * size + np.repeat(np.arange(size), lengths)
-            places, times = np.unique(places, return_counts=True)
+            ids = model.ids(n.words)
+            scores = gru.score(model.flat, model.shape, [ids[d] for d in n.docs], SCORED_GROUP)
+            flat, of = n.flat(), np.repeat(np.arange(size), lengths)
+            common = (ids < model.own_ids)[flat]
+            bases = np.bincount(of[common], own_logs[ids[flat[common]]], minlength=size)
+            known = np.bincount(of[common], minlength=size)
+            rare = np.flatnonzero(ids >= model.own_ids)
+            number = np.zeros(len(ids), np.int64)
+            number[rare] = np.arange(len(rare))
+            places, times = np.unique(number[flat[~common]] * size + of[~common], return_counts=True)
             # More than two bytes hold goes as several places.
             parts = 1 + (times - 1) // 65535
             of, last = np.repeat(np.arange(len(places)), parts), np.cumsum(parts) - 1
@@ -188,26 +197,31 @@ def _sent(shared):
             put[last] = times - 65535 * (parts - 1)
             packed = np.empty((len(of), 2), np.uint16)
             packed[:, 0], packed[:, 1] = (places % max(size, 1))[of], put
-            edges = np.searchsorted((places // max(size, 1))[of], np.arange(len(n.words) + 1)).astype(np.int32) * 4
-            postings = pa.Array.from_buffers(pa.binary(), len(n.words), [None, pa.py_buffer(edges.tobytes()), pa.py_buffer(packed.tobytes())])
-            at, w = (part << 24) + k, len(n.words)
-            yield pa.record_batch([
-                pa.array(np.full(w, at)), pa.array(n.words, pa.binary()), postings,
-                pa.array([-1 if x in model.own else model.shared_id(x) for x in n.words], pa.int32()),
-                pa.nulls(w, pa.list_(pa.int64())), pa.nulls(w, pa.list_(pa.bool_())), pa.nulls(w, pa.list_(pa.int64())), pa.nulls(w, pa.list_(pa.float64())),
-            ], names=_NAMES)
+            at, w, words = (part << 24) + k, len(rare), [n.words[x] for x in rare]
+            edges = np.searchsorted((places // max(size, 1))[of], np.arange(w + 1)).astype(np.int32) * 4
+            postings = pa.Array.from_buffers(pa.binary(), w, [None, pa.py_buffer(edges.tobytes()), pa.py_buffer(packed.tobytes())])
+            yield pa.record_batch(
+                [pa.array(np.full(w, at)), pa.array(words, pa.binary()), postings, pa.array(ids[rare] - model.own_ids, pa.int32())]
+                + [pa.nulls(w, pa.list_(t)) for t in _LISTS],
+                names=_NAMES,
+            )
             # A word with a space meets no count; the number spreads these rows over the partitions.
-            yield pa.record_batch([
-                pa.array([at], pa.int64()), pa.array([b" %d" % at], pa.binary()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int32()),
-                pa.array([b["doc_id"].to_pylist()], pa.list_(pa.int64())), pa.array([b["held_out"].to_pylist()], pa.list_(pa.bool_())),
-                pa.array([lengths.tolist()], pa.list_(pa.int64())), pa.array([scores.tolist()], pa.list_(pa.float64())),
-            ], names=_NAMES)
+            lists = (b["doc_id"].to_pylist(), b["held_out"].to_pylist(), lengths.tolist(), scores.tolist(), bases.tolist(), known.tolist())
+            yield pa.record_batch(
+                [pa.array([at], pa.int64()), pa.array([b" %d" % at], pa.binary()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int32())]
+                + [pa.array([x], pa.list_(t)) for x, t in zip(lists, _LISTS)],
+                names=_NAMES,
+            )
 
     return run
 
 
-_NAMES = ["batch", "word", "postings", "shared", "doc_ids", "held_out", "lengths", "scores"]
-_SENT = "batch long, word binary, postings binary, shared int, doc_ids array<long>, held_out array<boolean>, lengths array<long>, scores array<double>"
+_LISTS = (pa.int64(), pa.bool_(), pa.int64(), pa.float64(), pa.float64(), pa.int64())
+_NAMES = ["batch", "word", "postings", "shared", "doc_ids", "held_out", "lengths", "scores", "bases", "known"]
+_SENT = (
+    "batch long, word binary, postings binary, shared int, doc_ids array<long>, held_out array<boolean>, lengths array<long>, "
+    "scores array<double>, bases array<double>, known array<long>"
+)
 
 
 def _folded(total: float, below: np.ndarray):
@@ -217,7 +231,7 @@ def _folded(total: float, below: np.ndarray):
     def fold(t: pa.Table) -> pa.Table:
         packed = t["postings"].to_pylist()
         head = next(k for k, p in enumerate(packed) if p is None)
-        docs, held, lengths, scores = (t[c][head].as_py() for c in ("doc_ids", "held_out", "lengths", "scores"))
+        docs, held, lengths, scores, bases, known = (t[c][head].as_py() for c in _NAMES[4:])
         of = np.repeat(np.arange(len(packed)), [len(p) // 4 if p else 0 for p in packed])
         places = np.frombuffer(b"".join(p for p in packed if p), np.uint16).reshape(-1, 2)
         at, times = places[:, 0], places[:, 1].astype(float)
@@ -229,7 +243,8 @@ def _folded(total: float, below: np.ndarray):
 
         return pa.table({
             "doc_id": pa.array(docs, pa.int64()), "held_out": pa.array(held, pa.bool_()), "n_tokens": pa.array(lengths, pa.int64()),
-            "n_known": pa.array(summed(c > 0).round().astype(np.int64)), "base_score": pa.array(summed(logs - np.log10(total))),
+            "n_known": pa.array(np.array(known) + summed(c > 0).round().astype(np.int64)),
+            "base_score": pa.array(np.array(bases) + summed(logs - np.log10(total))),
             "score": pa.array(np.array(scores) + summed(np.where(shared >= 0, logs - np.log10(below[shared]), 0.0))),
         })
 
@@ -241,16 +256,18 @@ def scores(df: DataFrame, counts: DataFrame, model: Model, id_col: str = "doc_id
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     shared_sums = {r["shared"]: [r["c"], r["v"]] for r in _by_shared_id(counts, model.shared_ids)}
     own = df.sparkSession.createDataFrame([(w,) for w in model.own], "word binary")
+    own_logs, total = np.zeros(model.own_ids), n + ADDED * (v + 1)
     for r in counts.join(F.broadcast(own), "word", "left_semi").collect():  # own_ids rows
+        own_logs[model.own[bytes(r["word"])]] = np.log10(r["c"] + ADDED) - np.log10(total)
         shared_sums[r["ending"] % model.shared_ids][0] -= r["c"]
         shared_sums[r["ending"] % model.shared_ids][1] -= 1
     below = np.array([c + ADDED * (v + 1) for c, v in (shared_sums.get(k, (0, 0)) for k in range(model.shared_ids))])
     shared = df.sparkSession.sparkContext.broadcast(model)
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), (_remainder(id_col) == 0).alias("held_out"), body(text_col).alias("text"))
-    sent = rows.mapInArrow(_sent(shared), _SENT).join(counts.select("word", "c"), "word", "left")
-    counted = sent.select("batch", "postings", "shared", "doc_ids", "held_out", "lengths", "scores", F.coalesce("c", F.lit(0)).alias("c"))
+    sent = rows.mapInArrow(_sent(shared, own_logs), _SENT).join(counts.select("word", "c"), "word", "left")
+    counted = sent.withColumn("c", F.coalesce("c", F.lit(0))).drop("word")
     found = counted.groupBy("batch").applyInArrow(
-        _folded(n + ADDED * (v + 1), below), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+        _folded(total, below), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     )
     return found.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
 
