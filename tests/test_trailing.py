@@ -253,3 +253,32 @@ def test_group_by_form_of_the_block(spark):
     got = {r.k: r for r in df.groupBy("k").agg(*stats_block("s", "v", 7)).collect()}
     for k, values in ((1, [1.0, 2.0, 4.0, 8.0]), (2, [0.0, 4.0])):
         assert all(same(got[k][f"s_{s}"], w) for s, w in figures(values, 7).items())
+
+
+def test_memory_of_a_task_does_not_grow_with_its_rows():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from respfeat.operators import slices
+
+    schema = pa.schema([("_e", pa.int64()), ("_ts", pa.timestamp("us")), ("_times", pa.int64())])
+    for i in range(4):
+        schema = schema.append(pa.field(f"_n{i}", pa.int64())).append(pa.field(f"_q{i}_1", pa.float64()))
+    run = slices.statistics(FOUR, "hour", (0.25, 0.5, 0.75), False, schema)
+
+    def batches(n, per=10_000, slice_rows=50):
+        sec = np.sort(np.random.default_rng(1).integers(0, 20 * 86400, (per // slice_rows, slice_rows)), axis=1).ravel() + 19_723 * 86400
+        for lo in range(0, n, per):
+            e = (lo + np.arange(per)) // slice_rows
+            yield pa.record_batch({
+                "_e": e, "_slice": np.zeros(per, np.int64), "_ts": pa.array(sec * 1_000_000, pa.timestamp("us")),
+                "_cell": sec // 3600, "_sec": sec, "_v": sec % 97 + 0.5, "_own": np.ones(per, bool),
+            })
+
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in run(batches(400_000)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows > 300_000 and peak < 150 << 20, (rows, peak >> 20)
