@@ -282,3 +282,23 @@ def test_memory_of_a_task_does_not_grow_with_its_rows():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert rows > 300_000 and peak < 150 << 20, (rows, peak >> 20)
+
+
+@pytest.mark.parametrize("chunk_rows", [50_000, 64])
+def test_a_busy_entity_takes_few_steps(spark, monkeypatch, chunk_rows):
+    from respfeat.operators import slices
+
+    settled = []
+    settle = sel.settle
+    monkeypatch.setattr(sel, "settle", lambda df: settled.append(1) or settle(df))
+    monkeypatch.setattr(slices, "CHUNK_ROWS", chunk_rows)
+    history = fixture(7, 3000, 2, 40, lambda rnd: rnd.choice([5.0, 7.0, None, float(rnd.randrange(1000))]))
+    df = spark.createDataFrame(history, SCHEMA)
+    whole = trailing_features(df, "e", "ts", "v", FOUR).orderBy("e", "ts").collect()
+    assert not settled
+    parted = trailing_features(df, "e", "ts", "v", FOUR, group_rows=200).orderBy("e", "ts").collect()
+    # Steps depend neither on the number of blocks nor on the rows of the entity.
+    assert len(settled) <= 4
+    assert len(whole) == len(parted)
+    for a, b in zip(whole, parted):
+        assert a[:2] == b[:2] and all(same(x, y) for x, y in zip(a[2:], b[2:])), (a, b)
