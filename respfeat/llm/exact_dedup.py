@@ -26,10 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from respfeat.llm.common import body, bounded, table, written
+from respfeat.llm.common import body, bounded, table, text_batches, written
 
 #: A bucket, or what one task folds at a time, holds about this many bytes of distinct content.
 TABLE_BYTES = 32 << 20
+#: Bytes of records that leave a task together.
+_SENT_BYTES = 1 << 20
 
 _LIGHT = "row long, rec long, h long, size long, content binary, sha string, n long, top long, top_row long"
 
@@ -82,11 +84,11 @@ def _fold(table_bytes: int):
         return pa.record_batch([arrays[0], rest, *arrays[1:]], names=[names[0], "rest", *names[1:]])
 
     def records(t: ContentTable, n: list, top: list, first: int, rest_type):
-        """What the table holds, in batches of a few megabytes."""
+        """What the table holds, in batches of about a megabyte."""
         lo = size = 0
         for hi, c in enumerate(t.contents, 1):
             size += len(c)
-            if size < 4 << 20 and hi < len(t.contents):
+            if size < _SENT_BYTES and hi < len(t.contents):
                 continue
             k = hi - lo
             yield rows(pa.nulls(k, rest_type), [
@@ -191,7 +193,8 @@ def _classes(df: DataFrame, id_col: str, text_col: str, rest: list[str], table_b
     )
     light = [T.StructField("id", T.LongType()), T.StructField("rest", rows.schema["rest"].dataType)]
     schema = T.StructType([*light, *T.StructType.fromDDL(_LIGHT).fields])
-    folded = written(rows.mapInArrow(_fold(table_bytes), schema), "grace")
+    with text_batches(df.sparkSession):
+        folded = written(rows.mapInArrow(_fold(table_bytes), schema), "grace")
     members = folded.where(F.col("row").isNotNull()).select("id", "rest", "row", "rec")
     records = folded.where(F.col("row").isNull()).select("rec", "h", "size", "content", "sha", "n", "top", "top_row")
     # Hashes of several records, by light columns. Contents of the others never move again.

@@ -114,6 +114,21 @@ def test_exact_dedup_at_every_table_size(docs_of, table_bytes):
     assert found.where("kept and not (doc_id <=> keep_id)").count() == 0
 
 
+def test_exact_dedup_moves_texts_in_small_batches(spark, docs_of, monkeypatch):
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(name)
+    written = exact_dedup.written
+    monkeypatch.setattr(exact_dedup, "written", lambda df, at: seen.append((at, int(spark.conf.get(name)))) or written(df, at))
+    assert exact_dedup.exact_dedup(docs_of([(1, "a"), (2, "a")])).count() == 2
+    assert dict(seen)["grace"] <= 1000 and spark.conf.get(name) == before
+    # A task's records go out by about a megabyte at a time.
+    t = [(i, i, b"%d" % i * 20_000) for i in range(100)]
+    schema = exact_dedup.pa.schema([("id", "int64"), ("rest", "int32"), ("h", "int64"), ("content", "binary")])
+    monkeypatch.setattr(exact_dedup.TaskContext, "get", lambda: type("C", (), {"partitionId": lambda self: 0})())
+    batch = exact_dedup.pa.record_batch([[i for i, *_ in t], [None] * 100, [h for _, h, _ in t], [c for *_, c in t]], schema=schema)
+    assert max(b.nbytes for b in exact_dedup._fold(1 << 30)(iter([batch]))) < 2 << 20
+
+
 def test_exact_dedup_keeps_columns(docs_of):
     df = docs_of(EDGES)
     kept = exact_dedup.kept_documents(df)
