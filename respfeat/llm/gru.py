@@ -108,8 +108,11 @@ def window_log10(p: dict, shape: Shape, before: np.ndarray, ids: np.ndarray, siz
 
 
 def _log_sum(x: np.ndarray) -> np.ndarray:
+    """Uses up x."""
     top = x.max(axis=1)
-    return top + np.log(np.exp(x - top[:, None]).sum(axis=1))
+    x -= top[:, None]
+    np.exp(x, out=x)
+    return top + np.log(x.sum(axis=1))
 
 
 def window_gradient(p: dict, shape: Shape, before: np.ndarray, ids: np.ndarray, sizes: list[int], h: np.ndarray, g: dict) -> None:

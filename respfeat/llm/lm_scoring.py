@@ -201,27 +201,28 @@ def _sent(shared, own_logs: np.ndarray):
             edges = np.searchsorted((places // max(size, 1))[of], np.arange(w + 1)).astype(np.int32) * 4
             postings = pa.Array.from_buffers(pa.binary(), w, [None, pa.py_buffer(edges.tobytes()), pa.py_buffer(packed.tobytes())])
             yield pa.record_batch(
-                [pa.array(np.full(w, at)), pa.array(words, pa.binary()), postings, pa.array(ids[rare] - model.own_ids, pa.int32())]
-                + [pa.nulls(w, pa.list_(t)) for t in _LISTS],
+                [pa.array(np.full(w, at)), pa.array(words, pa.binary()), postings, pa.array(ids[rare] - model.own_ids, pa.int32()), pa.nulls(w, pa.binary())],
                 names=_NAMES,
             )
+            docs = np.zeros(size, _DOCUMENT)
+            docs["doc_id"], docs["no_id"] = b["doc_id"].fill_null(0).to_numpy(), b["doc_id"].is_null().to_numpy(zero_copy_only=False)
+            docs["held_out"] = b["held_out"].to_numpy(zero_copy_only=False)
+            docs["length"], docs["score"], docs["base"], docs["known"] = lengths, scores, bases, known
             # A word with a space meets no count; the number spreads these rows over the partitions.
-            lists = (b["doc_id"].to_pylist(), b["held_out"].to_pylist(), lengths.tolist(), scores.tolist(), bases.tolist(), known.tolist())
             yield pa.record_batch(
-                [pa.array([at], pa.int64()), pa.array([b" %d" % at], pa.binary()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int32())]
-                + [pa.array([x], pa.list_(t)) for x, t in zip(lists, _LISTS)],
+                [pa.array([at], pa.int64()), pa.array([b" %d" % at], pa.binary()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int32()),
+                 pa.array([docs.tobytes()], pa.binary())],
                 names=_NAMES,
-            )
+            )
 
     return run
 
 
-_LISTS = (pa.int64(), pa.bool_(), pa.int64(), pa.float64(), pa.float64(), pa.int64())
-_NAMES = ["batch", "word", "postings", "shared", "doc_ids", "held_out", "lengths", "scores", "bases", "known"]
-_SENT = (
-    "batch long, word binary, postings binary, shared int, doc_ids array<long>, held_out array<boolean>, lengths array<long>, "
-    "scores array<double>, bases array<double>, known array<long>"
-)
+#: A batch's documents travel as bytes: Spark measures a batch at each row that it adds, which for
+#: a column of lists takes a step for each NULL before it, so columns of lists are quadratic there.
+_DOCUMENT = np.dtype([("doc_id", "i8"), ("no_id", "?"), ("held_out", "?"), ("length", "i8"), ("score", "f8"), ("base", "f8"), ("known", "i8")])
+_NAMES = ["batch", "word", "postings", "shared", "docs"]
+_SENT = "batch long, word binary, postings binary, shared int, docs binary"
 
 
 def _folded(total: float, below: np.ndarray):
@@ -231,7 +232,7 @@ def _folded(total: float, below: np.ndarray):
     def fold(t: pa.Table) -> pa.Table:
         packed = t["postings"].to_pylist()
         head = next(k for k, p in enumerate(packed) if p is None)
-        docs, held, lengths, scores, bases, known = (t[c][head].as_py() for c in _NAMES[4:])
+        docs = np.frombuffer(t["docs"][head].as_py(), _DOCUMENT)
         of = np.repeat(np.arange(len(packed)), [len(p) // 4 if p else 0 for p in packed])
         places = np.frombuffer(b"".join(p for p in packed if p), np.uint16).reshape(-1, 2)
         at, times = places[:, 0], places[:, 1].astype(float)
@@ -242,10 +243,10 @@ def _folded(total: float, below: np.ndarray):
             return np.bincount(at, by_word[of] * times, minlength=len(docs))
 
         return pa.table({
-            "doc_id": pa.array(docs, pa.int64()), "held_out": pa.array(held, pa.bool_()), "n_tokens": pa.array(lengths, pa.int64()),
-            "n_known": pa.array(np.array(known) + summed(c > 0).round().astype(np.int64)),
-            "base_score": pa.array(np.array(bases) + summed(logs - np.log10(total))),
-            "score": pa.array(np.array(scores) + summed(np.where(shared >= 0, logs - np.log10(below[shared]), 0.0))),
+            "doc_id": pa.array(docs["doc_id"], mask=docs["no_id"]), "held_out": pa.array(docs["held_out"]), "n_tokens": pa.array(docs["length"]),
+            "n_known": pa.array(docs["known"] + summed(c > 0).round().astype(np.int64)),
+            "base_score": pa.array(docs["base"] + summed(logs - np.log10(total))),
+            "score": pa.array(docs["score"] + summed(np.where(shared >= 0, logs - np.log10(below[shared]), 0.0))),
         })
 
     return fold
