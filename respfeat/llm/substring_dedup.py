@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from respfeat.llm.common import body, bounded, row_key, table, written
+from respfeat.llm.common import body, bounded, row_key, table, text_batches, written
 from respfeat.llm.words import window_hashes, word_hashes
 
 WINDOW = 50
@@ -128,9 +128,12 @@ def _cut(window: int):
 def _whole(batches):
     """Every row as if nothing were removed."""
     for b in batches:
-        words = [t.as_py().split() for t in b["text"]]
-        sha = [hashlib.sha256(b" ".join(w)).hexdigest() for w in words]
-        yield pa.record_batch([b["id"], b["doc_id"], b["key"], b["same"], pa.array(map(len, words), pa.int64()), pa.array(sha)],
+        n, sha = [], []
+        for t in b["text"]:
+            words = t.as_py().split()
+            n.append(len(words))
+            sha.append(hashlib.sha256(b" ".join(words)).hexdigest())
+        yield pa.record_batch([b["id"], b["doc_id"], b["key"], b["same"], pa.array(n, pa.int64()), pa.array(sha, pa.string())],
                               names=["id", "doc_id", "key", "same", "n_words", "kept_sha256"])
 
 
@@ -144,22 +147,23 @@ def repeated_windows(df: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
         F.md5(body(text_col)).alias("same"), body(text_col).alias("text"),
     )
     kinds = f"id long, doc_id {df.schema[id_col].dataType.simpleString()}, key string, same string, n_words long, kept_sha256 string"
-    rows = written(texts.select("id", "doc_id", "key", "same", "text").mapInArrow(_whole, kinds), "rows")
-    classes = rows.groupBy("same").agg(F.min("id").alias("first"))
-    copies = written(rows.join(classes, "same").where("id > first").select("key").distinct(), "copies")
-    own = texts.where(F.octet_length("text") >= 2 * window - 1).join(bounded(copies), "key", "left_anti")
-
-    shared = (
-        own.select("text").mapInArrow(_counted(window), "anchor long, n byte")
-        .groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
-    )
-    held = own.select("row", "text").mapInArrow(_listed(window), "anchor long, row long").join(shared, "anchor")
-    asked = written(held.groupBy("row").agg(F.collect_set("anchor").alias("anchors")), "anchors")
-    some = own.select("row", "id", "text").join(bounded(asked.select("row").alias("some")), "row", "left_semi")
-    windows = written(some.join(asked, "row").mapInArrow(_windowed(window), "window long, row long, id long, place int"), "windows")
-    first = windows.groupBy("window").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
-    hits = windows.join(first.select("window", "first"), "window").where("id > first")
-    places = written(hits.groupBy("row").agg(F.collect_set("place").alias("places")), "places")
+    with text_batches(df.sparkSession):
+        rows = written(texts.select("id", "doc_id", "key", "same", "text").mapInArrow(_whole, kinds), "rows")
+        classes = rows.groupBy("same").agg(F.min("id").alias("first"))
+        copies = written(rows.join(classes, "same").where("id > first").select("key").distinct(), "copies")
+        own = texts.where(F.octet_length("text") >= 2 * window - 1).join(bounded(copies), "key", "left_anti")
+
+        shared = (
+            own.select("text").mapInArrow(_counted(window), "anchor long, n byte")
+            .groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
+        )
+        held = own.select("row", "text").mapInArrow(_listed(window), "anchor long, row long").join(shared, "anchor")
+        asked = written(held.groupBy("row").agg(F.collect_set("anchor").alias("anchors")), "anchors")
+        some = own.select("row", "id", "text").join(bounded(asked.select("row").alias("some")), "row", "left_semi")
+        windows = written(some.join(asked, "row").mapInArrow(_windowed(window), "window long, row long, id long, place int"), "windows")
+        first = windows.groupBy("window").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
+        hits = windows.join(first.select("window", "first"), "window").where("id > first")
+        places = written(hits.groupBy("row").agg(F.collect_set("place").alias("places")), "places")
     hit = own.select("row", "key", "text").join(bounded(places.select("row")), "row", "left_semi").dropDuplicates(["key"])
     cut = hit.join(places, "row").mapInArrow(_cut(window), "key string, n_removed long, kept_sha256 string, kept binary")
     return rows, classes, cut
@@ -168,7 +172,8 @@ def repeated_windows(df: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
 def substring_dedup(df: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 for every row."""
     rows, classes, cut = repeated_windows(df, window, id_col, text_col)
-    found = cut.select("key", "n_removed", F.col("kept_sha256").alias("cut_sha"))
+    with text_batches(df.sparkSession):
+        found = written(cut.select("key", "n_removed", F.col("kept_sha256").alias("cut_sha")), "cut")
     copy = (F.col("id") > F.col("first")) & (F.col("n_words") >= window)
     return rows.join(classes, "same").join(found, "key", "left").select(
         "doc_id", "n_words",

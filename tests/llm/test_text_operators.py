@@ -274,6 +274,17 @@ def test_substring_dedup_equals_brute_force(docs_of):
     assert substring_dedup.substring_dedup(docs_of(rows).limit(0)).count() == 0
 
 
+def test_substring_dedup_moves_texts_in_small_batches(spark, docs_of, monkeypatch):
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(name)
+    written = substring_dedup.written
+    monkeypatch.setattr(substring_dedup, "written", lambda df, at: seen.append((at, int(spark.conf.get(name)))) or written(df, at))
+    rows = [(1, PASSAGE + " a"), (2, "b " + PASSAGE)]
+    assert sum(r["n_removed"] for r in substring_dedup.substring_dedup(docs_of(rows)).collect()) == 60
+    assert {"rows", "anchors", "windows", "places", "cut"} <= dict(seen).keys()
+    assert all(n <= 1000 for _, n in seen) and spark.conf.get(name) == before
+
+
 def test_substring_dedup_on_the_table(documents):
     want = passages_wanted(pairs(documents), split, b" ".join, 50)
     assert got(substring_dedup.substring_dedup(documents), "doc_id", "n_words", "n_removed", "kept_sha256") == want
