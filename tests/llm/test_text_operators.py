@@ -279,7 +279,7 @@ def test_substring_dedup_moves_texts_in_small_batches(spark, docs_of, monkeypatc
     before = spark.conf.get(name)
     written = substring_dedup.written
     monkeypatch.setattr(substring_dedup, "written", lambda df, at: seen.append((at, int(spark.conf.get(name)))) or written(df, at))
-    rows = [(1, PASSAGE + " a"), (2, "b " + PASSAGE)]
+    rows = [(1, prose(3, 60) + " a"), (2, "b " + prose(3, 60))]
     assert sum(r["n_removed"] for r in substring_dedup.substring_dedup(docs_of(rows)).collect()) == 60
     assert {"rows", "anchors", "windows", "places", "cut"} <= dict(seen).keys()
     assert all(n <= 1000 for _, n in seen) and spark.conf.get(name) == before
