@@ -7,7 +7,7 @@
    here, with the strings that they belong to.
 3. For each place of a shared mark, the strings that belong to it lie side by side; they
    go out as one snippet. A task folds equal snippets before they are shuffled by mark.
-4. The distinct snippets under a mark, joined by separators, go through linear grouping
+4. The distinct snippets under a mark that hold a string whose hash another one holds, joined by separators, go through linear grouping
    (``suffixes``): in the suffix array equal strings are neighbours, and neighbours are compared
    in full. Each learns its earliest place in the corpus.
    A mark with many distinct snippets (a frequent line in ever other surroundings) is split: of its
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from respfeat.llm.common import body, bounded, row_key, table, written
+from respfeat.llm.common import body, bounded, row_key, table, text_batches, written
 from respfeat.llm.suffixes import suffix_array, suffix_arrays
 from respfeat.llm.substring_dedup import covered
 from respfeat.llm.words import byte_windows
@@ -42,7 +42,7 @@ _LAST = 2**63 - 1
 _CHUNK = 1 << 20
 _PLACE = np.uint64((1 << 21) - 1)
 #: Bytes of snippets that go through linear grouping together, and how long a string joins in.
-_BLOCK, _LONG = 1 << 21, 4096
+_BLOCK, _LONG = 1 << 20, 4096
 #: Bytes of snippets under one mark, from which on it is split by its strings.
 SPLIT = 1 << 17
 
@@ -129,11 +129,27 @@ def _cut_out(length: int):
     return run
 
 
+def _sharing(groups: list[list[tuple]], length: int) -> np.ndarray:
+    """Which snippets hold a string whose hash occurs again under their mark; the strings of all others occur once."""
+    sizes = np.array([len(x[4]) for g in groups for x in g])
+    h = byte_windows(np.frombuffer(b"".join(x[4] for g in groups for x in g), np.uint8), length)
+    of = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[: len(h)]
+    whole = of == np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[length - 1 :]
+    h, of = h[whole], of[whole]
+    group = np.repeat(np.arange(len(groups), dtype=np.uint64), [len(g) for g in groups])
+    h = h + group[of] * np.uint64(0x9E3779B97F4A7C15)
+    order = np.argsort(h, kind="stable")
+    again = np.flatnonzero(h[order[1:]] == h[order[:-1]])
+    out = np.zeros(len(sizes), bool)
+    out[of[order[again]]] = out[of[order[again + 1]]] = True
+    return out
+
+
 def _grouped(length: int):
     """Snippets sorted by mark and content -> for each, the earliest place of each of its strings."""
 
     def first_places(group: list[tuple]) -> list[tuple]:
-        """One mark's snippets (name, id, start, n, content) need no order if there is one."""
+        """Snippets (name, id, start, n, content) need no order if no other has strings of theirs."""
         return [(x[0], np.full(x[3], x[1]), x[2] + np.arange(x[3])) for x in group]
 
     def ordered(groups: list[list[tuple]]):
@@ -201,8 +217,14 @@ def _grouped(length: int):
 
         def work():
             nonlocal size
-            names = [m for m, g in waiting for _ in g]
-            done.extend(zip(names, ordered([g for _, g in waiting])))
+            sharing = iter(_sharing([g for _, g in waiting], length).tolist())
+            kept = []
+            for m, g in waiting:
+                some = [(x, next(sharing)) for x in g]
+                done.extend((m, x) for x in first_places([x for x, shares in some if not shares]))
+                if own := [x for x, shares in some if shares]:
+                    kept.append((m, own))
+            done.extend(zip([m for m, g in kept for _ in g], ordered([g for _, g in kept])))
             waiting.clear()
             size = 0
 
@@ -213,7 +235,7 @@ def _grouped(length: int):
                     mark = m
                     if size > _BLOCK:
                         work()
-                    if len(done) > 20_000:
+                    if len(done) > 5_000:
                         yield batch()
                 if group and group[-1][4] == content:
                     if (i, s) < group[-1][1:3]:
@@ -330,32 +352,33 @@ def repeated_bytes(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
         row_key(id_col, text_col).alias("key"), F.xxhash64(F.col(id_col), body(text_col)).alias("row"), body(text_col).alias("text"),
     )
     sha = F.sha2("text", 256)
-    rows = written(texts.select("id", "doc_id", "key", F.octet_length("text").cast("long").alias("n_bytes"), sha.alias("sha")), "rows")
-    classes = rows.groupBy("sha").agg(F.min("id").alias("first"))
-    again = rows.groupBy("key").agg(F.count("*").alias("times"), F.first("sha").alias("sha"), F.first("id").alias("id"))
-    copies = written(again.join(classes, "sha").where("id > first").select("key"), "copies")
-    own = texts.where(F.octet_length("text") >= length).join(bounded(copies), "key", "left_anti")
-
-    shared = (
-        own.select("text").mapInArrow(_counted(length), "mark long, n byte")
-        .groupBy("mark").agg(F.sum("n").alias("n")).where("n > 1").select("mark")
-    )
-    held = own.select("row", "text").mapInArrow(_listed(length), "mark long, row long").join(shared, "mark")
-    asked = written(held.groupBy("row").agg(F.collect_set("mark").alias("marks")), "marks")
-    some = own.select("row", "id", "text").join(bounded(asked.select("row").alias("some")), "row", "left_semi")
-    placed = written(some.join(asked, "row").mapInArrow(_cut_out(length), _PLACED), "snippets")
-
-    contents = placed.where("content is not null").select("mark", "snippet", "id", "start", "n", "content")
-    held = contents.groupBy("mark").agg(F.sum(F.octet_length("content")).alias("bytes"))
-    large = bounded(written(held.where(F.col("bytes") > SPLIT).select("mark"), "large"))
-    firsts = (
-        contents.join(large, "mark", "left_anti").repartition("mark").sortWithinPartitions("mark", "content")
-        .mapInArrow(_grouped(length), "mark long, snippet long, ids binary, places binary")
-    )
-    firsts = firsts.unionByName(_split(contents.join(large, "mark", "left_semi"), length))
-    back = placed.where("content is null").select("mark", "snippet", "row", "id", "start").join(firsts, ["mark", "snippet"])
-    late = back.mapInArrow(_late, "row long, starts binary").where(F.octet_length("starts") > 0)
-    starts = written(late.groupBy("row").agg(F.collect_list("starts").alias("starts")), "starts")
+    with text_batches(df.sparkSession):
+        rows = written(texts.select("id", "doc_id", "key", F.octet_length("text").cast("long").alias("n_bytes"), sha.alias("sha")), "rows")
+        classes = rows.groupBy("sha").agg(F.min("id").alias("first"))
+        again = rows.groupBy("key").agg(F.count("*").alias("times"), F.first("sha").alias("sha"), F.first("id").alias("id"))
+        copies = written(again.join(classes, "sha").where("id > first").select("key"), "copies")
+        own = texts.where(F.octet_length("text") >= length).join(bounded(copies), "key", "left_anti")
+
+        shared = (
+            own.select("text").mapInArrow(_counted(length), "mark long, n byte")
+            .groupBy("mark").agg(F.sum("n").alias("n")).where("n > 1").select("mark")
+        )
+        held = own.select("row", "text").mapInArrow(_listed(length), "mark long, row long").join(shared, "mark")
+        asked = written(held.groupBy("row").agg(F.collect_set("mark").alias("marks")), "marks")
+        some = own.select("row", "id", "text").join(bounded(asked.select("row").alias("some")), "row", "left_semi")
+        placed = written(some.join(asked, "row").mapInArrow(_cut_out(length), _PLACED), "snippets")
+
+        contents = placed.where("content is not null").select("mark", "snippet", "id", "start", "n", "content")
+        held = contents.groupBy("mark").agg(F.sum(F.octet_length("content")).alias("bytes"))
+        large = bounded(written(held.where(F.col("bytes") > SPLIT).select("mark"), "large"))
+        firsts = (
+            contents.join(large, "mark", "left_anti").repartition("mark").sortWithinPartitions("mark", "content")
+            .mapInArrow(_grouped(length), "mark long, snippet long, ids binary, places binary")
+        )
+        firsts = firsts.unionByName(_split(contents.join(large, "mark", "left_semi"), length))
+        back = placed.where("content is null").select("mark", "snippet", "row", "id", "start").join(firsts, ["mark", "snippet"])
+        late = back.mapInArrow(_late, "row long, starts binary").where(F.octet_length("starts") > 0)
+        starts = written(late.groupBy("row").agg(F.collect_list("starts").alias("starts")), "starts")
     hit = own.select("row", "key", "text").join(bounded(starts.select("row")), "row", "left_semi").dropDuplicates(["key"])
     cut = hit.join(starts, "row").mapInArrow(_kept(length), "key string, n_removed long, n_spans long, cut_sha string, kept binary")
     return rows, classes, cut
@@ -366,7 +389,8 @@ def suffix_dedup(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", te
     rows, classes, cut = repeated_bytes(df, length, id_col, text_col)
     copy = (F.col("id") > F.col("first")) & (F.col("n_bytes") >= length)
     none = F.lit(0).cast("long")
-    found = cut.select("key", "n_removed", "n_spans", "cut_sha")
+    with text_batches(df.sparkSession):
+        found = written(cut.select("key", "n_removed", "n_spans", "cut_sha"), "cut")
     return rows.join(classes, "sha").join(found, "key", "left").select(
         "doc_id", "n_bytes", F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("n_removed", none)).alias("n_removed"),
         F.when(copy, F.lit(1).cast("long")).otherwise(F.coalesce("n_spans", none)).alias("n_spans"),

@@ -602,6 +602,14 @@ def test_lm_on_odd_rows(docs_of):
     assert all(r["n_known"] == 0 and r["train_tokens"] == 0 and math.isfinite(r["score"]) for r in untrained)
 
 
+def test_only_snippets_that_share_a_string_are_ordered():
+    shared = b"s" * 60 + b"t" * 60
+    groups = [[("a", 1, 0, 31, b"x" * 10 + shared), ("b", 2, 0, 31, shared + b"y" * 10), ("c", 3, 0, 21, b"z" * 120)], [("d", 4, 0, 21, shared), ("e", 5, 0, 21, b"u" + shared[1:-1] + b"v")]]
+    # Hashes count per mark: d's string in the first group is another mark's. c repeats itself and may stay.
+    assert suffix_dedup._sharing(groups, 100).tolist()[:2] == [True, True]
+    assert suffix_dedup._sharing([groups[0][:1], groups[1][:1]], 100).tolist() == [False, False]
+
+
 def test_lm_rows_that_are_grouped_hold_no_lists(spark):
     # Batches for grouped rows are measured row by row, which is quadratic for lists that are NULL.
     schema = spark.createDataFrame([], lm_scoring._SENT).schema
