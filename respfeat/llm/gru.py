@@ -11,6 +11,8 @@ WINDOW, SCORED = 16, 128
 SCORED_ROWS = 16_384
 #: Longer documents are learned from in stretches of so many tokens, each from an empty state.
 STRETCH = 512
+#: ``exp`` of less than minus this is taken for 0; single precision goes to -87.
+_RANGE = 80
 F32 = np.float32
 
 
@@ -50,109 +52,180 @@ class Shape:
         return flat
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+def _output(w: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, bool]:
+    """(weights with the biases as last row, less the most that a logit can be; whether each row of logits has one
+    that ``exp`` does not take to 0). States lie in [-1, 1], which bounds logits, so rows need no maxima of their own."""
+    reach = np.abs(w).sum(axis=-2)
+    top = (b + reach).max(axis=-1, keepdims=True)
+    near = bool(((b - reach).max(axis=-1) - top[..., 0] > -_RANGE).all())
+    return np.concatenate([w, (b - top)[..., None, :]], axis=-2), near
 
 
-def _tanh(x: np.ndarray) -> np.ndarray:
-    return 2 / (1 + np.exp(-2 * x)) - 1
+def _back(w: np.ndarray) -> np.ndarray:
+    """Weights that lead back from logits, with a last column of ones, which gives the sums of rows."""
+    return np.ascontiguousarray(np.concatenate([w, np.ones_like(w[..., :1, :])], axis=-2).swapaxes(-1, -2))
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
-    np.exp(x, out=x)
-    x /= x.sum(axis=1, keepdims=True)
-    return x
+def _sums(rows: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """Sums of the runs of rows that begin there. Most ids stand alone in a window, so only the others are summed."""
+    out, wide = rows.take(firsts, axis=0), np.diff(firsts, append=len(rows))
+    many = np.flatnonzero(wide > 1)
+    if len(many):
+        wide = wide[many]
+        starts = np.cumsum(wide) - wide
+        at = np.arange(int(wide.sum())) + np.repeat(firsts[many] - starts, wide)
+        out[many] = np.add.reduceat(rows.take(at, axis=0), starts, axis=0)
+    return out
+
+
+def _exp(x: np.ndarray, near: bool) -> np.ndarray:
+    """Uses up x, one row of logits after another, each up to a constant of its own."""
+    if not near:
+        x -= x.max(axis=1, keepdims=True)
+    return np.exp(x, out=x)
 
 
 def _steps(p: dict, shape: Shape, before: np.ndarray, sizes: list[int], h: np.ndarray):
     """Runs the cell over a window. before: previous ids, step after step; sizes: how many
-    sequences, the first ones, are still there at each step. Changes h to the last states."""
-    k, rec = shape.hidden, p["rec"]
-    out, kept, at = np.empty((len(before), k), F32), [], 0
-    gates = p["inp"][before]
+    sequences, the first ones, are still there at each step. Changes h to the last states.
+    Gives the states and what gradients need, all with units as rows, since these are long."""
+    k, rec, now = shape.hidden, np.ascontiguousarray(p["rec"].T), np.ascontiguousarray(h.T)
+    gates = np.ascontiguousarray(p["inp"].take(before, axis=0).T)
+    # The logistic function of x is (1 + tanh(x / 2)) / 2.
+    gates[: 2 * k] *= F32(0.5)
+    rec[: 2 * k] *= F32(0.5)
+    out, old, un = (np.empty((k, len(before)), F32) for _ in range(3))
+    at = 0
     for n in sizes:
-        old = h[:n]
-        x, u = gates[at : at + n], old @ rec
-        zr = _sigmoid(x[:, : 2 * k] + u[:, : 2 * k])
-        z, r = zr[:, :k], zr[:, k:]
-        cand = _tanh(x[:, 2 * k :] + r * u[:, 2 * k :])
-        new = cand + z * (old - cand)
-        kept.append((old.copy(), z, r, u[:, 2 * k :], cand))
-        out[at : at + n] = new
-        h[:n] = new
+        here = slice(at, at + n)
+        last, x = now[:, :n], gates[:, here]
+        old[:, here] = last
+        u = rec @ last
+        zr, cand = x[: 2 * k], x[2 * k :]
+        zr += u[: 2 * k]
+        np.tanh(zr, out=zr)
+        zr += 1
+        zr *= F32(0.5)
+        un[:, here] = u[2 * k :]
+        u = u[2 * k :]
+        u *= zr[k:]
+        cand += u
+        np.tanh(cand, out=cand)
+        last -= cand
+        last *= zr[:k]
+        last += cand
+        out[:, here] = last
         at += n
-    return out, kept
+    h[:] = now.T
+    return out, (old, gates[:k], gates[k : 2 * k], un, gates[2 * k :])
 
 
 def _order(ids: np.ndarray, shape: Shape):
-    """Rows by class: (order, class, first row, behind the last)."""
-    cls = (ids // shape.width).astype(np.int16)
-    order = np.argsort(cls, kind="stable")
-    edges = np.searchsorted(cls[order], np.arange(shape.classes + 1))
-    return order, [(c, edges[c], edges[c + 1]) for c in range(shape.classes) if edges[c] < edges[c + 1]]
+    """Rows by id, and so by class: (order, ids in this order, [(class, first row, behind the last)])."""
+    order = np.argsort(ids.astype(np.int16) if shape.ids < 2**15 else ids, kind="stable")
+    own = ids[order]
+    edges = np.searchsorted(own, np.arange(shape.classes + 1) * shape.width).tolist()
+    return order, own, [(c, lo, hi) for c, (lo, hi) in enumerate(zip(edges, edges[1:])) if lo < hi]
+
+
+def _states(out: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """States as rows in this order, with a last column of ones, which meets the biases."""
+    return np.concatenate([out, np.ones((1, out.shape[1]), F32)]).T.take(order, axis=0)
+
+
+def _inner(states: np.ndarray, w: np.ndarray, runs: list) -> np.ndarray:
+    """Logits within the classes of rows that are sorted by class."""
+    x = np.empty((len(states), w.shape[2]), w.dtype)
+    for c, lo, hi in runs:
+        np.matmul(states[lo:hi], w[c], out=x[lo:hi])
+    return x
 
 
 def window_log10(p: dict, shape: Shape, before: np.ndarray, ids: np.ndarray, sizes: list[int], h: np.ndarray) -> np.ndarray:
     """log10 P of each id."""
     out, _ = _steps(p, shape, before, sizes, h)
-    logits = out @ p["wc"] + p["bc"]
-    cls = ids // shape.width
-    total = logits[np.arange(len(ids)), cls] - _log_sum(logits)
-    order, runs = _order(ids, shape)
-    for c, lo, hi in runs:
-        rows = order[lo:hi]
-        inner = out[rows] @ p["wi"][c] + p["bi"][c]
-        total[rows] += inner[np.arange(hi - lo), ids[rows] - c * shape.width] - _log_sum(inner)
-    return total.astype(np.float64) / np.log(10)
+    order, own, runs = _order(ids, shape)
+    states, at = _states(out, order), np.arange(len(ids))
+    outer, near = _output(p["wc"], p["bc"])
+    x = states @ outer
+    if not near:
+        x -= x.max(axis=1, keepdims=True)
+    found = x[at, own // shape.width] - _log_sum(x)
+    outer, near = _output(p["wi"], p["bi"])
+    x = _inner(states, outer, runs)
+    if not near:
+        x -= x.max(axis=1, keepdims=True)
+    found += x[at, own % shape.width] - _log_sum(x)
+    total = np.empty(len(ids))
+    total[order] = found
+    return total / np.log(10)
 
 
 def _log_sum(x: np.ndarray) -> np.ndarray:
     """Uses up x."""
-    top = x.max(axis=1)
-    x -= top[:, None]
-    np.exp(x, out=x)
-    return top + np.log(x.sum(axis=1))
+    return np.log(np.exp(x, out=x) @ np.ones(x.shape[1], F32))
 
 
 def window_gradient(p: dict, shape: Shape, before: np.ndarray, ids: np.ndarray, sizes: list[int], h: np.ndarray, g: dict) -> None:
     """Adds the gradient of the window's mean negative log-likelihood to g; changes h."""
     k, n_all = shape.hidden, F32(len(ids))
     out, kept = _steps(p, shape, before, sizes, h)
-    d = _softmax(out @ p["wc"] + p["bc"])
-    d[np.arange(len(ids)), ids // shape.width] -= 1
-    d /= n_all
-    g["wc"] += out.T @ d
-    g["bc"] += d.sum(axis=0)
-    dh_out = d @ p["wc"].T
-    order, runs = _order(ids, shape)
+    order, own, runs = _order(ids, shape)
+    states = _states(out, order)
+    cls = own // shape.width
+    # Gradients of logits are probabilities, less 1 at the id. The first part goes by matrices, divided by the sums of
+    # their rows on the side that is narrow; the second by sums of the states per class and id.
+    weights, near = _output(p["wc"], p["bc"])
+    e = _exp(states @ weights, near)
+    back = e @ _back(p["wc"])
+    share = 1 / (n_all * back[:, k:])
+    part = (states * share).T @ e
+    dh = back[:, :k] * share
+    firsts = np.flatnonzero(np.diff(own, prepend=-1))
+    by_id, at = _sums(states, firsts) / n_all, own[firsts]
+    here = np.flatnonzero(np.diff(cls[firsts], prepend=-1))
+    part[:, cls[firsts[here]]] -= np.add.reduceat(by_id, here, axis=0).T
+    g["wc"] += part[:k]
+    g["bc"] += part[k]
+    weights, near = _output(p["wi"], p["bi"])
+    e = _exp(_inner(states, weights, runs), near)
+    weights = _back(p["wi"])
+    for c, lo, hi in runs:
+        np.matmul(e[lo:hi], weights[c], out=back[lo:hi])
+    share = 1 / (n_all * back[:, k:])
+    dh += back[:, :k] * share
+    scaled, part = states * share, np.zeros((shape.classes, k + 1, shape.width), F32)
     for c, lo, hi in runs:
-        rows = order[lo:hi]
-        own = out[rows]
-        e = _softmax(own @ p["wi"][c] + p["bi"][c])
-        e[np.arange(hi - lo), ids[rows] - c * shape.width] -= 1
-        e /= n_all
-        g["wi"][c] += own.T @ e
-        g["bi"][c] += e.sum(axis=0)
-        dh_out[rows] += e @ p["wi"][c].T
-    d_gates = np.empty((len(before), 3 * k), F32)
-    carry, at = np.zeros((sizes[0], k), F32), len(before)
-    for n, (old, z, r, un, cand) in zip(reversed(sizes), reversed(kept)):
+        np.matmul(scaled[lo:hi].T, e[lo:hi], out=part[c])
+    g["wi"] += part[:, :k]
+    g["bi"] += part[:, k]
+    # What the weights of class and id say together, for each id.
+    each = p["wi"].transpose(0, 2, 1) + p["wc"].T[:, None]
+    dh -= each.reshape(-1, k).take(own, axis=0) / n_all
+    g["wi"].transpose(0, 2, 1)[at // shape.width, at % shape.width] -= by_id[:, :k]
+    g["bi"].reshape(-1)[at] -= by_id[:, k]
+    dh_out = np.empty((k, len(ids)), F32)
+    dh_out[:, order] = dh.T
+    # The gates' gradients are these factors times that of the state.
+    old, z, r, un, cand = kept
+    new = (1 - z) * (1 - cand * cand)
+    factors = np.stack([(old - cand) * z * (1 - z), new * un * r * (1 - r), new])
+    through = np.stack([factors[0], factors[1], new * r])
+    rec, carry, at = p["rec"], np.zeros((k, sizes[0]), F32), len(before)
+    for n in reversed(sizes):
         at -= n
-        dh = carry[:n] + dh_out[at : at + n]
-        d_cand = dh * (1 - z) * (1 - cand * cand)
-        row = d_gates[at : at + n]
-        row[:, :k] = dh * (old - cand) * z * (1 - z)
-        row[:, k : 2 * k] = d_cand * un * r * (1 - r)
-        row[:, 2 * k :] = d_cand
-        du = row.copy()
-        du[:, 2 * k :] *= r
-        g["rec"] += old.T @ du
-        carry[:n] = dh * z + du @ p["rec"].T
+        here = slice(at, at + n)
+        d = dh_out[:, here]
+        d += carry[:, :n]
+        np.matmul(rec, (through[:, :, here] * d).reshape(3 * k, n), out=carry[:, :n])
+        carry[:, :n] += d * z[:, here]
+    g["rec"] += old @ (through * dh_out).reshape(3 * k, -1).T
+    d_gates = (factors * dh_out).reshape(3 * k, -1).T
     # Sums per previous id, by sorting.
     by = np.argsort(before.astype(np.int16) if shape.ids < 2**15 else before, kind="stable")
-    firsts = np.flatnonzero(np.diff(before[by], prepend=-1))
-    g["inp"][before[by[firsts]]] += np.add.reduceat(d_gates[by], firsts, axis=0)
+    own = before.take(by)
+    firsts = np.flatnonzero(np.diff(own, prepend=-1))
+    g["inp"][own[firsts]] += _sums(np.ascontiguousarray(d_gates).take(by, axis=0), firsts)
 
 
 def windows(docs: list[np.ndarray], shape: Shape, group: int, steps: int, rows: int | None = None):
@@ -183,16 +256,18 @@ def train(flat: np.ndarray, shape: Shape, docs: list[np.ndarray], group: int, ra
     """One pass of Adagrad over the documents; changes flat. Gives the number of tokens seen."""
     p, g = shape.views(flat), np.zeros_like(flat)
     grads, seen, h = shape.views(g), 0, None
-    square = np.full_like(flat, 1e-4)
+    square, step = np.full_like(flat, 1e-4), np.empty_like(flat)
     parts = [d[k : k + STRETCH] for d in docs for k in range(0, len(d), STRETCH)]
     for _, before, ids, sizes, first in windows(parts, shape, group, WINDOW):
         if first:
             h = np.zeros((sizes[0], shape.hidden), F32)
         g[:] = 0
         window_gradient(p, shape, before, ids, sizes, h, grads)
-        square += g * g
+        square += np.multiply(g, g, out=step)
         # A window of few tokens is a small step.
-        flat -= F32(rate * min(1.0, len(ids) / 1024)) * g / np.sqrt(square)
+        g *= F32(rate * min(1.0, len(ids) / 1024))
+        g /= np.sqrt(square, out=step)
+        flat -= g
         seen += len(ids)
     return seen
 

@@ -645,6 +645,49 @@ def test_gru_gradient_and_state():
     assert math.isclose((10 ** (each - gru.score(flat, shape, [np.array([3])], 1))).sum(), 1, rel_tol=1e-4)
 
 
+def test_gru_windows_take_few_steps_whatever_the_classes(monkeypatch):
+    calls = collections.Counter()
+
+    class Counted:
+        def __getattr__(self, name):
+            calls[name] += 1
+            return getattr(np, name)
+
+    rng = np.random.default_rng(5)
+    docs = [rng.integers(0, 900, 12) for _ in range(40)]
+    seen = []
+    for ids in (9, 900):
+        shape = gru.Shape(ids, 4)
+        flat = shape.initial(np.ones(ids))
+        own = [d % ids for d in docs]
+        (_, before, now, sizes, _) = next(gru.windows(own, shape, 40, 16))
+        with monkeypatch.context() as m:
+            m.setattr(gru, "np", Counted())
+            gru.window_gradient(shape.views(flat), shape, before, now, sizes, np.zeros((40, 4), np.float32), shape.views(np.zeros_like(flat)))
+            gru.window_log10(shape.views(flat), shape, before, now, sizes, np.zeros((40, 4), np.float32))
+        seen.append(calls.pop("exp"))
+        calls.clear()
+    assert seen[0] == seen[1]
+
+
+def test_gru_with_logits_far_apart():
+    shape, rng = gru.Shape(30, 3), np.random.default_rng(6)
+    flat = (rng.standard_normal(shape.size) * 60).astype(np.float32)
+    p, doc = shape.views(flat), rng.integers(0, 30, 200)
+    (_, before, ids, sizes, _) = next(gru.windows([doc], shape, 1, 200))
+    found = gru.window_log10(p, shape, before, ids, sizes, np.zeros((1, 3), np.float32))
+    out, _ = gru._steps(p, shape, before, sizes, np.zeros((1, 3), np.float32))
+    want = []
+    for h, i in zip(out.T.astype(float), ids):
+        c, k = divmod(int(i), shape.width)
+        outer, inner = h @ p["wc"] + p["bc"], h @ p["wi"][c] + p["bi"][c]
+        want.append(outer[c] - np.logaddexp.reduce(outer) + inner[k] - np.logaddexp.reduce(inner))
+    assert np.allclose(found, np.array(want) / math.log(10), rtol=1e-3, atol=1e-3) and min(want) < -100
+    g = np.zeros_like(flat)
+    gru.window_gradient(p, shape, before, ids, sizes, np.zeros((1, 3), np.float32), shape.views(g))
+    assert np.isfinite(g).all()
+
+
 # -- SentencePiece ----------------------------------------------------------------
 
 
