@@ -25,6 +25,7 @@ table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -43,10 +44,30 @@ _CHUNK = 1 << 20
 _PLACE = np.uint64((1 << 21) - 1)
 #: Bytes of snippets that go through linear grouping together, and how long a string joins in.
 _BLOCK, _LONG = 1 << 20, 4096
+#: Neighbours in a suffix array that are compared at a time.
+_COMPARED = 10_000
 #: Bytes of snippets under one mark, from which on it is split by its strings.
 SPLIT = 1 << 17
 
 
+#: A run of a snippet's strings, from the k-th, whose earliest places follow one another.
+_RUN = np.dtype([("k", "<i4"), ("n", "<i4"), ("id", "<i8"), ("place", "<i8")])
+
+
+def _runs(ids: np.ndarray, places: np.ndarray, edges: np.ndarray) -> list[bytes]:
+    """The runs of each of some snippets, whose strings lie side by side between the edges."""
+    new = np.ones(len(ids), bool)
+    new[1:] = (ids[1:] != ids[:-1]) | (places[1:] != places[:-1] + 1)
+    new[edges[:-1]] = True
+    at = np.flatnonzero(new)
+    cuts = np.searchsorted(at, edges)
+    out = np.empty(len(at), _RUN)
+    out["k"], out["n"] = at - np.repeat(edges[:-1], np.diff(cuts)), np.diff(np.append(at, len(ids)))
+    out["id"], out["place"] = ids[at], places[at]
+    whole, cuts = out.tobytes(), (cuts * _RUN.itemsize).tolist()
+    return [whole[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
 def marks(text: bytes, length: int = LENGTH, mark: int = MARK) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """For runs of starts with the same mark: (hash of the mark, its place, first start, number of starts)."""
     data, span, parts = np.frombuffer(text, np.uint8), length - mark, []
@@ -138,7 +159,7 @@ def _sharing(groups: list[list[tuple]], length: int) -> np.ndarray:
     h, of = h[whole], of[whole]
     group = np.repeat(np.arange(len(groups), dtype=np.uint64), [len(g) for g in groups])
     h = h + group[of] * np.uint64(0x9E3779B97F4A7C15)
-    order = np.argsort(h, kind="stable")
+    order = np.argsort(h)
     again = np.flatnonzero(h[order[1:]] == h[order[:-1]])
     out = np.zeros(len(sizes), bool)
     out[of[order[again]]] = out[of[order[again + 1]]] = True
@@ -150,48 +171,45 @@ def _grouped(length: int):
 
     def first_places(group: list[tuple]) -> list[tuple]:
         """Snippets (name, id, start, n, content) need no order if no other has strings of theirs."""
-        return [(x[0], np.full(x[3], x[1]), x[2] + np.arange(x[3])) for x in group]
+        return [(x[0], struct.pack("<iiqq", 0, x[3], x[1], x[2])) for x in group]
 
     def ordered(groups: list[list[tuple]]):
-        """The earliest place of each string of each snippet, by suffix arrays of the groups."""
-        texts = [np.frombuffer(b"".join(x[4] + b"\0" for x in g), np.uint8).astype(np.int16) + 2 for g in groups]
-        for text, g in zip(texts, groups):
-            text[np.cumsum([len(x[4]) + 1 for x in g]) - 1] = 1
-            text[-1] = 0
-        short = [k for k, t in enumerate(texts) if len(t) <= _LONG]
-        sa: dict[int, np.ndarray] = {k: np.array(suffix_array(t)) for k, t in enumerate(texts) if len(t) > _LONG}
-        if short:
-            lengths = np.array([len(texts[k]) for k in short])
-            flat = suffix_arrays(np.concatenate([texts[k] for k in short]), lengths)
-            ends = np.cumsum(lengths)
-            sa |= {k: flat[e - n : e] - (e - n) for k, e, n in zip(short, ends, lengths)}
-        for k, g in enumerate(groups):
-            yield from strings(g, texts[k], sa[k])
-
-    def strings(g: list[tuple], text: np.ndarray, sa: np.ndarray):
-        starts = np.cumsum([0] + [len(x[4]) + 1 for x in g])
-        ids, places, valid = np.zeros(len(text), np.int64), np.zeros(len(text), np.int64), np.zeros(len(text), bool)
-        for x, s in zip(g, starts):
-            ids[s : s + x[3]], places[s : s + x[3]] = x[1], x[2] + np.arange(x[3])
-            valid[s : s + x[3]] = True
+        """The runs of each snippet, by suffix arrays of the groups; all groups are worked on side by side."""
+        snippets = [x for g in groups for x in g]
+        data = np.frombuffer(b"".join([x[4] + b"\0" for x in snippets]), np.uint8)
+        sizes = np.array([len(x[4]) + 1 for x in snippets])
+        ends, n = np.cumsum(sizes), sizes - length
+        lasts = ends[np.cumsum([len(g) for g in groups]) - 1]
+        text = data.astype(np.int16) + 2
+        text[ends - 1] = 1
+        text[lasts - 1] = 0
+        sa = arrays(text, np.diff(lasts, prepend=0))
+        valid = np.repeat(np.tile([True, False], len(sizes)), np.stack([n, sizes - n], axis=1).ravel())
+        ids = np.repeat(np.array([x[1] for x in snippets], np.int64), sizes)
+        places = np.repeat(np.array([x[2] for x in snippets]) - (ends - sizes), sizes) + np.arange(len(text))
         own = sa[valid[sa]]
-        same = np.empty(len(own), bool)
-        same[:1] = False
-        for lo in range(1, len(own), 50_000):
-            a, b = own[lo - 1 : lo + 49_999], own[lo : lo + 50_000]
-            a = a[: len(b)]
-            equal = np.ones(len(b), bool)
-            for j in range(length):
-                equal &= text[a + j] == text[b + j]
-            same[lo : lo + len(b)] = equal
-        of = np.cumsum(~same) - 1
-        order = np.lexsort((places[own], ids[own], of))
-        head = order[np.flatnonzero(np.diff(of[order], prepend=-1))]
-        first = head[of]
-        to_id, to_place = ids.copy(), places.copy()
-        to_id[own], to_place[own] = ids[own][first], places[own][first]
-        for x, s in zip(g, starts):
-            yield x[0], to_id[s : s + x[3]], to_place[s : s + x[3]]
+        # Neighbours that are equal in full, within a group.
+        windows, same = np.lib.stride_tricks.sliding_window_view(data, length), np.zeros(len(own), bool)
+        for lo in range(1, len(own), _COMPARED):
+            rows = windows[own[lo - 1 : lo + _COMPARED]]
+            same[lo : lo + _COMPARED] = (rows[1:] == rows[:-1]).all(axis=1)
+        same[np.cumsum(valid)[lasts[:-1] - 1]] = False
+        heads, of = np.flatnonzero(~same), np.cumsum(~same) - 1
+        least = np.minimum.reduceat(ids[own], heads)[of]
+        ids[own], at = least, np.where(ids[own] == least, places[own], _LAST)
+        places[own] = np.minimum.reduceat(at, heads)[of]
+        return zip([x[0] for x in snippets], _runs(ids[valid], places[valid], np.append(0, np.cumsum(n))))
+
+    def arrays(text: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The suffix array of each of some strings, as positions in all of them."""
+        sa, ends, short = np.empty(len(text), np.int32), np.cumsum(lengths), lengths <= _LONG
+        if short.any():
+            at = np.flatnonzero(np.repeat(short, lengths)).astype(np.int32)
+            sa[at] = at[suffix_arrays(text[at], lengths[short])]
+        for k in np.flatnonzero(~short):
+            lo, hi = ends[k] - lengths[k], ends[k]
+            sa[lo:hi] = np.array(suffix_array(text[lo:hi]), np.int32) + lo
+        return sa
 
     def run(batches):
         group, waiting, size, mark = [], [], 0, None
@@ -200,9 +218,8 @@ def _grouped(length: int):
         def batch():
             out = pa.record_batch([
                 pa.array([m for m, _ in done], pa.int64()), pa.array([x[0] for _, x in done], pa.int64()),
-                pa.array([x[1].astype(np.int64).tobytes() for _, x in done], pa.binary()),
-                pa.array([x[2].astype(np.int64).tobytes() for _, x in done], pa.binary()),
-            ], names=["mark", "snippet", "ids", "places"])
+                pa.array([x[1] for _, x in done], pa.binary()),
+            ], names=["mark", "snippet", "firsts"])
             done.clear()
             return out
 
@@ -224,7 +241,8 @@ def _grouped(length: int):
                 done.extend((m, x) for x in first_places([x for x, shares in some if not shares]))
                 if own := [x for x, shares in some if shares]:
                     kept.append((m, own))
-            done.extend(zip([m for m, g in kept for _ in g], ordered([g for _, g in kept])))
+            if kept:
+                done.extend(zip([m for m, g in kept for _ in g], ordered([g for _, g in kept])))
             waiting.clear()
             size = 0
 
@@ -287,13 +305,13 @@ def _strings(length: int):
 def _filled(batches):
     """Snippets with what is known of some of their strings -> the earliest places of all their strings."""
     for b in batches:
-        ids, places = [], []
+        firsts = []
         for i, s, n, known in zip(*(b[c].to_pylist() for c in ("id", "start", "n", "known"))):
             to_id, to_place = np.full(n, i, np.int64), s + np.arange(n, dtype=np.int64)
             for x in known or ():
                 to_id[x["k"]], to_place[x["k"]] = x["id"], x["place"]
-            ids.append(to_id.tobytes()), places.append(to_place.tobytes())
-        yield pa.record_batch([b["mark"], b["snippet"], pa.array(ids, pa.binary()), pa.array(places, pa.binary())], names=["mark", "snippet", "ids", "places"])
+            firsts += _runs(to_id, to_place, np.array([0, n]))
+        yield pa.record_batch([b["mark"], b["snippet"], pa.array(firsts, pa.binary())], names=["mark", "snippet", "firsts"])
 
 
 def _split(snippets: DataFrame, length: int) -> DataFrame:
@@ -310,21 +328,33 @@ def _split(snippets: DataFrame, length: int) -> DataFrame:
         F.collect_list(F.struct("k", "f.id", "f.place")).alias("known")
     )
     return own.select("mark", "snippet", "id", "start", "n").join(known, ["mark", "snippet"], "left").mapInArrow(
-        _filled, "mark long, snippet long, ids binary, places binary"
+        _filled, "mark long, snippet long, firsts binary"
     )
 
 
 def _late(batches):
-    """Places of snippets with the earliest places of their strings -> the starts that are repetitions."""
+    """Places of snippets with the earliest places of their strings -> (row, runs of starts that are repetitions: first, number)."""
     for b in batches:
-        starts = []
-        for i, s, ids, places in zip(b["id"].to_pylist(), b["start"].to_pylist(), b["ids"].to_pylist(), b["places"].to_pylist()):
-            first, place = np.frombuffer(ids, np.int64), np.frombuffer(places, np.int64)
-            own = s + np.arange(len(first))
-            # Documents without an id precede nothing, one another included.
-            late = (first < i) | ((first == i) & (place < own) & (i != _LAST))
-            starts.append(own[late].astype(np.int32).tobytes())
-        yield pa.record_batch([b["row"], pa.array(starts, pa.binary())], names=["row", "starts"])
+        firsts = b["firsts"].to_pylist()
+        runs = np.frombuffer(b"".join(firsts), _RUN)
+        of = np.repeat(np.arange(len(firsts)), [len(x) // _RUN.itemsize for x in firsts])
+        i, own = b["id"].to_numpy().take(of), b["start"].to_numpy().take(of) + runs["k"]
+        # Documents without an id precede nothing, one another included.
+        late = np.flatnonzero((runs["id"] < i) | ((runs["id"] == i) & (runs["place"] < own) & (i != _LAST)))
+        row, own, n = b["row"].to_numpy().take(of.take(late)), own.take(late), runs["n"].take(late)
+        order = np.lexsort((own, row))
+        row, own = row.take(order), own.take(order)
+        end = own + n.take(order)
+        # Runs of a document that touch become one.
+        new = np.ones(len(row), bool)
+        new[1:] = (row[1:] != row[:-1]) | (own[1:] > end[:-1])
+        at = np.flatnonzero(new)
+        row, own = row.take(at), own.take(at)
+        out = np.empty((len(at), 2), np.int32)
+        out[:, 0], out[:, 1] = own, (np.maximum.reduceat(end, at) if len(at) else end) - own
+        cuts = np.flatnonzero(np.diff(row, prepend=row[:1] - 1))
+        starts = pa.Array.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer((np.append(cuts, len(row)) * 8).astype(np.int32).tobytes()), pa.py_buffer(out.tobytes())])
+        yield pa.record_batch([pa.array(row.take(cuts)), starts], names=["row", "starts"])
 
 
 def _kept(length: int):
@@ -333,7 +363,8 @@ def _kept(length: int):
             gone, spans, sha, kept = [], [], [], []
             for t, lots in zip(b["text"], b["starts"].to_pylist()):
                 text = np.frombuffer(t.as_py(), np.uint8)
-                out = covered(np.unique(np.frombuffer(b"".join(lots), np.int32)), len(text), length)
+                first, n = np.frombuffer(b"".join(lots), np.int32).reshape(-1, 2).T
+                out = covered(first, len(text), length - 1 + n)
                 gone.append(int(out.sum()))
                 spans.append(int(np.count_nonzero(np.diff(out.astype(np.int8), prepend=0) > 0)))
                 kept.append(text[~out].tobytes())
@@ -373,11 +404,11 @@ def repeated_bytes(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
         large = bounded(written(held.where(F.col("bytes") > SPLIT).select("mark"), "large"))
         firsts = (
             contents.join(large, "mark", "left_anti").repartition("mark").sortWithinPartitions("mark", "content")
-            .mapInArrow(_grouped(length), "mark long, snippet long, ids binary, places binary")
+            .mapInArrow(_grouped(length), "mark long, snippet long, firsts binary")
         )
         firsts = firsts.unionByName(_split(contents.join(large, "mark", "left_semi"), length))
         back = placed.where("content is null").select("mark", "snippet", "row", "id", "start").join(firsts, ["mark", "snippet"])
-        late = back.mapInArrow(_late, "row long, starts binary").where(F.octet_length("starts") > 0)
+        late = back.mapInArrow(_late, "row long, starts binary")
         starts = written(late.groupBy("row").agg(F.collect_list("starts").alias("starts")), "starts")
     hit = own.select("row", "key", "text").join(bounded(starts.select("row")), "row", "left_semi").dropDuplicates(["key"])
     cut = hit.join(starts, "row").mapInArrow(_kept(length), "key string, n_removed long, n_spans long, cut_sha string, kept binary")

@@ -354,6 +354,25 @@ def test_suffix_dedup_of_a_frequent_line_in_bounded_groups(docs_of, monkeypatch)
     assert got(suffix_dedup.suffix_dedup(docs_of(rows)), *_BYTES) == want
 
 
+def test_suffix_dedup_starts_travel_as_runs(docs_of, monkeypatch):
+    sizes, written = {}, suffix_dedup.written
+
+    def seen(df, name):
+        out = written(df, name)
+        if name == "starts":
+            sizes[name] = out.selectExpr("sum(aggregate(starts, 0, (n, x) -> n + octet_length(x)))").first()[0]
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "written", seen)
+    rng = random.Random(8)
+    passage = "".join(rng.choice("abcdefghij ") for _ in range(5_000))
+    rows = [(1, passage), (2, "x" + passage), (3, passage[2_000:] + passage[:3_000])]
+    want = bytes_wanted(rows, 100)
+    assert got(suffix_dedup.suffix_dedup(docs_of(rows)), *_BYTES) == want
+    # 4,901 repeated starts in the second document, and twice 2,901 in the third; a start is four bytes.
+    assert 0 < sizes["starts"] < 8_000
+
+
 def test_suffix_dedup_on_the_table(documents):
     assert got(suffix_dedup.suffix_dedup(documents), *_BYTES) == bytes_wanted(pairs(documents), 100)
 
